@@ -182,12 +182,13 @@ def reason_histogram(tagged: DataFrame, reasons: str = "quarantine_reasons") ->
 
 @dataclass(frozen=True)
 class Rule:
-    """One named check. Exactly one of the fields after the name is set."""
+    """One named check. Exactly one of the fields after the name is set; ``failing`` is a SQL
+    predicate that holds for bad rows."""
 
     name: str
     present: tuple[str, ...] = ()
     absent: tuple[str, ...] = ()
-    failing: Column | None = None
+    failing: str | None = None
     unique: tuple[str, ...] = ()
 
 
@@ -206,7 +207,7 @@ def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:
             extra = keys.select(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)))
             counts[rule.name] = extra.scalar()
         else:
-            counts[rule.name] = F.count_if(rule.failing)
+            counts[rule.name] = F.count_if(F.expr(rule.failing))
     per_row = {n: c for r in rules if r.failing is not None for n, c in counts.items() if n == r.name}
     base = df.agg(*[c.alias(n) for n, c in per_row.items()]) if per_row else df.sparkSession.range(1)
     rows = F.array(

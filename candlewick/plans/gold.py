@@ -321,7 +321,6 @@ def validate_gold(
     snapshot: DataFrame, history: DataFrame, performance: DataFrame, summary: DataFrame
 ) -> DataFrame:
     """The thirteen checks of the four published tables."""
-    score = F.col("gold_recommendation_score")
     checks = [
         validate(
             snapshot,
@@ -337,7 +336,7 @@ def validate_gold(
                     ),
                 ),
                 Rule("snapshot_unique_coin", unique=("id",)),
-                Rule("snapshot_score_in_range", failing=(score < 0) | (score > 1)),
+                Rule("snapshot_score_in_range", failing="gold_recommendation_score < 0 OR gold_recommendation_score > 1"),
                 Rule("snapshot_no_trading_signal", absent=("trading_signal",)),
                 Rule("snapshot_no_combined_signal", absent=("combined_signal",)),
             ],
@@ -354,7 +353,7 @@ def validate_gold(
                     ),
                 ),
                 Rule("ohlc_unique_grain", unique=("coin_id", "candle_date")),
-                Rule("ohlc_hl_valid", failing=F.col("high") < F.col("low")),
+                Rule("ohlc_hl_valid", failing="high < low"),
                 Rule("ohlc_no_trading_signal", absent=("trading_signal",)),
             ],
         ),

@@ -59,7 +59,7 @@ def candle_metrics(
 
 def silver_rules() -> list[quality.Rule]:
     """Readiness checks of the candle table."""
-    r, score = quality.Rule, F.col("recommendation_score")
+    r = quality.Rule
     return [
         r("has_ohlc", present=("open", "high", "low", "close")),
         r("has_daily_range_pct", present=("daily_range_pct",)),
@@ -69,7 +69,7 @@ def silver_rules() -> list[quality.Rule]:
         r("has_price_level", present=("price_level_signal",)),
         r("has_support_resist", present=("support_14d", "resistance_14d")),
         r("has_recommendation_score", present=("recommendation_score",)),
-        r("score_in_range", failing=(score < 0) | (score > 1)),
+        r("score_in_range", failing="recommendation_score < 0 OR recommendation_score > 1"),
         r("has_anomaly_flag", present=("anomaly_flag",)),
         r("has_volatility_30d", present=("volatility_30d",)),
         r("has_data_latency", present=("data_latency_hours",)),
@@ -79,7 +79,7 @@ def silver_rules() -> list[quality.Rule]:
         r("has_coin_sk", present=("coin_sk",)),
         r("has_data_quality_flag", present=("data_quality_flag",)),
         r("no_trading_signal_col", absent=("trading_signal",)),
-        r("no_stale_in_main", failing=F.col("load_status") == labels.STALE),
+        r("no_stale_in_main", failing=f"load_status = '{labels.STALE}'"),
     ]
 
 
