@@ -39,8 +39,8 @@ class Config:
     # results do not depend on how rows were partitioned.
     exact_scale: int | None = None
 
-    # Quantiles: exact takes three light passes, approximate one sketch pass.
-    exact_quantiles: bool = True
+    # Quantiles: one sketch pass (rank error rows / accuracy), or exact at any size in three passes.
+    exact_quantiles: bool = False
     quantile_accuracy: int = 10_000
 
     # Groups above this size are ranked by value buckets instead of in one task.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.config import Config
-from candlewick.operators.quantiles import limits, quantiles
+from candlewick.operators.quantiles import as_scalar, quantiles
 
 # Fixed values.
 EXTREME_FACTOR, EXTREME_FLOOR = 3, 10.0
@@ -43,14 +43,16 @@ def split_market(df: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
 
 def market_limits(clean: DataFrame, cfg: Config) -> DataFrame:
     """One row: price change p1 and p99, volume share p99, over the whole table."""
-    change = quantiles(
+    change = F.col("price_change_percentage_24h")
+    return quantiles(
         clean,
-        F.col("price_change_percentage_24h"),
-        {"price_lower": 0.01, "price_upper": 0.99},
+        {
+            "price_lower": (change, 0.01),
+            "price_upper": (change, 0.99),
+            "volume_upper": (_volume_share(), 0.99),
+        },
         cfg,
     )
-    share = quantiles(clean, _volume_share(), {"volume_upper": 0.99}, cfg)
-    return change.withColumn("volume_upper", share.scalar())
 
 
 def _volume_share() -> Column:
@@ -59,7 +61,7 @@ def _volume_share() -> Column:
 
 def flag_market_anomalies(clean: DataFrame, cfg: Config) -> DataFrame:
     """Cap the price change to its limits, flag outliers and name the reasons."""
-    bound = limits(market_limits(clean, cfg), ["price_lower", "price_upper", "volume_upper"])
+    bound = as_scalar(market_limits(clean, cfg), ["price_lower", "price_upper", "volume_upper"])
     change = F.col("price_change_percentage_24h")
     low, high, top = (F.col(f"_b.{c}") for c in ("price_lower", "price_upper", "volume_upper"))
     return (
@@ -90,7 +92,7 @@ def flag_market_anomalies(clean: DataFrame, cfg: Config) -> DataFrame:
 def flag_changes(df: DataFrame, cfg: Config) -> DataFrame:
     """``is_changed``: the absolute return exceeds the p90 of the signed returns."""
     ret = F.col("daily_return_pct")
-    limit = quantiles(df, ret, {"p90": 0.90}, cfg).scalar()
+    limit = quantiles(df, {"p90": (ret, 0.90)}, cfg).scalar()
     return df.withColumn("is_changed", F.coalesce(F.abs(ret) > limit, F.lit(False)))
 
 
@@ -105,10 +107,17 @@ def body_pct() -> Column:
 
 def candle_limits(candles: DataFrame, cfg: Config) -> DataFrame:
     """One row: body p99 and p90, close/open p99.99 and the extreme multiple derived from it."""
-    body = quantiles(candles, body_pct(), {"p99_body": 0.99, "p90_body": 0.90}, cfg)
     growth = F.when(F.col("open") > 0, F.col("close") / F.col("open"))
-    top = quantiles(candles, growth, {"p9999_ratio": 0.9999}, cfg)
-    return body.withColumn("p9999_ratio", top.scalar()).withColumn(
+    found = quantiles(
+        candles,
+        {
+            "p99_body": (body_pct(), 0.99),
+            "p90_body": (body_pct(), 0.90),
+            "p9999_ratio": (growth, 0.9999),
+        },
+        cfg,
+    )
+    return found.withColumn(
         "extreme_mult",
         F.when(
             F.col("p9999_ratio").isNotNull(),

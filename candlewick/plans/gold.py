@@ -222,7 +222,7 @@ def score_levels(candles: DataFrame, cfg: Config) -> DataFrame:
     above that p75. Coins without a score stay in the denominator."""
     day, digits = "ingestion_date", cfg.score_digits
     score = F.col("recommendation_score")
-    p75 = quantiles(candles, score, {"_p75": 0.75}, cfg, by=(day,))
+    p75 = quantiles(candles, {"_p75": (score, 0.75)}, cfg, by=(day,))
     means = candles.groupBy(day).agg(
         F.round(mean_of(score, cfg), digits).alias("avg_recommendation_score")
     )
@@ -241,7 +241,7 @@ def score_levels(candles: DataFrame, cfg: Config) -> DataFrame:
 
 
 def market_summary(market: DataFrame, candles: DataFrame, cfg: Config) -> DataFrame:
-    """Market-wide figures per date: totals, leaders and dominance in one aggregation; the exact
+    """Market-wide figures per date: totals, leaders and dominance in one aggregation; the
     median and the score levels join by date."""
     day, change = "ingestion_date", F.col("price_change_percentage_24h")
     own_cap = F.when(F.col("id") == cfg.reference_id, F.col("market_cap"))
@@ -265,7 +265,7 @@ def market_summary(market: DataFrame, candles: DataFrame, cfg: Config) -> DataFr
         F.count("id").alias("total_coins"),
         *_leader_aggregates(cfg),
     )
-    median = quantiles(market, change, {"_median": 0.5}, cfg, by=(day,))
+    median = quantiles(market, {"_median": (change, 0.5)}, cfg, by=(day,))
     return (
         totals.join(median, day, "left")
         .join(score_levels(candles, cfg), day, "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import traceback
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,12 +83,12 @@ def _overwrite_partitions(df: DataFrame, table: str) -> None:
     df.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
 
 
-def _staged(df: DataFrame, table: str, cfg: Config) -> DataFrame:
-    """Write to the cluster's shared folder and read back: a table must not be read while it is
-    replaced, and lost executors then need not repeat the merge."""
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write to the cluster's shared folder and read back. Cuts a lineage that several consumers
+    would repeat, survives lost executors, and lets a table be replaced by what was read from it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/staging/{table}/{cfg.run_id}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{shared_dir(spark).rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -108,7 +109,7 @@ def publish_merge(
         return
     target = spark.table(table)
     if how == "synced" and set(target.columns) != set(source.columns):
-        create_table(_staged(merge_synced(target, source, keys), table, cfg), table, partition_by)
+        create_table(stage(merge_synced(target, source, keys), table), table, partition_by)
         return
     if partition_by:
         touched = source.select(partition_by).distinct()
@@ -119,7 +120,7 @@ def publish_merge(
             touched, partition_by, "left_semi"
         )
     merged = MERGES[how](target, source, keys).select(*spark.table(table).columns)
-    staged = _staged(merged, table, cfg)
+    staged = stage(merged, table)
     if partition_by:
         _overwrite_partitions(staged, table)
     else:

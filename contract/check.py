@@ -50,7 +50,7 @@ def difference(spark, con, name: str, sf: str) -> str | None:
 
 def main() -> None:
     sf, only = sys.argv[1], sys.argv[2:]
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = oracle(sf), []
     for name in only or list(REGISTRY):

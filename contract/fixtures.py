@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 from candlewick.config import Config
 from candlewick.functions import labels
 from candlewick.operators import clean, dims, indicators, load, market, quality, rollup
+from candlewick.sources.tables import stage
 
 CFG = Config(
     run_ts=datetime(2024, 1, 31), run_id="contract", reference_id="7", exact_scale=4
@@ -221,6 +222,16 @@ def market_silver(spark: SparkSession, sf: str) -> DataFrame:
     return market.market_features(flagged, CFG, hot=False)
 
 
+def market_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The market facts as the published tables read them: stored."""
+    return stage(market_silver(spark, sf), "market")
+
+
+def candle_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The candle facts of the user groups, stored."""
+    return stage(featured(spark, sf, group()), "candles")
+
+
 def days(spark: SparkSession, sf: str) -> DataFrame:
     return dims.calendar_days(table(spark, sf, "events"), "ts", CFG)
 

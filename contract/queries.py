@@ -46,6 +46,7 @@ def register(name: str, sql: str | None = None):
 
 CANDLE = ["coin_id", "candle_datetime"]
 KEYED = "coin_id, candle_datetime"
+EXACT = replace(CFG, exact_quantiles=True)
 
 
 # --- sources ---------------------------------------------------------------------------------
@@ -381,11 +382,12 @@ CARRIED = ("id", "ingestion_date", "known_date", "current_price", "load_status",
     build(
         """SELECT e.id, g.ingestion_date, k.ingestion_date AS known_date, k.current_price,
              'STALE' AS load_status, g.coins_received
-           FROM (SELECT DISTINCT id FROM mdays) e,
-                (SELECT * FROM grades WHERE load_status IN ('PARTIAL_LOAD', 'PARTIAL_LOAD_CRITICAL')) g
-           ASOF JOIN (SELECT * FROM graded
-                      WHERE load_status NOT IN ('PARTIAL_LOAD_SEVERE', 'FAILURE')) k
-             ON k.id = e.id AND k.ingestion_date <= g.ingestion_date
+           FROM (SELECT DISTINCT id FROM mdays) e
+           JOIN grades g ON g.load_status IN ('PARTIAL_LOAD', 'PARTIAL_LOAD_CRITICAL')
+           JOIN graded k ON k.id = e.id AND k.ingestion_date = (
+             SELECT max(x.ingestion_date) FROM graded x WHERE x.id = e.id
+               AND x.ingestion_date <= g.ingestion_date
+               AND x.load_status NOT IN ('PARTIAL_LOAD_SEVERE', 'FAILURE'))
            WHERE k.ingestion_date < g.ingestion_date""",
         "graded",
         dates=("ingestion_date", "known_date"),
@@ -508,10 +510,9 @@ def _(spark, sf):
 @register(
     "missing_entity_days",
     """SELECT user_id, strftime(d, '%Y-%m-%d') AS missing_date
-    FROM (SELECT DISTINCT user_id FROM events),
-      (SELECT CAST(unnest(generate_series(DATE '2024-01-24', DATE '2024-01-30', INTERVAL 1 DAY))
-        AS DATE) AS d)
-    ANTI JOIN (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events) USING (user_id, d)""",
+    FROM (SELECT user_id, CAST(unnest(generate_series(DATE '2024-01-24', DATE '2024-01-30',
+        INTERVAL 1 DAY)) AS DATE) AS d FROM (SELECT DISTINCT user_id FROM events)) u
+    ANTI JOIN (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events) x USING (user_id, d)""",
 )
 def _(spark, sf):
     events = table(spark, sf, "events")
@@ -799,7 +800,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return quality.candle_limits(fx.group_candles(spark, sf), CFG)
+    return quality.candle_limits(fx.group_candles(spark, sf), EXACT)
 
 
 @register(
@@ -808,8 +809,9 @@ def _(spark, sf):
       quantile_disc(value, 0.99) AS p99 FROM events GROUP BY 1""",
 )
 def _(spark, sf):
-    wanted = {"p1": 0.01, "p50": 0.5, "p99": 0.99}
-    return quantiles(table(spark, sf, "events"), F.col("value"), wanted, CFG, by=("event_type",))
+    value = F.col("value")
+    wanted = {"p1": (value, 0.01), "p50": (value, 0.5), "p99": (value, 0.99)}
+    return quantiles(table(spark, sf, "events"), wanted, EXACT, by=("event_type",))
 
 
 ANOMALY = ("id", "ingestion_date", "price_change_percentage_24h", "price_change_pct_24h_capped",
@@ -1276,7 +1278,7 @@ LEADERBOARD = build(
 
 def _performance(spark, sf, hot):
     return gold.performance_metrics(
-        fx.market_silver(spark, sf), fx.featured(spark, sf, fx.group()), CFG, hot
+        fx.market_table(spark, sf), fx.candle_table(spark, sf), CFG, hot
     )
 
 
@@ -1340,7 +1342,7 @@ SNAPSHOT = {
 
 def _snapshot(spark, sf):
     return gold.market_snapshot(
-        fx.market_silver(spark, sf), fx.featured(spark, sf, fx.group()), CFG
+        fx.market_table(spark, sf), fx.candle_table(spark, sf), CFG
     )
 
 
@@ -1382,7 +1384,7 @@ TOP_OUT = f"""top_gainer_coin, top_gainer_name, {rnd('g', 3)} AS top_gainer_pct,
     ),
 )
 def _(spark, sf):
-    return gold.market_leaders(fx.market_silver(spark, sf), CFG)
+    return gold.market_leaders(fx.market_table(spark, sf), CFG)
 
 
 LEVELS = {
@@ -1404,7 +1406,7 @@ LEVELS = {
     build("SELECT * FROM levels", "gfeatured", extra=LEVELS, dates=("ingestion_date",)),
 )
 def _(spark, sf):
-    return gold.score_levels(fx.featured(spark, sf, fx.group()), CFG)
+    return gold.score_levels(fx.candle_table(spark, sf), CFG)
 
 
 CHANGE = "price_change_percentage_24h"
@@ -1447,7 +1449,7 @@ SUMMARY = {
 
 def _summary(spark, sf):
     return gold.market_summary(
-        fx.market_silver(spark, sf), fx.featured(spark, sf, fx.group()), CFG
+        fx.market_table(spark, sf), fx.candle_table(spark, sf), CFG
     )
 
 
@@ -1627,12 +1629,12 @@ GOLD_CHECKS = (
     ),
 )
 def _(spark, sf):
-    candles = fx.featured(spark, sf, fx.group())
+    market, candles = fx.market_table(spark, sf), fx.candle_table(spark, sf)
     return gold.validate_gold(
-        _snapshot(spark, sf),
+        gold.market_snapshot(market, candles, CFG),
         gold.ohlc_history(candles, CFG),
-        _performance(spark, sf, hot=False),
-        _summary(spark, sf),
+        gold.performance_metrics(market, candles, CFG, hot=False),
+        gold.market_summary(market, candles, CFG),
     )
 
 

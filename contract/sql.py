@@ -5,13 +5,13 @@ from __future__ import annotations
 
 def rnd(x: str, k: int) -> str:
     """Half-up rounding of the shortest decimal form of a double."""
-    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,16)), {k}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), {k}) AS DOUBLE)"
 
 
 def dec(x: str) -> str:
     """Four exact decimals of a double."""
     return (
-        f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,16)), 4) AS DECIMAL(18,4))"
+        f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), 4) AS DECIMAL(18,4))"
     )
 
 
