@@ -18,6 +18,7 @@ from pyspark.sql.types import (
 
 from candlewick.config import Config
 from candlewick.functions import labels
+from candlewick.functions.numeric import pct_change
 from candlewick.operators import clean, dims, indicators, load, market, quality, rollup
 from candlewick.sources.tables import stage
 
@@ -153,8 +154,8 @@ def market_days(spark: SparkSession, sf: str) -> DataFrame:
         }
     ).withColumns(
         {
-            "ath_change_percentage": (price - F.col("ath")) / F.col("ath") * 100,
-            "atl_change_percentage": (price - F.col("atl")) / F.col("atl") * 100,
+            "ath_change_percentage": pct_change(price, F.col("ath")),
+            "atl_change_percentage": pct_change(price, F.col("atl")),
             "fully_diluted_valuation": price * F.col("total_supply"),
         }
     )

@@ -205,8 +205,9 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "mdays": (
         ("mdays0",),
-        """SELECT *, (current_price - ath) / ath * 100 AS ath_change_percentage,
-             (current_price - atl) / atl * 100 AS atl_change_percentage,
+        """SELECT *, CASE WHEN ath > 0 THEN (current_price - ath) / ath * 100 END
+               AS ath_change_percentage,
+             CASE WHEN atl > 0 THEN (current_price - atl) / atl * 100 END AS atl_change_percentage,
              current_price * total_supply AS fully_diluted_valuation
            FROM mdays0""",
     ),
