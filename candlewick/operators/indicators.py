@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewick.config import Config
 from candlewick.functions import labels
-from candlewick.functions.numeric import pct_change, rolling_mean, rolling_stddev
+from candlewick.functions.numeric import pct_change, with_rolling
 from candlewick.functions.scores import recommendation_score
 from candlewick.operators.quality import body_pct
 from candlewick.operators.series import over_series
@@ -20,11 +20,8 @@ def _series(candles: DataFrame, cfg: Config, add, days: int | None = None) -> Da
     return over_series(candles, KEY, TIME, reach, cfg.series_chunk_rows, add)
 
 
-def _frames(w: WindowSpec, cfg: Config) -> dict[int, WindowSpec]:
-    return {
-        days: w.rowsBetween(-cfg.lag_rows(days), 0)
-        for days in (cfg.short_days, cfg.mid_days, cfg.long_days)
-    }
+def _spans(cfg: Config) -> tuple[int, ...]:
+    return cfg.short_days, cfg.mid_days, cfg.long_days
 
 
 def candle_shape(candles: DataFrame) -> DataFrame:
@@ -40,60 +37,66 @@ def candle_shape(candles: DataFrame) -> DataFrame:
     )
 
 
-def _averages(w: WindowSpec, cfg: Config) -> dict:
-    return {
-        f"ma_{d}d": F.round(rolling_mean(F.col("close"), frame, cfg), cfg.price_digits)
-        for d, frame in _frames(w, cfg).items()
-    }
+def _average_frames(cfg: Config) -> dict:
+    return {f"ma_{d}d": ("mean", "close", cfg.lag_rows(d)) for d in _spans(cfg)}
 
 
-def _volatility(w: WindowSpec, cfg: Config) -> dict:
-    frames = _frames(w, cfg)
-    usual = rolling_mean(F.col("daily_range_usd"), frames[cfg.mid_days], cfg)
-    return {
-        f"volatility_{d}d": F.round(rolling_stddev(F.col("close"), frame, cfg), cfg.ratio_digits)
-        for d, frame in frames.items()
-    } | {
-        "volatility_cluster": F.when(F.col("daily_range_usd") > usual * 1.5, "HIGH").otherwise(
-            "NORMAL"
-        )
-    }
+def _volatility_frames(cfg: Config) -> dict:
+    deviations = {f"volatility_{d}d": ("std", "close", cfg.lag_rows(d)) for d in _spans(cfg)}
+    return deviations | {"_usual": ("mean", "daily_range_usd", cfg.lag_rows(cfg.mid_days))}
+
+
+def _rounded(df: DataFrame, frames: dict, cfg: Config) -> DataFrame:
+    digits = {"mean": cfg.price_digits, "std": cfg.ratio_digits}
+    return df.withColumns(
+        {n: F.round(n, digits[kind]) for n, (kind, *_) in frames.items() if n != "_usual"}
+    )
+
+
+def _cluster():
+    wide = F.col("daily_range_usd") > F.col("_usual") * 1.5
+    return F.when(wide, "HIGH").otherwise("NORMAL")
 
 
-def _momentum(w: WindowSpec, cfg: Config) -> dict:
+def _with_momentum(df: DataFrame, w: WindowSpec, cfg: Config) -> DataFrame:
     # the one-step momentum looks one candle back, not one day
-    steps = {
-        "1d": 1,
-        f"{cfg.short_days}d": cfg.lag_rows(cfg.short_days),
-        f"{cfg.mid_days}d": cfg.lag_rows(cfg.mid_days),
-    }
-    return {
-        f"momentum_{name}": F.round(
-            pct_change(F.col("close"), F.lag("close", rows).over(w)), 2
+    steps = {1: 1, cfg.short_days: cfg.lag_rows(cfg.short_days), cfg.mid_days: cfg.lag_rows(cfg.mid_days)}
+    before = {f"_close_{d}": F.lag("close", rows).over(w) for d, rows in steps.items()}
+    return (
+        df.withColumns(before)
+        .withColumns(
+            {
+                f"momentum_{d}d": F.round(pct_change(F.col("close"), F.col(f"_close_{d}")), 2)
+                for d in steps
+            }
         )
-        for name, rows in steps.items()
-    }
+        .drop(*before)
+    )
 
 
 def _bands(w: WindowSpec, cfg: Config) -> dict:
-    frames = _frames(w, cfg)
     out = {}
     for days in (cfg.mid_days, cfg.long_days):
-        out[f"support_{days}d"] = F.round(F.min("low").over(frames[days]), cfg.price_digits)
-        out[f"resistance_{days}d"] = F.round(F.max("high").over(frames[days]), cfg.price_digits)
+        frame = w.rowsBetween(-cfg.lag_rows(days), 0)
+        out[f"support_{days}d"] = F.round(F.min("low").over(frame), cfg.price_digits)
+        out[f"resistance_{days}d"] = F.round(F.max("high").over(frame), cfg.price_digits)
     return out
 
 
 def moving_averages(candles: DataFrame, cfg: Config) -> DataFrame:
-    return _series(candles, cfg, lambda df, w: df.withColumns(_averages(w, cfg)))
+    frames = _average_frames(cfg)
+    out = _series(candles, cfg, lambda df, w: with_rolling(df, w, frames, cfg))
+    return _rounded(out, frames, cfg)
 
 
 def volatility(shaped: DataFrame, cfg: Config) -> DataFrame:
-    return _series(shaped, cfg, lambda df, w: df.withColumns(_volatility(w, cfg)))
+    frames = _volatility_frames(cfg)
+    out = _series(shaped, cfg, lambda df, w: with_rolling(df, w, frames, cfg))
+    return _rounded(out.withColumn("volatility_cluster", _cluster()), frames, cfg).drop("_usual")
 
 
 def momentum(candles: DataFrame, cfg: Config) -> DataFrame:
-    return _series(candles, cfg, lambda df, w: df.withColumns(_momentum(w, cfg)), cfg.mid_days)
+    return _series(candles, cfg, lambda df, w: _with_momentum(df, w, cfg), cfg.mid_days)
 
 
 def support_resistance(candles: DataFrame, cfg: Config) -> DataFrame:
@@ -111,14 +114,17 @@ def _level(cfg: Config):
 def candle_features(candles: DataFrame, cfg: Config) -> DataFrame:
     """Every indicator in one pass: one shuffle by coin and one sort serve all windows."""
 
+    frames = _average_frames(cfg) | _volatility_frames(cfg)
+
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        return df.withColumns(
-            _averages(w, cfg) | _volatility(w, cfg) | _momentum(w, cfg) | _bands(w, cfg)
-        )
+        banded = _with_momentum(df.withColumns(_bands(w, cfg)), w, cfg)
+        return with_rolling(banded, w, frames, cfg)
 
     long_average = F.col(f"ma_{cfg.long_days}d")
+    featured = _series(candle_shape(candles), cfg, add).withColumn("volatility_cluster", _cluster())
     return (
-        _series(candle_shape(candles), cfg, add)
+        _rounded(featured, frames, cfg)
+        .drop("_usual")
         .withColumns(
             {
                 "trend_strength": labels.trend_strength(F.col("close"), long_average),
@@ -156,16 +162,21 @@ def bollinger(candles: DataFrame, cfg: Config, days: int | None = None, width: f
     """Middle band and ``width`` deviations around it."""
     days = days or cfg.short_days
 
+    rows = cfg.lag_rows(days)
+    frames = {"_mid": ("mean", "close", rows), "_dev": ("std", "close", rows)}
+
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        frame = w.rowsBetween(-cfg.lag_rows(days), 0)
-        middle = rolling_mean(F.col("close"), frame, cfg)
-        reach = rolling_stddev(F.col("close"), frame, cfg) * width
-        return df.withColumns(
-            {
-                "bb_middle": F.round(middle, cfg.price_digits),
-                "bb_upper": F.round(middle + reach, cfg.price_digits),
-                "bb_lower": F.round(middle - reach, cfg.price_digits),
-            }
+        middle, reach = F.col("_mid"), F.col("_dev") * width
+        return (
+            with_rolling(df, w, frames, cfg)
+            .withColumns(
+                {
+                    "bb_middle": F.round(middle, cfg.price_digits),
+                    "bb_upper": F.round(middle + reach, cfg.price_digits),
+                    "bb_lower": F.round(middle - reach, cfg.price_digits),
+                }
+            )
+            .drop("_mid", "_dev")
         )
 
     return _series(candles, cfg, add, days)
@@ -178,8 +189,10 @@ def average_true_range(candles: DataFrame, cfg: Config, rows: int = 14) -> DataF
         high, low, before = F.col("high"), F.col("low"), F.lag("close").over(w)
         spread = F.greatest(high - low, F.abs(high - before), F.abs(low - before))
         ranged = df.withColumn("true_range", F.round(spread, cfg.price_digits))
-        mean = rolling_mean(F.col("true_range"), w.rowsBetween(-(rows - 1), 0), cfg)
-        return ranged.withColumn("atr", F.round(mean, cfg.price_digits))
+        mean = {"atr": ("mean", "true_range", rows - 1)}
+        return with_rolling(ranged, w, mean, cfg).withColumn(
+            "atr", F.round("atr", cfg.price_digits)
+        )
 
     # the first row of an averaged window needs its own predecessor too
     return over_series(candles, KEY, TIME, rows, cfg.series_chunk_rows, add)
@@ -189,24 +202,22 @@ def relative_strength(candles: DataFrame, cfg: Config, rows: int = 14) -> DataFr
     """RSI from simple rolling means; 100 without losses, NULL without any move."""
 
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        moved = df.withColumn("_move", F.round(F.col("close") - F.lag("close").over(w), 8))
-        frame = w.rowsBetween(-(rows - 1), 0)
-        zero = F.lit(0.0)
-        gain = rolling_mean(F.greatest(F.col("_move"), zero), frame, cfg)
-        loss = rolling_mean(F.greatest(-F.col("_move"), zero), frame, cfg)
+        move = F.round(F.col("close") - F.lag("close").over(w), 8)
+        moved = df.withColumn("_move", move).withColumns(
+            {
+                "_up": F.greatest(F.col("_move"), F.lit(0.0)),
+                "_down": F.greatest(-F.col("_move"), F.lit(0.0)),
+            }
+        )
+        means = {"_gain": ("mean", "_up", rows - 1), "_loss": ("mean", "_down", rows - 1)}
+        gain, loss = F.col("_gain"), F.col("_loss")
         return (
-            moved.withColumns({"_gain": gain, "_loss": loss})
+            with_rolling(moved, w, means, cfg)
             .withColumn(
                 "rsi",
-                F.round(
-                    F.when(
-                        F.col("_gain") + F.col("_loss") > 0,
-                        F.col("_gain") * 100 / (F.col("_gain") + F.col("_loss")),
-                    ),
-                    cfg.pct_digits,
-                ),
+                F.round(F.when(gain + loss > 0, gain * 100 / (gain + loss)), cfg.pct_digits),
             )
-            .drop("_move", "_gain", "_loss")
+            .drop("_move", "_up", "_down", "_gain", "_loss")
         )
 
     return over_series(candles, KEY, TIME, rows, cfg.series_chunk_rows, add)

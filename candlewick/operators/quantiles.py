@@ -28,12 +28,17 @@ def quantiles(df: DataFrame, wanted: Wanted, cfg: Config, by: tuple[str, ...] =
     )
 
 
+def sketched(value: Column, p: float, cfg: Config) -> Column:
+    """The sketch as an aggregate expression, to share a pass with other aggregates."""
+    return F.percentile_approx(value.cast("double"), F.lit(p), F.lit(cfg.quantile_accuracy))
+
+
 def _near(i: int, p: float, cfg: Config) -> Column:
     if p <= 0:
         return F.min(f"_v{i}")
     if p >= 1:
         return F.max(f"_v{i}")
-    return F.percentile_approx(f"_v{i}", F.lit(p), F.lit(cfg.quantile_accuracy))
+    return sketched(F.col(f"_v{i}"), p, cfg)
 
 
 def _exact(rows: DataFrame, shares: dict[str, float], cfg: Config, by: tuple[str, ...]) -> DataFrame:

@@ -11,7 +11,7 @@ from candlewick.functions.numeric import mean_of, pct_change, round_by_category
 from candlewick.functions.scores import blended_score
 from candlewick.operators.pick import latest_per_key
 from candlewick.operators.quality import Rule, validate
-from candlewick.operators.quantiles import quantiles
+from candlewick.operators.quantiles import quantiles, sketched
 from candlewick.operators.ranking import add_ranks
 from candlewick.operators.rollup import daily_history
 from candlewick.operators.series import streaks
@@ -222,30 +222,42 @@ def score_levels(candles: DataFrame, cfg: Config) -> DataFrame:
     above that p75. Coins without a score stay in the denominator."""
     day, digits = "ingestion_date", cfg.score_digits
     score = F.col("recommendation_score")
-    p75 = quantiles(candles, {"_p75": (score, 0.75)}, cfg, by=(day,))
-    means = candles.groupBy(day).agg(
-        F.round(mean_of(score, cfg), digits).alias("avg_recommendation_score")
-    )
+    means = _with_quantile(
+        candles,
+        day,
+        [F.round(mean_of(score, cfg), digits).alias("avg_recommendation_score")],
+        ("_p75", score, 0.75),
+        cfg,
+    ).withColumn("p75_score", F.round("_p75", digits))
     coins = candles.groupBy(day, "coin_id").agg(mean_of(score, cfg).alias("_own"))
     share = (
-        coins.join(p75.withColumn("_p75", F.round("_p75", digits)), day, "left")
+        coins.join(means.select(day, "p75_score"), day, "left")
         .groupBy(day)
         .agg(
-            F.max("_p75").alias("p75_score"),
             F.round(
-                F.count_if(F.col("_own") > F.col("_p75")) / F.count("*") * 100, cfg.pct_digits
-            ).alias("pct_high_signal"),
+                F.count_if(F.col("_own") > F.col("p75_score")) / F.count("*") * 100,
+                cfg.pct_digits,
+            ).alias("pct_high_signal")
         )
     )
-    return means.join(share, day)
+    return means.drop("_p75").join(share, day)
+
+
+def _with_quantile(df: DataFrame, day: str, aggregates: list, wanted: tuple, cfg: Config):
+    """Aggregates and one quantile per day: in the same pass where a sketch will do."""
+    name, value, p = wanted
+    if not cfg.exact_quantiles:
+        return df.groupBy(day).agg(*aggregates, sketched(value, p, cfg).alias(name))
+    exact = quantiles(df, {name: (value, p)}, cfg, by=(day,))
+    return df.groupBy(day).agg(*aggregates).join(exact, day, "left")
 
 
 def market_summary(market: DataFrame, candles: DataFrame, cfg: Config) -> DataFrame:
-    """Market-wide figures per date: totals, leaders and dominance in one aggregation; the
-    median and the score levels join by date."""
+    """Market-wide figures per date: totals, leaders, dominance and median in one aggregation;
+    the score levels join by date."""
     day, change = "ingestion_date", F.col("price_change_percentage_24h")
     own_cap = F.when(F.col("id") == cfg.reference_id, F.col("market_cap"))
-    totals = market.groupBy(day).agg(
+    aggregates = [
         F.round(_total("market_cap", cfg), 0).alias("total_market_cap"),
         F.max(own_cap).alias("_own_cap"),
         F.round(_total("total_volume", cfg), 0).alias("total_volume"),
@@ -264,10 +276,9 @@ def market_summary(market: DataFrame, candles: DataFrame, cfg: Config) -> DataFr
         F.count_if("anomaly_flag").alias("anomaly_coins_count"),
         F.count("id").alias("total_coins"),
         *_leader_aggregates(cfg),
-    )
-    median = quantiles(market, {"_median": (change, 0.5)}, cfg, by=(day,))
+    ]
     return (
-        totals.join(median, day, "left")
+        _with_quantile(market, day, aggregates, ("_median", change, 0.5), cfg)
         .join(score_levels(candles, cfg), day, "left")
         .withColumns(
             {

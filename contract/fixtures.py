@@ -223,14 +223,19 @@ def market_silver(spark: SparkSession, sf: str) -> DataFrame:
     return market.market_features(flagged, CFG, hot=False)
 
 
-def market_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The market facts as the published tables read them: stored."""
-    return stage(market_silver(spark, sf), "market")
+def market_table(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """The market facts stored, for plans that read them more than once."""
+    rows = market_silver(spark, sf)
+    return stage(rows.select(*columns) if columns else rows, "market")
 
 
-def candle_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The candle facts of the user groups, stored."""
-    return stage(featured(spark, sf, group()), "candles")
+def candle_table(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """The candle facts of the user groups stored, likewise."""
+    rows = featured(spark, sf, group())
+    return stage(rows.select(*columns) if columns else rows, "candles")
+
+
+SCORE_COLUMNS = ("coin_id", "ingestion_date", "recommendation_score")
 
 
 def days(spark: SparkSession, sf: str) -> DataFrame:

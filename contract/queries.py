@@ -1276,22 +1276,29 @@ LEADERBOARD = build(
 )
 
 
-def _performance(spark, sf, hot):
+def _performance(spark, sf):
     return gold.performance_metrics(
-        fx.market_table(spark, sf), fx.candle_table(spark, sf), CFG, hot
+        fx.market_silver(spark, sf), fx.featured(spark, sf, fx.group()), CFG, hot=False
     )
 
 
 @register("leaderboard", LEADERBOARD)
 def _(spark, sf):
     # twenty entities a day: no group is large
-    return _performance(spark, sf, hot=False)
+    return _performance(spark, sf)
 
 
 @register("leaderboard_hot_day", LEADERBOARD)
 def _(spark, sf):
     # ranks by value buckets, as for days of any size
-    return _performance(spark, sf, hot=True)
+    made_here = ("gainer_rank", "loser_rank", "volume_rank", "performance_percentile",
+                 "performance_label", "streak_days", "streak_direction",
+                 "avg_recommendation_score", "gold_updated_at")
+    used = [c for c in gold.PERFORMANCE_COLUMNS if c not in made_here]
+    market_rows = fx.market_table(spark, sf, *used)
+    return gold.performance_metrics(
+        market_rows, fx.featured(spark, sf, fx.group()), CFG, hot=True
+    )
 
 
 SNAPSHOT = {
@@ -1342,7 +1349,7 @@ SNAPSHOT = {
 
 def _snapshot(spark, sf):
     return gold.market_snapshot(
-        fx.market_table(spark, sf), fx.candle_table(spark, sf), CFG
+        fx.market_silver(spark, sf), fx.featured(spark, sf, fx.group()), CFG
     )
 
 
@@ -1384,7 +1391,7 @@ TOP_OUT = f"""top_gainer_coin, top_gainer_name, {rnd('g', 3)} AS top_gainer_pct,
     ),
 )
 def _(spark, sf):
-    return gold.market_leaders(fx.market_table(spark, sf), CFG)
+    return gold.market_leaders(fx.market_silver(spark, sf), CFG)
 
 
 LEVELS = {
@@ -1406,7 +1413,7 @@ LEVELS = {
     build("SELECT * FROM levels", "gfeatured", extra=LEVELS, dates=("ingestion_date",)),
 )
 def _(spark, sf):
-    return gold.score_levels(fx.candle_table(spark, sf), CFG)
+    return gold.score_levels(fx.candle_table(spark, sf, *fx.SCORE_COLUMNS), CFG)
 
 
 CHANGE = "price_change_percentage_24h"
@@ -1449,7 +1456,7 @@ SUMMARY = {
 
 def _summary(spark, sf):
     return gold.market_summary(
-        fx.market_table(spark, sf), fx.candle_table(spark, sf), CFG
+        fx.market_silver(spark, sf), fx.candle_table(spark, sf, *fx.SCORE_COLUMNS), CFG
     )
 
 
@@ -1708,7 +1715,7 @@ MOVER = ("id", "name", "price_change_percentage_24h", "gainer_rank", "loser_rank
     ),
 )
 def _(spark, sf):
-    board = _performance(spark, sf, hot=False)
+    board = _performance(spark, sf)
 
     def top(rank: str) -> DataFrame:
         rows = views.top_movers(board, date(2024, 1, 30), rank)
