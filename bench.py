@@ -31,6 +31,9 @@ def main() -> None:
     extra = {
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": "8g",
+        # many different queries in one JVM: room for all their generated code, short history
+        "spark.driver.extraJavaOptions": "-XX:ReservedCodeCacheSize=1g -XX:+UseParallelGC",
+        "spark.sql.ui.retainedExecutions": "5",
         "spark.ui.showConsoleProgress": "false",
     }
     spark = build_session("bench", f"local[{cpus}]", **extra)

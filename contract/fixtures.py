@@ -76,10 +76,10 @@ def slot_number() -> Column:
     return (slots.cast("long") * 5 + F.length("coin_id")).cast("long")
 
 
-def dirty_candles(spark: SparkSession, sf: str) -> DataFrame:
+def dirty_candles(spark: SparkSession, sf: str, key: Column | None = None) -> DataFrame:
     """Candles with every kind of fault at fixed slot numbers; some rows twice."""
     k = F.col("k")
-    rows = candles(spark, sf).withColumn("k", slot_number())
+    rows = candles(spark, sf, key).withColumn("k", slot_number())
     # every rule reads the sound values
     rows = rows.withColumns(
         {
@@ -97,6 +97,29 @@ def dirty_candles(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("copy", F.explode(copies)).drop("copy")
 
 
+def bronze_candles(spark: SparkSession, sf: str) -> DataFrame:
+    """Faulty candles of the user groups with lineage; some rows are carried forward."""
+    status = (
+        F.when(F.col("k") % 29 == 0, "STALE")
+        .when(F.dayofmonth("candle_date") % 4 == 0, "PARTIAL_LOAD")
+        .when(F.dayofmonth("candle_date") % 4 == 1, "PARTIAL_LOAD_CRITICAL")
+        .otherwise("SUCCESS")
+    )
+    return dirty_candles(spark, sf, group()).withColumns(
+        {"load_status": status, "ingestion_timestamp": F.col("candle_datetime")}
+    )
+
+
+def bronze_market(spark: SparkSession, sf: str) -> DataFrame:
+    """Market days, some carried forward and some without a price."""
+    return market_days(spark, sf).withColumns(
+        {
+            "load_status": F.when(F.col("n") % 17 == 0, "STALE").otherwise("SUCCESS"),
+            "current_price": F.when(F.col("n") % 13 != 0, F.col("current_price")),
+        }
+    )
+
+
 def shaped(spark: SparkSession, sf: str) -> DataFrame:
     return indicators.candle_shape(candles(spark, sf))
 

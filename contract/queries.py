@@ -1212,6 +1212,69 @@ def _(spark, sf):
     return indicators.relative_strength(fx.candles(spark, sf), CFG).select(*CANDLE, "rsi")
 
 
+# --- fact tables end to end ------------------------------------------------------------------
+
+CANDLE_FACTS = (
+    "coin_id", "candle_datetime", "load_status", "data_quality_flag", "market_segment",
+    "supply_utilisation_pct", "is_scarce", "date_id", "year_week", "trading_session",
+    "candle_block", "candle_direction", "daily_range_pct", *AVERAGE_NAMES, *VOLATILITY_NAMES,
+    *MOMENTUM_NAMES, *BAND_NAMES, "trend_strength", "recommendation_score", "anomaly_flag",
+    "data_latency_hours",
+)
+
+
+@register(
+    "silver_candles",
+    build(
+        f"SELECT {', '.join(CANDLE_FACTS)} FROM facts",
+        "sfeatured",
+        extra={
+            "facts": f"""SELECT * REPLACE (CASE WHEN candle_body_pct >
+                (SELECT quantile_disc({s.BODY}, 0.99) FROM gfresh) THEN 'HIGH_BODY_PCT' END
+                AS anomaly_flag),
+              {rnd("(epoch(TIMESTAMP '2024-01-31') - epoch(candle_datetime)) / 3600", 2)}
+                AS data_latency_hours FROM sfeatured"""
+        },
+        stamps=("candle_datetime",),
+    ),
+)
+def _(spark, sf):
+    days = fx.days(spark, sf)
+    facts = silver.candle_metrics(
+        fx.bronze_candles(spark, sf),
+        fx.dim(spark, sf),
+        dims.dim_date(days, CFG),
+        dims.dim_date_hour(days, CFG),
+        CFG,
+    )
+    return facts.clean.select(*CANDLE_FACTS)
+
+
+MARKET_FACTS = (
+    "id", "ingestion_date", "current_price", "market_segment", "supply_utilisation_pct",
+    "is_scarce", "ath_distance_bucket", "date_id", "year_month", "days_in_universe",
+    "price_change_pct_24h_capped", "anomaly_flag", "anomaly_reason", "daily_return_pct",
+    "price_3d_change_pct", "price_movement_metric", "ma_3", "short_term_trend_signal",
+    "price_range_volatility", "liquidity_strength", "rank_movement", "data_freshness_hours",
+    "market_cap_rank_computed", "is_changed",
+)
+
+
+@register(
+    "silver_market",
+    build(f"SELECT {', '.join(MARKET_FACTS)} FROM fsilver", "fsilver", dates=("ingestion_date",)),
+)
+def _(spark, sf):
+    universe = fx.partial_batches(spark, sf).select(
+        F.col("id").alias("coin_id"), F.lit(True).alias("is_active")
+    )
+    dates = dims.dim_date(fx.days(spark, sf), CFG)
+    facts = silver.market_metrics(
+        fx.bronze_market(spark, sf), fx.dim(spark, sf), dates, universe, CFG
+    )
+    return facts.clean.select(*MARKET_FACTS)
+
+
 # --- published tables ------------------------------------------------------------------------
 
 STREAKS = {

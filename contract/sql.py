@@ -138,45 +138,125 @@ def featured(source: str, shape: str, wide: str, out: str) -> dict[str, tuple]:
     }
 
 
-UTILISATION = rnd(
-    "CASE WHEN max_supply > 0 THEN circulating_supply / max_supply * 100 END", 2
-)
-
-BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
-    "candles": ((), candles("event_type")),
-    "gcandles": ((), candles("CAST(user_id % 20 AS VARCHAR)")),
-    **featured("candles", "shaped", "wide", "featured"),
-    **featured("gcandles", "gshaped", "gwide", "gfeatured"),
-    "numbered": (
-        ("candles",),
-        "SELECT *, (timestamp_ms // 1000 - epoch(TIMESTAMP '2024-01-01')::BIGINT) // 14400 * 5 "
-        "+ length(coin_id) AS k FROM candles",
-    ),
-    "dirty": (
-        ("numbered",),
-        """SELECT coin_id, candle_datetime, candle_date, timestamp_ms, ticks, k,
+def faulty(source: str, numbered: str, out: str) -> dict[str, tuple]:
+    return {
+        numbered: (
+            (source,),
+            "SELECT *, (timestamp_ms // 1000 - epoch(TIMESTAMP '2024-01-01')::BIGINT) // 14400 * 5 "
+            f"+ length(coin_id) AS k FROM {source}",
+        ),
+        out: (
+            (numbered,),
+            f"""SELECT coin_id, candle_datetime, candle_date, timestamp_ms, ticks, k,
              CASE WHEN k % 61 = 0 THEN NULL WHEN k % 59 = 0 THEN high + 1 ELSE open END AS open,
              CASE WHEN k % 53 = 0 THEN low - 1 ELSE high END AS high,
              CASE WHEN k % 47 = 0 THEN -low - 1 ELSE low END AS low,
              CASE WHEN k % 43 = 0 THEN 0e0 WHEN k % 41 = 0 THEN high + 2 ELSE close END AS close
-           FROM numbered, LATERAL (SELECT unnest(CASE WHEN k % 37 = 0 THEN [1, 2] ELSE [1] END))""",
-    ),
-    "tagged": (
-        ("dirty",),
-        f"""SELECT *, concat_ws(' | ',
+           FROM {numbered}, LATERAL (SELECT unnest(CASE WHEN k % 37 = 0 THEN [1, 2] ELSE [1] END))""",
+        ),
+    }
+
+
+def tagged(source: str) -> str:
+    return f"""SELECT *, concat_ws(' | ',
              CASE WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL
                     OR candle_datetime IS NULL OR coin_id IS NULL THEN 'C:null_ohlc_field' END,
              CASE WHEN open < 0 OR high < 0 OR low < 0 OR close < 0 THEN 'A:negative_price' END,
              CASE WHEN close = 0 THEN 'A:zero_close' END,
-             CASE WHEN CASE WHEN open > 0 THEN close / open END > (SELECT {EXTREME} FROM dirty)
+             CASE WHEN CASE WHEN open > 0 THEN close / open END > (SELECT {EXTREME} FROM {source})
                   THEN 'A:extreme_candle' END,
              CASE WHEN high < low THEN 'B:high_lt_low' END,
              CASE WHEN open < low OR open > high THEN 'B:open_outside_hl' END,
              CASE WHEN close < low OR close > high THEN 'B:close_outside_hl' END,
              CASE WHEN count(*) OVER (PARTITION BY coin_id, timestamp_ms) > 1
                   THEN 'B:duplicate_candle' END) AS quarantine_reasons
-           FROM dirty""",
-    ),
+           FROM {source}"""
+
+
+def market_chain(base: str, p: str, extra: str = "") -> dict[str, tuple]:
+    """The market facts from a base of typed days."""
+    return {
+        p + "clean": (
+            (base,),
+            f"""SELECT * REPLACE (coalesce(price_change_24h, 0e0) AS price_change_24h,
+                   coalesce(price_change_percentage_24h, 0e0) AS price_change_percentage_24h),
+                 total_volume / market_cap AS volume_share{extra}
+               FROM {base}""",
+        ),
+        p + "bound": (
+            (p + "clean",),
+            f"""SELECT quantile_disc(price_change_percentage_24h, 0.01) AS price_lower,
+                 quantile_disc(price_change_percentage_24h, 0.99) AS price_upper,
+                 quantile_disc(volume_share, 0.99) AS volume_upper FROM {p}clean""",
+        ),
+        p + "flag": (
+            (p + "clean", p + "bound"),
+            f"""SELECT m.*,
+                 CASE WHEN price_change_percentage_24h > price_upper THEN price_upper
+                      WHEN price_change_percentage_24h < price_lower THEN price_lower
+                      ELSE price_change_percentage_24h END AS price_change_pct_24h_capped,
+                 price_change_percentage_24h < price_lower OR price_change_percentage_24h > price_upper
+                   OR volume_share > volume_upper AS anomaly_flag,
+                 concat_ws(',', CASE WHEN price_change_percentage_24h < price_lower
+                        OR price_change_percentage_24h > price_upper THEN 'PRICE_OUTLIER' END,
+                      CASE WHEN volume_share > volume_upper THEN 'VOLUME_SPIKE' END) AS anomaly_reason
+               FROM {p}clean m, {p}bound""",
+        ),
+        p + "lags": (
+            (p + "flag",),
+            f"""SELECT *, lag(current_price) OVER h AS prev_price,
+                 lag(current_price, 2) OVER h AS price_lag_2,
+                 lag(market_cap_rank) OVER h AS prev_rank,
+                 {mean('current_price', ' OVER t')} AS ma_3,
+                 max(current_price) OVER t AS top3, min(current_price) OVER t AS bottom3
+               FROM {p}flag WINDOW h AS (PARTITION BY id ORDER BY ingestion_timestamp),
+                 t AS (PARTITION BY id ORDER BY ingestion_timestamp ROWS 2 PRECEDING)""",
+        ),
+        p + "ret": (
+            (p + "lags",),
+            f"""SELECT *,
+                 CASE WHEN prev_price > 0 THEN (current_price - prev_price) / prev_price * 100
+                      ELSE price_change_pct_24h_capped END AS daily_return_pct,
+                 CASE WHEN price_lag_2 > 0
+                      THEN (current_price - price_lag_2) / price_lag_2 * 100 END AS change3,
+                 current_price / ma_3 AS trend_strength_ratio,
+                 (top3 - bottom3) / bottom3 * 100 AS price_range_volatility,
+                 {rnd('total_volume / market_cap', 4)} AS liquidity_strength,
+                 coalesce(prev_rank - market_cap_rank, 0) AS rank_movement,
+                 {rnd("(epoch(TIMESTAMP '2024-01-31')::BIGINT - floor(epoch(ingestion_timestamp))::BIGINT) / 3600", 2)}
+                   AS data_freshness_hours
+               FROM {p}lags""",
+        ),
+        p + "silver": (
+            (p + "ret",),
+            f"""SELECT *,
+                 coalesce((daily_return_pct + change3) / 2, daily_return_pct) AS price_movement_metric,
+                 coalesce(change3, 0e0) AS price_3d_change_pct,
+                 CASE WHEN trend_strength_ratio > 1 THEN 'BULLISH'
+                      WHEN trend_strength_ratio < 1 THEN 'BEARISH' ELSE 'NEUTRAL' END
+                   AS short_term_trend_signal,
+                 {rnd('liquidity_strength * 100', 2)} AS liquidity_strength_pct,
+                 rank() OVER (PARTITION BY ingestion_date ORDER BY market_cap DESC)
+                   AS market_cap_rank_computed,
+                 coalesce(abs(daily_return_pct) >
+                   (SELECT quantile_disc(daily_return_pct, 0.9) FROM {p}ret), false) AS is_changed
+               FROM {p}ret""",
+        ),
+    }
+
+
+UTILISATION = rnd(
+    "CASE WHEN max_supply > 0 THEN circulating_supply / max_supply * 100 END", 2
+)
+
+BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
+    "candles": ((), candles("event_type")),
+    "gcandles": ((), candles("CAST(user_id % 20 AS VARCHAR)")),
+    **featured("candles", "shaped", "wide", "featured"),
+    **featured("gcandles", "gshaped", "gwide", "gfeatured"),
+    **faulty("candles", "numbered", "dirty"),
+    **faulty("gcandles", "gnumbered", "gdirty"),
+    "tagged": (("dirty",), tagged("dirty")),
     "mbase": (
         (),
         """SELECT CAST(user_id % 20 AS VARCHAR) AS id, CAST(ts AS DATE) AS ingestion_date,
@@ -268,72 +348,42 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
              AND EXISTS (SELECT 1 FROM members x
                          WHERE x.ingestion_date = m.ingestion_date + INTERVAL 1 DAY)""",
     ),
-    "mclean": (
-        ("mdays",),
-        f"""SELECT * REPLACE (coalesce(price_change_24h, 0e0) AS price_change_24h,
-               coalesce(price_change_percentage_24h, 0e0) AS price_change_percentage_24h),
-             {SEGMENT} AS market_segment, total_volume / market_cap AS volume_share
-           FROM mdays""",
-    ),
-    "mbound": (
-        ("mclean",),
-        """SELECT quantile_disc(price_change_percentage_24h, 0.01) AS price_lower,
-             quantile_disc(price_change_percentage_24h, 0.99) AS price_upper,
-             quantile_disc(volume_share, 0.99) AS volume_upper FROM mclean""",
-    ),
-    "mflag": (
-        ("mclean", "mbound"),
-        """SELECT m.*,
-             CASE WHEN price_change_percentage_24h > price_upper THEN price_upper
-                  WHEN price_change_percentage_24h < price_lower THEN price_lower
-                  ELSE price_change_percentage_24h END AS price_change_pct_24h_capped,
-             price_change_percentage_24h < price_lower OR price_change_percentage_24h > price_upper
-               OR volume_share > volume_upper AS anomaly_flag,
-             concat_ws(',', CASE WHEN price_change_percentage_24h < price_lower
-                    OR price_change_percentage_24h > price_upper THEN 'PRICE_OUTLIER' END,
-                  CASE WHEN volume_share > volume_upper THEN 'VOLUME_SPIKE' END) AS anomaly_reason
-           FROM mclean m, mbound""",
-    ),
-    "mlags": (
-        ("mflag",),
-        f"""SELECT *, lag(current_price) OVER h AS prev_price,
-             lag(current_price, 2) OVER h AS price_lag_2,
-             lag(market_cap_rank) OVER h AS prev_rank,
-             {mean('current_price', ' OVER t')} AS ma_3,
-             max(current_price) OVER t AS top3, min(current_price) OVER t AS bottom3
-           FROM mflag WINDOW h AS (PARTITION BY id ORDER BY ingestion_timestamp),
-             t AS (PARTITION BY id ORDER BY ingestion_timestamp ROWS 2 PRECEDING)""",
+    **market_chain("mdays", "m", f", {SEGMENT} AS market_segment"),
+    "gfresh": (
+        ("gdirty",),
+        """SELECT *, CASE day(candle_date) % 4 WHEN 0 THEN 'PARTIAL_LOAD'
+             WHEN 1 THEN 'PARTIAL_LOAD_CRITICAL' ELSE 'SUCCESS' END AS load_status
+           FROM gdirty WHERE k % 29 <> 0""",
     ),
-    "mret": (
-        ("mlags",),
-        f"""SELECT *,
-             CASE WHEN prev_price > 0 THEN (current_price - prev_price) / prev_price * 100
-                  ELSE price_change_pct_24h_capped END AS daily_return_pct,
-             CASE WHEN price_lag_2 > 0
-                  THEN (current_price - price_lag_2) / price_lag_2 * 100 END AS change3,
-             current_price / ma_3 AS trend_strength_ratio,
-             (top3 - bottom3) / bottom3 * 100 AS price_range_volatility,
-             {rnd('total_volume / market_cap', 4)} AS liquidity_strength,
-             coalesce(prev_rank - market_cap_rank, 0) AS rank_movement,
-             {rnd("(epoch(TIMESTAMP '2024-01-31')::BIGINT - floor(epoch(ingestion_timestamp))::BIGINT) / 3600", 2)}
-               AS data_freshness_hours
-           FROM mlags""",
+    "gtagged": (("gfresh",), tagged("gfresh")),
+    "sjoined": (
+        ("gtagged", "dim", "ddate", "dhour"),
+        """SELECT c.*, CASE load_status WHEN 'PARTIAL_LOAD' THEN 'WARN_PARTIAL'
+             WHEN 'PARTIAL_LOAD_CRITICAL' THEN 'WARN_CRITICAL' END AS data_quality_flag,
+             v.market_segment, v.supply_utilisation_pct, v.is_scarce, d.date_id, d.year_week,
+             h.trading_session, h.candle_block
+           FROM gtagged c
+           LEFT JOIN dim v ON c.coin_id = v.id AND c.candle_date >= v.effective_from
+             AND (v.effective_to IS NULL OR c.candle_date < v.effective_to)
+           LEFT JOIN ddate d ON strftime(c.candle_date, '%Y-%m-%d') = d.date_actual
+           LEFT JOIN dhour h ON d.date_id = h.date_id AND hour(c.candle_datetime) = h.hour
+           WHERE quarantine_reasons = ''""",
     ),
-    "msilver": (
-        ("mret",),
-        f"""SELECT *,
-             coalesce((daily_return_pct + change3) / 2, daily_return_pct) AS price_movement_metric,
-             coalesce(change3, 0e0) AS price_3d_change_pct,
-             CASE WHEN trend_strength_ratio > 1 THEN 'BULLISH'
-                  WHEN trend_strength_ratio < 1 THEN 'BEARISH' ELSE 'NEUTRAL' END
-               AS short_term_trend_signal,
-             {rnd('liquidity_strength * 100', 2)} AS liquidity_strength_pct,
-             rank() OVER (PARTITION BY ingestion_date ORDER BY market_cap DESC)
-               AS market_cap_rank_computed,
-             coalesce(abs(daily_return_pct) >
-               (SELECT quantile_disc(daily_return_pct, 0.9) FROM mret), false) AS is_changed
-           FROM mret""",
+    **featured("sjoined", "sshaped", "swide", "sfeatured"),
+    "bronze_days": (("mdays",), "SELECT * FROM mdays WHERE n % 17 <> 0"),
+    "sound_days": (
+        ("bronze_days", "dim", "ddate", "partial"),
+        """SELECT m.*, v.market_segment, v.supply_utilisation_pct, v.is_scarce,
+             v.ath_distance_bucket, d.date_id, d.year_month, t.days_in_universe
+           FROM bronze_days m
+           LEFT JOIN dim v ON m.id = v.id AND m.ingestion_date >= v.effective_from
+             AND (v.effective_to IS NULL OR m.ingestion_date < v.effective_to)
+           LEFT JOIN ddate d ON strftime(m.ingestion_date, '%Y-%m-%d') = d.date_actual
+           LEFT JOIN (SELECT id, count(*) AS days_in_universe FROM partial GROUP BY 1) t
+             ON m.id = t.id
+           WHERE m.n % 13 <> 0""",
     ),
+    **market_chain("sound_days", "f"),
     "ddays": (
         (),
         """SELECT CAST(unnest(generate_series(min(CAST(ts AS DATE)),
