@@ -58,12 +58,20 @@ def stamp_fallback(snapshot: DataFrame, status: str, cfg: Config) -> DataFrame:
 def reconcile_stale(
     incoming: DataFrame, known: DataFrame, expected: DataFrame, cfg: Config
 ) -> DataFrame:
-    """One batch: the latest known row of every expected id the batch lacks, stamped STALE."""
+    """One batch: the latest known row of every expected id the batch lacks, stamped STALE.
+
+    The last day of each missing id comes from two columns of the stored table; whole rows are
+    then read for those (id, day) pairs only.
+    """
     missing = expected.select("id").join(incoming.select("id"), "id", "left_anti")
+    last = (
+        known.select("id", DAY)
+        .join(missing, "id", "left_semi")
+        .groupBy("id")
+        .agg(F.max(DAY).alias(DAY))
+    )
     latest = first_per_key(
-        known.join(missing, "id", "left_semi"),
-        ["id"],
-        [F.col(DAY).desc(), F.col("ingestion_timestamp").desc()],
+        known.join(last, ["id", DAY], "left_semi"), ["id"], [F.col("ingestion_timestamp").desc()]
     )
     received = incoming.select(F.countDistinct("id")).scalar()
     return stamp_fallback(latest, labels.STALE, cfg).withColumns(

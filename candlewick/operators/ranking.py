@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from candlewick.config import Config
 
+# 2^8 buckets per group
+BUCKET_BITS = 8
+
 
 def largest_group(df: DataFrame, group: str) -> int:
     """Rows of the biggest group: reads one column, counts map-side, returns one number."""
@@ -14,48 +18,76 @@ def largest_group(df: DataFrame, group: str) -> int:
     return row[0] or 0
 
 
-def value_positions(df: DataFrame, group: str, metric: str, buckets: int = 256) -> DataFrame:
-    """(group, metric) -> rows before this value, rows with it, rows of the group; NULLs first.
+def _slot(cuts: Column, value: Column) -> Column:
+    """Twice the number of cuts below the value, plus one where the value is itself a cut. A value
+    that fills more than one bucket's worth of rows is always a cut, so it has a slot to itself;
+    NULLs have the first slot."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(BUCKET_BITS))])
+    below = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: found
+        + F.when(F.get(cuts, found + step - 1) < value, step).otherwise(F.lit(0)),
+    )
+    on_cut = F.array_contains(cuts, value).cast("int")
+    return F.when(value.isNull(), F.lit(-1)).otherwise(below * 2 + on_cut)
 
-    Equal values collapse map-side before anything moves. The remaining distinct values of a group
-    are cut at approximate quantiles into buckets; each bucket is sorted by its own task and
-    shifted by the row count of the buckets before it.
-    """
-    values = df.groupBy(group, metric).agg(F.count("*").alias("_n"))
-    steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = values.groupBy(group).agg(
-        F.percentile_approx(F.col(metric).cast("double"), steps, F.lit(buckets * 20)).alias("_cuts")
+
+def _bucket_table(df: DataFrame, group: str, metric: str) -> DataFrame:
+    """One row per group: the cuts, and per slot the rows before it and in it."""
+    shares = F.array(*[F.lit(i / (1 << BUCKET_BITS)) for i in range(1, 1 << BUCKET_BITS)])
+    cuts = df.groupBy(group).agg(
+        F.percentile_approx(metric, shares, F.lit(20 << BUCKET_BITS)).alias("_cuts")
+    )
+    along = Window.partitionBy(group).orderBy("_slot")
+    sizes = (
+        df.select(group, metric)
+        .join(_small(cuts, group), group)
+        .groupBy(group, _slot(F.col("_cuts"), F.col(metric)).alias("_slot"))
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_before", F.sum("_rows").over(along) - F.col("_rows"))
     )
-    value = F.col(metric).cast("double")
+    # at most two slots per cut: a short list per group
+    listed = F.collect_list(F.struct("_slot", F.struct("_before", "_rows")))
+    slots = sizes.groupBy(group).agg(
+        F.map_from_entries(listed).alias("_slots"), F.sum("_rows").alias("_total")
+    )
+    return cuts.join(slots, group)
+
+
+def _small(per_group: DataFrame, group: str) -> DataFrame:
+    """Per-day tables are bounded by the calendar (about 6 kB a day) and are broadcast; others are
+    joined as the measured sizes suggest."""
+    is_day = isinstance(per_group.schema[group].dataType, DateType)
+    return F.broadcast(per_group) if is_day else per_group
+
+
+def with_positions(df: DataFrame, group: str, metric: str) -> DataFrame:
+    """Add ``_before`` (rows of the group with a lower value, NULLs lowest), ``_peers`` (rows with
+    this value) and ``_total``.
+
+    The group is cut at approximate quantiles. Rows on a cut read their position off the slot
+    table without moving; the rest is sorted bucket by bucket, each bucket a task.
+    """
+    value = F.col(metric)
     placed = (
-        values.join(cuts, group)
-        .withColumn(
-            "_bucket",
-            F.when(value.isNull(), F.lit(-1)).otherwise(
-                F.size(F.filter("_cuts", lambda cut: cut < value))
-            ),
-        )
-        .drop("_cuts")
+        df.join(_small(_bucket_table(df, group, metric), group), group)
+        .withColumn("_slot", _slot(F.col("_cuts"), value))
+        .withColumn("_entry", F.element_at("_slots", F.col("_slot")))
+        .drop("_cuts", "_slots")
     )
-    along = Window.partitionBy(group).orderBy("_bucket")
-    shifts = (
-        placed.groupBy(group, "_bucket")
-        .agg(F.sum("_n").alias("_m"))
-        .select(
-            group,
-            "_bucket",
-            (F.sum("_m").over(along) - F.col("_m")).alias("_shift"),
-            F.sum("_m").over(Window.partitionBy(group)).alias("_total"),
-        )
+    single = F.col("_slot") % 2 != 0
+    on_cut = placed.where(single).withColumns(
+        {"_before": F.col("_entry._before"), "_peers": F.col("_entry._rows")}
     )
-    inside = Window.partitionBy(group, "_bucket").orderBy(metric)
-    return placed.join(shifts, [group, "_bucket"]).select(
-        group,
-        metric,
-        (F.col("_shift") + F.sum("_n").over(inside) - F.col("_n")).alias("_before"),
-        F.col("_n"),
-        F.col("_total"),
+    inside = Window.partitionBy(group, "_slot").orderBy(metric)
+    between = placed.where(~single).withColumns(
+        {
+            "_before": F.col("_entry._before") + F.rank().over(inside) - 1,
+            "_peers": F.count("*").over(inside.rangeBetween(Window.currentRow, Window.currentRow)),
+        }
     )
+    return on_cut.unionByName(between).drop("_slot", "_entry")
 
 
 def add_ranks(
@@ -77,18 +109,12 @@ def add_ranks(
             {name: _window_rank(group, metric, how) for name, (metric, how) in ranks.items()}
         )
     for metric in dict.fromkeys(metric for metric, _ in ranks.values()):
-        places = value_positions(df, group, metric).withColumnsRenamed(
-            {group: "_g", metric: "_v"}
+        wanted = {name: _position_rank(how) for name, (m, how) in ranks.items() if m == metric}
+        df = (
+            with_positions(df, group, metric)
+            .withColumns(wanted)
+            .drop("_before", "_peers", "_total")
         )
-        df = df.join(
-            places,
-            (F.col(group) == F.col("_g")) & F.col(metric).eqNullSafe(F.col("_v")),
-            "left",
-        )
-        wanted = {
-            name: _position_rank(how) for name, (m, how) in ranks.items() if m == metric
-        }
-        df = df.withColumns(wanted).drop("_g", "_v", "_before", "_n", "_total")
     return df
 
 
@@ -102,7 +128,7 @@ def _window_rank(group: str, metric: str, how: str):
 
 def _position_rank(how: str):
     if how == "desc":
-        return (F.col("_total") - F.col("_before") - F.col("_n") + 1).cast("int")
+        return (F.col("_total") - F.col("_before") - F.col("_peers") + 1).cast("int")
     if how == "asc":
         return (F.col("_before") + 1).cast("int")
     return F.when(F.col("_total") > 1, F.col("_before") / (F.col("_total") - 1)).otherwise(0.0)

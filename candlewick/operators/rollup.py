@@ -22,9 +22,9 @@ def candles_from_ticks(
 ) -> DataFrame:
     """Ticks to candles on the calendar grid. Only mergeable aggregates on primitive columns, so
     each input task sends one row per candle."""
-    slot = F.window(ts, f"{cfg.candle_hours} hours")
+    slot = F.window(ts, f"{cfg.candle_hours} hours")["start"]
     return (
-        ticks.groupBy(F.col(key).alias("coin_id"), slot.alias("_slot"))
+        ticks.groupBy(F.col(key).alias("coin_id"), slot.alias("candle_datetime"))
         .agg(
             F.min_by(price, ts).alias("open"),
             F.max(price).alias("high"),
@@ -32,16 +32,11 @@ def candles_from_ticks(
             F.max_by(price, ts).alias("close"),
             F.count("*").alias("ticks"),
         )
-        .select(
-            "coin_id",
-            F.col("_slot.start").alias("candle_datetime"),
-            F.to_date("_slot.start").alias("candle_date"),
-            (F.unix_timestamp("_slot.start") * 1000).alias("timestamp_ms"),
-            "open",
-            "high",
-            "low",
-            "close",
-            "ticks",
+        .withColumns(
+            {
+                "candle_date": F.to_date("candle_datetime"),
+                "timestamp_ms": F.unix_timestamp("candle_datetime") * 1000,
+            }
         )
     )
 

@@ -32,6 +32,7 @@ LOG_COLUMNS = (
     "rows_written int, retry_count int, error_message string"
 )
 ERROR_LENGTH = 2000
+MAX_PRUNED_PARTITIONS = 1000
 
 
 def use_database(spark: SparkSession, name: str) -> None:
@@ -92,6 +93,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def touched_partitions(target: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
+    """The part of a table whose partitions a batch touches.
+
+    Usually a handful of values: as literals they prune the scan. A batch over more partitions
+    than that keeps the values distributed and joins them.
+    """
+    touched = batch.select(partition_by).distinct()
+    values = [row[0] for row in touched.limit(MAX_PRUNED_PARTITIONS + 1).collect()]
+    if len(values) > MAX_PRUNED_PARTITIONS:
+        return target.join(touched, partition_by, "left_semi")
+    return target.where(F.col(partition_by).isin([v for v in values if v is not None]))
+
+
 def publish_merge(
     source: DataFrame,
     table: str,
@@ -103,28 +117,26 @@ def publish_merge(
     """Merge a batch into a table. With a partition column that the key determines, only the
     partitions the batch touches are read and rewritten; the rest is left alone."""
     spark = source.sparkSession
-    source = require_unique(drop_internal(source), keys)
+    # checked, pruned by and merged: evaluated once
+    batch = require_unique(stage(drop_internal(source), f"{table}-{cfg.run_id}"), keys)
     if not spark.catalog.tableExists(table):
-        create_table(source, table, partition_by)
+        create_table(batch, table, partition_by)
         return
-    target = spark.table(table)
-    if how == "synced" and set(target.columns) != set(source.columns):
-        create_table(stage(merge_synced(target, source, keys), table), table, partition_by)
+    known = spark.table(table).columns
+    if how == "synced" and set(known) != set(batch.columns):
+        merged = merge_synced(spark.table(table), batch, keys)
+        create_table(stage(merged, table), table, partition_by)
         return
-    if partition_by:
-        touched = source.select(partition_by).distinct()
-        target = target.join(touched, partition_by, "left_semi")
     if how != "common_columns":
-        source = _aligned(source, table)
-        target = spark.table(table) if not partition_by else spark.table(table).join(
-            touched, partition_by, "left_semi"
-        )
-    merged = MERGES[how](target, source, keys).select(*spark.table(table).columns)
-    staged = stage(merged, table)
+        batch = _aligned(batch, table)
+    target = spark.table(table)
+    if partition_by:
+        target = touched_partitions(target, batch, partition_by)
+    merged = stage(MERGES[how](target, batch, keys).select(*target.columns), table)
     if partition_by:
-        _overwrite_partitions(staged, table)
+        _overwrite_partitions(merged, table)
     else:
-        create_table(staged, table)
+        create_table(merged, table)
 
 
 def write_clustered(
