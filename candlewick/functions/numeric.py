@@ -1,8 +1,8 @@
-"""Arithmetic helpers: guarded ratios, category rounding, rolling statistics."""
+"""Arithmetic helpers: guarded ratios, category rounding, averages."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.config import Config
@@ -56,49 +56,3 @@ def mean_of(column: Column, cfg: Config) -> Column:
         return F.avg(column)
     total = F.sum(_exact(column, cfg.exact_scale)).cast("double")
     return total / F.nullif(F.count(column), F.lit(0))
-
-
-def with_rolling(
-    df: DataFrame, w: WindowSpec, wanted: dict[str, tuple[str, str, int]], cfg: Config
-) -> DataFrame:
-    """Add ``name -> ("mean" | "std", column, rows before the current one)`` over a key's history.
-
-    Doubles use Spark's sliding frames. Exact sums use running totals instead: a frame's total is
-    the running total less the one just before the frame, so a row costs the same for any width.
-    """
-    if cfg.exact_scale is None:
-        kinds = {"mean": F.avg, "std": F.stddev_samp}
-        return df.withColumns(
-            {
-                name: kinds[kind](column).over(w.rowsBetween(-rows, 0))
-                for name, (kind, column, rows) in wanted.items()
-            }
-        )
-    columns = dict.fromkeys(column for _, column, _ in wanted.values())
-    squared = {column for kind, column, _ in wanted.values() if kind == "std"}
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    totals = {}
-    for c in columns:
-        exact = _exact(F.col(c), cfg.exact_scale)
-        totals[f"_n_{c}"] = F.count(c).over(running)
-        totals[f"_s_{c}"] = F.sum(exact).over(running)
-        if c in squared:
-            totals[f"_q_{c}"] = F.sum(exact * exact).over(running)
-    reach = {(column, rows) for _, column, rows in wanted.values()}
-    frames = {
-        f"{total}_{rows}": F.coalesce(total, F.lit(0))
-        - F.coalesce(F.lag(total, rows + 1).over(w), F.lit(0))
-        for column, rows in sorted(reach)
-        for total in (f"_n_{column}", f"_s_{column}", f"_q_{column}")
-        if total in totals
-    }
-    out = {}
-    for name, (kind, c, rows) in wanted.items():
-        n, total = F.col(f"_n_{c}_{rows}"), F.col(f"_s_{c}_{rows}").cast("double")
-        if kind == "mean":
-            out[name] = F.when(n > 0, total / n)
-        else:
-            squares = F.col(f"_q_{c}_{rows}").cast("double")
-            spread = (squares - total * total / n) / (n - 1)
-            out[name] = F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0))))
-    return df.withColumns(totals).withColumns(frames).withColumns(out).drop(*totals, *frames)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from candlewick.config import Config
 from candlewick.functions import labels
-from candlewick.functions.numeric import pct_change, with_rolling
+from candlewick.functions.numeric import pct_change
 from candlewick.functions.scores import recommendation_score
 from candlewick.operators.quality import body_pct
+from candlewick.operators.rolling import with_rolling
 from candlewick.operators.series import over_series
 
 KEY, TIME = "coin_id", "candle_datetime"
@@ -46,10 +47,21 @@ def _volatility_frames(cfg: Config) -> dict:
     return deviations | {"_usual": ("mean", "daily_range_usd", cfg.lag_rows(cfg.mid_days))}
 
 
+def _band_frames(cfg: Config) -> dict:
+    out = {}
+    for days in (cfg.mid_days, cfg.long_days):
+        out[f"support_{days}d"] = ("min", "low", cfg.lag_rows(days))
+        out[f"resistance_{days}d"] = ("max", "high", cfg.lag_rows(days))
+    return out
+
+
 def _rounded(df: DataFrame, frames: dict, cfg: Config) -> DataFrame:
-    digits = {"mean": cfg.price_digits, "std": cfg.ratio_digits}
     return df.withColumns(
-        {n: F.round(n, digits[kind]) for n, (kind, *_) in frames.items() if n != "_usual"}
+        {
+            name: F.round(name, cfg.ratio_digits if kind == "std" else cfg.price_digits)
+            for name, (kind, *_) in frames.items()
+            if name != "_usual"
+        }
     )
 
 
@@ -74,15 +86,6 @@ def _with_momentum(df: DataFrame, w: WindowSpec, cfg: Config) -> DataFrame:
     )
 
 
-def _bands(w: WindowSpec, cfg: Config) -> dict:
-    out = {}
-    for days in (cfg.mid_days, cfg.long_days):
-        frame = w.rowsBetween(-cfg.lag_rows(days), 0)
-        out[f"support_{days}d"] = F.round(F.min("low").over(frame), cfg.price_digits)
-        out[f"resistance_{days}d"] = F.round(F.max("high").over(frame), cfg.price_digits)
-    return out
-
-
 def moving_averages(candles: DataFrame, cfg: Config) -> DataFrame:
     frames = _average_frames(cfg)
     out = _series(candles, cfg, lambda df, w: with_rolling(df, w, frames, cfg))
@@ -100,8 +103,9 @@ def momentum(candles: DataFrame, cfg: Config) -> DataFrame:
 
 
 def support_resistance(candles: DataFrame, cfg: Config) -> DataFrame:
-    out = _series(candles, cfg, lambda df, w: df.withColumns(_bands(w, cfg)))
-    return out.withColumn("price_level_signal", _level(cfg))
+    frames = _band_frames(cfg)
+    out = _series(candles, cfg, lambda df, w: with_rolling(df, w, frames, cfg))
+    return _rounded(out, frames, cfg).withColumn("price_level_signal", _level(cfg))
 
 
 def _level(cfg: Config):
@@ -114,11 +118,10 @@ def _level(cfg: Config):
 def candle_features(candles: DataFrame, cfg: Config) -> DataFrame:
     """Every indicator in one pass: one shuffle by coin and one sort serve all windows."""
 
-    frames = _average_frames(cfg) | _volatility_frames(cfg)
+    frames = _average_frames(cfg) | _volatility_frames(cfg) | _band_frames(cfg)
 
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        banded = _with_momentum(df.withColumns(_bands(w, cfg)), w, cfg)
-        return with_rolling(banded, w, frames, cfg)
+        return with_rolling(_with_momentum(df, w, cfg), w, frames, cfg)
 
     long_average = F.col(f"ma_{cfg.long_days}d")
     featured = _series(candle_shape(candles), cfg, add).withColumn("volatility_cluster", _cluster())

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from candlewick.config import Config
 from candlewick.functions import labels
-from candlewick.functions.numeric import pct_change, pct_of, ratio, with_rolling
+from candlewick.functions.numeric import pct_change, pct_of, ratio
 from candlewick.operators.indicators import hours_since
 from candlewick.operators.quality import flag_changes
 from candlewick.operators.ranking import add_ranks
+from candlewick.operators.rolling import with_rolling
 from candlewick.operators.series import over_series
 
 
@@ -18,18 +19,20 @@ def price_features(df: DataFrame, cfg: Config) -> DataFrame:
     """Lags, returns, the three-row trend and range, liquidity, rank movement, freshness."""
 
     def add(frame: DataFrame, w: WindowSpec) -> DataFrame:
-        three = w.rowsBetween(-2, 0)
         price = F.col("current_price")
         lagged = frame.withColumns(
             {
                 "prev_price": F.lag(price).over(w),
                 "price_lag_2": F.lag(price, 2).over(w),
                 "prev_rank": F.lag("market_cap_rank").over(w),
-                "_top": F.max(price).over(three),
-                "_bottom": F.min(price).over(three),
             }
         )
-        return with_rolling(lagged, w, {"ma_3": ("mean", "current_price", 2)}, cfg)
+        frames = {
+            "ma_3": ("mean", "current_price", 2),
+            "_top": ("max", "current_price", 2),
+            "_bottom": ("min", "current_price", 2),
+        }
+        return with_rolling(lagged, w, frames, cfg)
 
     price = F.col("current_price")
     out = over_series(df, "id", "ingestion_timestamp", 2, cfg.series_chunk_rows, add)
