@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: ``[^\x20\x09-\x0D]+`` and ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` as one flag per byte.
 UNSPACED = np.ones(256, dtype=bool)
@@ -34,7 +35,7 @@ def flatten(column) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.string())
     if column.null_count:
-        column = pa.compute.fill_null(column, "")
+        column = pc.fill_null(column, "")
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
     if not len(column):
         return np.empty(0, np.uint8), np.zeros(1, np.int64)

@@ -10,6 +10,7 @@ from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +73,7 @@ def shards(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> It
     """Regroup batches so that the text of each shard stays near ``max_bytes`` (one row at least)."""
     held, size = [], 0
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         at = 0
         for row, length in enumerate(lengths.tolist()):
             if size and size + length > max_bytes:
