@@ -7,12 +7,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import lines, substrings
+from candlewick.llm import contamination, fingerprints, lines, substrings
 from candlewick.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.find_test_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+OP1_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[start:start + 9], ' ') AS phrase
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS start FROM items WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT size FROM phrases),
+windows AS (
+  SELECT doc_id, size, start, array_to_string(words[start:start + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS start FROM split CROSS JOIN sizes)),
+hits AS (SELECT doc_id, start, size, item_id FROM windows JOIN phrases USING (size, phrase)),
+hit_words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(start, start + size)) AS pos FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM split LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substrings.drop_repeated_windows(table(spark, sf_dir, "documents"), 50)
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -24,15 +66,15 @@ WITH split AS (
 windows AS (
   SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS start FROM split),
 hashed AS (
-  SELECT doc_id, start, md5(array_to_string(words[start:start + 49], ' ')) AS window FROM windows),
-firsts AS (SELECT window, min(doc_id) AS first_doc FROM hashed GROUP BY window),
+  SELECT doc_id, start, md5(array_to_string(words[start:start + 49], ' ')) AS phrase FROM windows),
+firsts AS (SELECT phrase, min(doc_id) AS first_doc FROM hashed GROUP BY phrase),
 removed AS (
-  SELECT DISTINCT doc_id, unnest(range(start, start + 50)) AS at
-  FROM hashed JOIN firsts USING (window) WHERE first_doc < doc_id),
-words AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM split),
+  SELECT DISTINCT doc_id, unnest(range(start, start + 50)) AS pos
+  FROM hashed JOIN firsts USING (phrase) WHERE first_doc < doc_id),
+words AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM split),
 kept AS (
-  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY at) AS text
-  FROM words ANTI JOIN removed USING (doc_id, at) GROUP BY doc_id)
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY pos) AS text
+  FROM words ANTI JOIN removed USING (doc_id, pos) GROUP BY doc_id)
 SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed,
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM split LEFT JOIN kept USING (doc_id)
@@ -48,19 +90,21 @@ OP9_SQL = r"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 lines AS (
-  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS at FROM split),
+  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM split),
 keyed AS (
   SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
 common AS (
   SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(common.key) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN common USING (key) GROUP BY doc_id
 """
 
 
 REGISTRY: dict[str, tuple[Query, str | None]] = {
+    "op1_decontamination": (op1_decontamination, OP1_SQL),
+    "op2_fingerprints": (op2_fingerprints, None),
     "op4_substring_dedup": (op4_substring_dedup, OP4_SQL),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
 }
