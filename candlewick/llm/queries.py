@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import contamination, fingerprints, lines, substrings
+from candlewick.llm import contamination, fingerprints, lines, neardups, substrings
 from candlewick.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,35 @@ FROM split LEFT JOIN kept USING (doc_id)
 """
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardups.near_duplicates(table(spark, sf_dir, "documents"), neardups.Likeness(words=3, percent=85))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[start:start + 2], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS start FROM split WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS id, doc_id AS root FROM split
+  UNION
+  SELECT edges.b AS id, reach.root FROM reach JOIN edges ON edges.a = reach.id WHERE reach.root < edges.b)
+SELECT split.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id, min(root) = split.doc_id AS kept
+FROM split JOIN reach ON reach.id = split.doc_id LEFT JOIN sizes ON sizes.doc_id = split.doc_id GROUP BY split.doc_id
+"""
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = lines.drop_common_lines(table(spark, sf_dir, "documents"), 10)
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -106,5 +135,6 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_fingerprints": (op2_fingerprints, None),
     "op4_substring_dedup": (op4_substring_dedup, OP4_SQL),
+    "op7_near_duplicates": (op7_near_duplicates, OP7_SQL),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
 }
