@@ -25,6 +25,8 @@ BLOCK = 1 << 18
 #: Odd bases of the polynomial hashes and their inverses modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
+LENGTH_FACTOR, MASK = 0xA0761D6478BD642F, (1 << 64) - 1
+
 _POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -99,11 +101,25 @@ def hash_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which:
         sums = np.zeros(high - low + 1, np.uint64)
         np.cumsum((values[low:high].astype(np.uint64) + np.uint64(1)) * up[: high - low], out=sums[1:])
         s, e = starts[at:to] - low, ends[at:to] - low
-        out[at:to] = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+        out[at:to] = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64) * np.uint64(LENGTH_FACTOR)
         at = to
     return mix(out)
 
 
+def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``hash_from`` needs to hash any span of a short buffer at once."""
+    up, down = _powers(BASES[0], len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=sums[1:])
+    return sums, down
+
+
+def hash_from(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the spans of one length, equal to those of ``hash_spans``."""
+    total, down = sums
+    return mix((total[starts + length] - total[starts]) * down[starts] + np.uint64(length * LENGTH_FACTOR & MASK))
+
+
 def hash_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word and each text's first word."""
     starts, ends, first = spans(data, offsets, inside)

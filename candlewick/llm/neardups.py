@@ -17,13 +17,15 @@ NO_ID = -(1 << 63)
 
 #: SetSketch parameters: base of the register scale, rate of the exponentials, largest register.
 BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 1
-REGISTERS, BAND = 128, 4
+REGISTERS = 512
+#: A pair at the threshold may share no band with this probability at most.
+MISSED = 1e-7
 #: Pairs whose estimate is this many standard deviations below the threshold are not verified.
 DEVIATIONS = 5.0
-#: Members of a bucket that one round compares with the whole bucket at least.
-FIRST_PIVOTS = 8
+#: Rounds in which members apart from their pivot are compared with one of themselves.
+MORE_PIVOTS = 2
 
-FACTORS = A.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
+FACTORS = (A.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 @dataclass(frozen=True)
@@ -33,6 +35,12 @@ class Likeness:
     words: int = 5
     percent: int = 80
 
+    @property
+    def band(self) -> int:
+        """Registers in a band: as many as leave a pair at the threshold a common band."""
+        wide = [r for r in range(1, 33) if (1 - (self.percent / 100) ** r) ** (REGISTERS // r) <= MISSED]
+        return max(wide, default=1)
+
 
 def shingle_sets(texts, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of every text, and where each text's begin."""
@@ -52,16 +60,16 @@ def registers(shingles: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """One row of registers for each text; texts without shingles have zeros.
 
     A register is a truncated minimum of exponentials on a scale of powers of BASE, so registers
-    of a union are the larger ones of both.
+    of a union are the larger ones of both. Each one reads half of the shingle hash.
     """
     out = np.zeros((len(cuts) - 1, REGISTERS), np.uint16)
     full = np.flatnonzero(np.diff(cuts))
     if not len(full):
         return out
-    for j, factor in enumerate(FACTORS):
-        least = np.minimum.reduceat(shingles * factor, cuts[full])
-        value = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**64)
-        out[full, j] = np.clip(np.floor(1 - np.log(RATE * value) / np.log(BASE)), 0, LARGEST)
+    halves = [shingles.astype(np.uint32), (shingles >> np.uint64(32)).astype(np.uint32)]
+    least = np.stack([np.minimum.reduceat(halves[j % 2] * factor, cuts[full]) for j, factor in enumerate(FACTORS)], axis=1)
+    value = -np.log1p(-(least + 0.5) / 2.0**32)
+    out[full] = np.clip(np.floor(1 - np.log(value / RATE) / np.log(BASE)), 0, LARGEST)
     return out
 
 
@@ -148,20 +156,59 @@ def _linked(percent: int):
     return run
 
 
+def _difference(percent: int):
+    """Shingles by which a document and its pivot differ, each way, and those it is found by.
+
+    Differences are symmetric: two documents differ by what exactly one of their differences to
+    the pivot holds. So if one is not linked to the pivot, the other can only be linked to it by
+    sharing more than ``(d - c * (n - np)) / 2`` of its own ``d`` differences, where ``c`` is
+    ``(1 - t) / (1 + t)``. Any ``d`` less that many, plus one, hold a shared one; shingles that the
+    pivot lacks come first, as few documents share them.
+    """
+
+    def run(batches):
+        for batch in batches:
+            every, some = [], []
+            for x, y, apart in zip(batch["sa"].to_pylist(), batch["sb"].to_pylist(), batch["apart"].to_pylist(), strict=True):
+                mine, pivot = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                new = mine[~np.isin(mine, pivot, assume_unique=True)]
+                gone = A.mix(pivot[~np.isin(pivot, mine, assume_unique=True)])
+                both = np.concatenate([new, gone]).view(np.int64)
+                shared = ((100 + percent) * len(both) - (100 - percent) * (len(mine) - len(pivot))) // (2 * (100 + percent))
+                every.append(both if apart else both[:0])
+                some.append(both[: max(0, len(both) - shared)])
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (every, some)]
+            names = ["pivot", "doc", "n", "label"]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), *lists], [*names, "every", "some"])
+
+    return run
+
+
 class _Links:
     """Verified links among the representatives of equal sets."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, like: Likeness, scratch: Scratch):
-        self.like, self.scratch = like, scratch
-        bands = REGISTERS // BAND
-        keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * 2 * BAND + 1, F.lit(2 * BAND))))
-        self.sketches = classes
+        self.like, self.scratch, self.sketches = like, scratch, classes
+        bands, wide = REGISTERS // like.band, 2 * like.band
+        keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * wide + 1, F.lit(wide))))
         banded = classes.select("doc", "n", F.explode(keys).alias("key"))
         buckets = scratch.keep(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
         score = F.sum("size").over(Window.partitionBy("doc"))
-        self.members = scratch.keep(banded.join(buckets, "key").select("key", "doc", "n", "size", score.alias("score")), "members")
-        wanted = self.members.select("doc").distinct()
+        members = scratch.keep(banded.join(buckets, "key").select("key", "doc", "n", score.alias("score")), "members")
+        wanted = members.select("doc").distinct()
         self.sets = scratch.keep(docs.join(wanted, "doc", "left_semi").mapInArrow(_sets(like.words), "doc long, shingles binary"), "sets")
+        pivots = scratch.keep(members.groupBy("key").agg(self._best()).select("key", *self._named("pivot")), "pivots")
+        met = members.join(pivots, "key").where("doc <> pivot").select("pivot", "n_pivot", "doc", "n", "score")
+        self.groups = scratch.keep(met.distinct(), "groups")
+
+    @staticmethod
+    def _best():
+        """The member with the largest buckets, most likely the text that others were copied from."""
+        return F.max(F.struct("score", F.bitwise_not("doc").alias("doc"), "n")).alias("best")
+
+    @staticmethod
+    def _named(name: str):
+        return F.bitwise_not("best.doc").alias(name), F.col("best.n").alias(f"n_{name}")
 
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
         """Pairs ``(a, na, b, nb)`` that are linked: possible by size, likely by sketch, then exact."""
@@ -170,49 +217,53 @@ class _Links:
         sketch = self.sketches.select("doc", "n", "registers")
         a, b = (sketch.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}")) for x in "ab")
         likely = pairs.join(b, "b").join(a, "a").mapInArrow(_likely(self.like.percent), "a long, b long").distinct()
-        a, b = (self.sets.select(F.col("doc").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
-        linked = likely.join(b, "b").join(a, "a").mapInArrow(_linked(self.like.percent), "a long, b long")
-        return self.scratch.keep(linked.distinct(), name)
-
-    def labels(self) -> DataFrame | None:
-        """Compare each bucket with one pivot, then with those members that are still apart.
-
-        The pivot is the member with the largest buckets: the text that most others were copied
-        from. Members linked to it, by whatever way, are done. Each of the rest is compared with
-        all members of the bucket outside its own component, some in each round and four times as
-        many in the next; links found meanwhile make components grow and leave fewer to compare.
-        At the end no two members of a bucket are both apart and uncompared.
+        linked = self._with_sets(likely, "a", "b").mapInArrow(_linked(self.like.percent), "a long, b long")
+        return self.scratch.keep(linked.distinct(), f"links-{name}")
+
+    def _with_sets(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
+        first, second = (self.sets.select(F.col("doc").alias(x), F.col("shingles").alias(s)) for x, s in ((a, "sa"), (b, "sb")))
+        return pairs.join(first, a).join(second, b)
+
+    def _labelled(self, name: str) -> tuple[DataFrame, DataFrame]:
+        """Components of the links so far, and the groups with each member's label and whether it is apart."""
+        links = self.scratch.spark.read.schema("a long, b long").parquet(self.scratch.path("links-*"))
+        labels = components(links, self.scratch, f"labels-{name}")
+        mine = labels.select(F.col("id").alias("doc"), "label")
+        main = labels.select(F.col("id").alias("pivot"), F.col("label").alias("main"))
+        groups = self.groups.join(mine, "doc", "left").join(main, "pivot", "left")
+        label, main = F.coalesce("label", "doc"), F.coalesce("main", "pivot")
+        groups = groups.select("pivot", "n_pivot", "doc", "n", "score", label.alias("label"), (label != main).alias("apart"))
+        return labels, self.scratch.keep(groups, f"groups-{name}")
+
+    def labels(self) -> DataFrame:
+        """Compare each bucket's members with one pivot, then those still apart from it.
+
+        Members linked to the pivot, by whatever way, are done. Of the rest, one after another is
+        compared with those beside it, in a few rounds; that joins groups inside a group. What is
+        then still apart is compared with all members that differ from the pivot in the same
+        shingles, by enough of them: all others cannot be linked to it (``_difference``).
         """
-        best = self.members.groupBy("key").agg(F.max(F.struct("score", F.bitwise_not("doc").alias("doc"), "n")).alias("best"), F.first("size").alias("size"))
-        pivots = self.scratch.keep(best.select("key", F.bitwise_not("best.doc").alias("pivot"), F.col("best.n").alias("np"), "size"), "pivots")
-        met = self.members.join(pivots.drop("size"), "key").where("doc <> pivot")
-        links = self.verify(met.select(F.col("pivot").alias("a"), F.col("np").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")), "links-0")
-        labels, at, used = None, 0, None
-        while True:
-            if at == 0 or not links.isEmpty():
-                found = self.scratch.read(links, "links-*") if at else links
-                labels = components(found, self.scratch, f"labels-{at}")
-            here = F.coalesce("label", "doc").alias("label")
-            now = self.members.where("size > 2").join(labels.withColumnRenamed("id", "doc"), "doc", "left").select("key", "doc", "n", here)
-            main = pivots.where("size > 2").join(labels.withColumnRenamed("id", "pivot"), "pivot", "left")
-            main = main.select("key", "pivot", F.coalesce("label", "pivot").alias("main"))
-            apart = now.join(main, "key").where("label <> main").select("key", "doc", "n", "label", "pivot")
-            if used is not None:
-                apart = apart.join(used, ["key", "doc"], "left_anti")
-            apart = self.scratch.keep(apart, f"apart-{at}")
+        pair = [F.col("pivot").alias("a"), F.col("n_pivot").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")]
+        self.verify(self.groups.select(*pair), "0")
+        labels, groups = self._labelled("0")
+        for at in range(1, MORE_PIVOTS + 1):
+            apart = groups.where("apart")
             if apart.isEmpty():
                 return labels
-            left = apart.groupBy("key").agg(F.count(F.lit(1)).alias("left"))
-            share = F.ceil(F.col("left") / F.lit(FIRST_PIVOTS * 4**at))
-            chosen = apart.join(left, "key").where(F.pmod(F.xxhash64("doc", F.lit(at)), share) == 0).drop("left")
-            chosen = self.scratch.keep(chosen, f"used-{at}")
-            used = self.scratch.read(chosen, "used-*").select("key", "doc")
-            mine = chosen.select("key", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("label").alias("mine"), "pivot")
-            met = now.join(mine, "key").where("label <> mine and doc <> pivot")
-            x, y = F.struct(F.col("a").alias("i"), F.col("na").alias("n")), F.struct(F.col("doc").alias("i"), F.col("n").alias("n"))
-            met = met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
-            at += 1
-            links = self.verify(met.select(F.col("x.i").alias("a"), F.col("x.n").alias("na"), F.col("y.i").alias("b"), F.col("y.n").alias("nb")), f"links-{at}")
+            best = apart.groupBy("pivot").agg(self._best(), F.max_by("label", F.struct("score", F.bitwise_not("doc"))).alias("chosen"))
+            best = self.scratch.keep(best.select("pivot", *self._named("next"), "chosen"), f"next-{at}")
+            met = apart.join(best, "pivot").where("label <> chosen")
+            self.verify(met.select(F.col("next").alias("a"), F.col("n_next").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")), str(at))
+            labels, groups = self._labelled(str(at))
+        open_ = groups.join(groups.where("apart").select("pivot").distinct(), "pivot", "left_semi")
+        schema = "pivot long, doc long, n long, label long, every array<long>, some array<long>"
+        found = self._with_sets(open_, "doc", "pivot").mapInArrow(_difference(self.like.percent), schema)
+        found = self.scratch.keep(found, "differences")
+        x = found.select("pivot", F.explode("every").alias("shingle"), F.col("doc").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+        y = found.select("pivot", F.explode("some").alias("shingle"), F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+        met = x.join(y, (x.pivot == y.pivot) & (x.shingle == y.shingle) & (F.col("la") != F.col("lb")))
+        self.verify(met.select("a", "na", "b", "nb"), "last")
+        return self._labelled("last")[0]
 
 
 def near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
@@ -222,7 +273,7 @@ def near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
     representative; sketches of those are banded, and pairs of a bucket are filtered by size and by
     the likelihood estimate of their registers, then confirmed on the full sets. ``component_id`` is
     the smallest id that links reach. A pair at the threshold meets in no bucket with probability
-    under 1e-7 (5 words, 80 %) and is estimated too low with probability 3e-7.
+    under 1e-7 and is estimated too low with probability 3e-7.
 
     Null or empty texts have no shingles and stay alone; a text shorter than a shingle is one
     shingle. A null id sorts first and gives a null component; rows of one id are one document.
