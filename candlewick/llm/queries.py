@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import contamination, fingerprints, lines, neardups, substrings
+from candlewick.llm import contamination, fingerprints, language, lines, neardups, substrings, toxicity
 from candlewick.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,12 @@ FROM split LEFT JOIN kept USING (doc_id)
 """
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardups.near_duplicates(table(spark, sf_dir, "documents"), neardups.Likeness(words=3, percent=85))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -110,6 +116,11 @@ FROM split JOIN reach ON reach.id = split.doc_id LEFT JOIN sizes ON sizes.doc_id
 """
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs)).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = lines.drop_common_lines(table(spark, sf_dir, "documents"), 10)
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -135,6 +146,8 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_fingerprints": (op2_fingerprints, None),
     "op4_substring_dedup": (op4_substring_dedup, OP4_SQL),
+    "op6_toxicity": (op6_toxicity, None),
     "op7_near_duplicates": (op7_near_duplicates, OP7_SQL),
+    "op8_language_id": (op8_language_id, None),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
 }

@@ -13,9 +13,11 @@ from candlewick.llm.common import prepare, shards
 #: Character n-grams of a word with its borders, hashed into rows of the embedding.
 SHORTEST, LONGEST, ROWS, WIDTH = 3, 5, 1 << 16, 8
 #: Training rows of labels 0 and 1 at most; size of a mini-batch, passes and step size.
-SAMPLE, BATCH, PASSES, STEP, HEAD_STEP = (6000, 2000), 64, 8, 0.3, 0.1
+SAMPLE, BATCH, PASSES, STEP = (6000, 2000), 64, 6, 0.01
 #: Averages are small, as few n-grams of a text tell; they are scaled by this before the softmax.
-SCALE = 32.0
+SCALE = 16.0
+#: A row met in this many training texts counts half; in more, nearly full.
+RARE = 50
 #: Neutral n-grams that every average counts besides its own, so that few words say little.
 NEUTRAL = 30
 SHARD_BYTES = 4 << 20
@@ -78,38 +80,51 @@ def _bagged(batches):
 
 
 def train(examples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tuple[np.ndarray, float]:
-    """Fit embedding and softmax together by gradient steps; returns row weights and the bias.
+    """Fit embedding and softmax together with Adam; returns the weight of each row and the bias.
 
     A text's score is linear in its average, so the two layers fold into one weight for each row
-    of the embedding, and scoring needs no matrix. Plain steps, not normalised ones: a row that
-    few texts share stays near zero, so that rare clean n-grams do not add up to noise.
+    of the embedding, and scoring needs no matrix. Rows of rare n-grams are damped, and a row that
+    training never meets stays neutral, so that unknown clean words do not add up to noise.
     """
-    random = np.random.default_rng(seed)
-    table = np.zeros((ROWS, WIDTH), np.float32)  # a row that training never meets stays neutral
-    head, bias = random.normal(0, 0.5, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
     labels = np.array([label for _, _, label in examples], np.int64)
-    passes = PASSES if len(set(labels.tolist())) == 2 else 0
-    done, steps = 0, passes * len(examples) / BATCH
-    for _ in range(passes):
+    if len(set(labels.tolist())) < 2:
+        return np.zeros(ROWS, np.float32), 0.0
+    random = np.random.default_rng(seed)
+    met = np.bincount(np.concatenate([rows for rows, _, _ in examples]), minlength=ROWS)
+    damped = (SCALE * met / (met + RARE)).astype(np.float32)
+    table, head = np.zeros((ROWS, WIDTH), np.float32), random.normal(0, 0.5, (WIDTH, 2)).astype(np.float32)
+    bias = np.log(np.bincount(labels) / len(labels)).astype(np.float32)
+    moments = [(np.zeros_like(x), np.zeros_like(x)) for x in (table, head, bias)]
+    done, steps = 0, PASSES * len(examples) / BATCH
+
+    def move(x, grad, at, which):
+        mean, square = moments[which]
+        mean[at] = 0.9 * mean[at] + 0.1 * grad
+        square[at] = 0.99 * square[at] + 0.01 * grad * grad
+        rate = STEP * max(0.0, 1 - done / steps)
+        x[at] -= rate * (mean[at] / (1 - 0.9**done)) / (np.sqrt(square[at] / (1 - 0.99**done)) + 1e-8)
+
+    for _ in range(PASSES):
         order = random.permutation(len(examples))
         for low in range(0, len(order), BATCH):
-            rate, done = STEP * max(0.0, 1 - done / steps), done + 1
-            chosen = [examples[i] for i in order[low : low + BATCH]]
-            text = np.repeat(np.arange(len(chosen)), [len(r) for r, _, _ in chosen])
-            rows, shares = np.concatenate([r for r, _, _ in chosen]), np.concatenate([s for _, s, _ in chosen]) * SCALE
-            hidden = np.stack([np.bincount(text, shares * table[rows, k], len(chosen)) for k in range(WIDTH)], axis=1).astype(np.float32)
+            done += 1
+            batch = order[low : low + BATCH]
+            text = np.repeat(np.arange(len(batch)), [len(examples[i][0]) for i in batch])
+            rows = np.concatenate([examples[i][0] for i in batch])
+            shares = np.concatenate([examples[i][1] for i in batch]) * damped[rows]
+            hidden = np.stack([np.bincount(text, shares * table[rows, k], len(batch)) for k in range(WIDTH)], axis=1).astype(np.float32)
             logits = hidden @ head + bias
             back = np.exp(logits - logits.max(axis=1, keepdims=True))
             back /= back.sum(axis=1, keepdims=True)
-            back[np.arange(len(chosen)), labels[order[low : low + BATCH]]] -= 1
+            back[np.arange(len(batch)), labels[batch]] -= 1
+            back /= len(batch)
             down = back @ head.T
             at, place = np.unique(rows, return_inverse=True)
-            grad = np.stack([np.bincount(place.reshape(-1), shares * down[text, k], len(at)) for k in range(WIDTH)], axis=1)
-            head -= rate * HEAD_STEP * (hidden.T @ back)
-            bias -= rate * HEAD_STEP * back.sum(axis=0)
-            table[at] -= (rate * grad).astype(np.float32)
-    fold = (head[:, 1] - head[:, 0]) * SCALE
-    return (table @ fold).astype(np.float32), float(bias[1] - bias[0])
+            grad = np.stack([np.bincount(place.reshape(-1), shares * down[text, k], len(at)) for k in range(WIDTH)], axis=1).astype(np.float32)
+            move(head, hidden.T @ back, slice(None), 1)
+            move(bias, back.sum(axis=0), slice(None), 2)
+            move(table, grad, at, 0)
+    return (table @ (head[:, 1] - head[:, 0])) * damped, float(bias[1] - bias[0])
 
 
 class Model:
