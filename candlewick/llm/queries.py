@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import contamination, fingerprints, language, lines, neardups, substrings, toxicity
+from candlewick.llm import contamination, fingerprints, language, lines, neardups, substrings, tokens, toxicity
 from candlewick.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +142,21 @@ FROM keyed LEFT JOIN common USING (key) GROUP BY doc_id
 """
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best segmentations of every text, and whether decoding gives the text back."""
+    encoder = tokens.read_encoder()
+    coded = tokens.decode(tokens.encode(table(spark, sf_dir, "documents"), encoder, 3), encoder)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.get("scores", F.lit(0)).alias("best_score"),
+        F.get("scores", F.lit(1)).alias("second_score"),
+        F.get("scores", F.lit(2)).alias("third_score"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_fingerprints": (op2_fingerprints, None),
@@ -150,4 +165,5 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op7_near_duplicates": (op7_near_duplicates, OP7_SQL),
     "op8_language_id": (op8_language_id, None),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
+    "op10_sentencepiece": (op10_sentencepiece, None),
 }
