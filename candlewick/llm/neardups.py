@@ -22,9 +22,6 @@ REGISTERS = 512
 MISSED = 1e-7
 #: Pairs whose estimate is this many standard deviations below the threshold are not verified.
 DEVIATIONS = 5.0
-#: Rounds in which members apart from their pivot are compared with one of themselves.
-MORE_PIVOTS = 2
-
 FACTORS = (A.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
@@ -168,7 +165,7 @@ def _difference(percent: int):
 
     def run(batches):
         for batch in batches:
-            every, some = [], []
+            every, some, sizes = [], [], []
             for x, y, apart in zip(batch["sa"].to_pylist(), batch["sb"].to_pylist(), batch["apart"].to_pylist(), strict=True):
                 mine, pivot = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 new = mine[~np.isin(mine, pivot, assume_unique=True)]
@@ -177,9 +174,10 @@ def _difference(percent: int):
                 shared = ((100 + percent) * len(both) - (100 - percent) * (len(mine) - len(pivot))) // (2 * (100 + percent))
                 every.append(both if apart else both[:0])
                 some.append(both[: max(0, len(both) - shared)])
+                sizes.append(len(both))
             lists = [pa.array(x, pa.list_(pa.int64())) for x in (every, some)]
             names = ["pivot", "doc", "n", "label"]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), *lists], [*names, "every", "some"])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(sizes, pa.int64()), *lists], [*names, "d", "every", "some"])
 
     return run
 
@@ -188,14 +186,15 @@ class _Links:
     """Verified links among the representatives of equal sets."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, like: Likeness, scratch: Scratch):
-        self.like, self.scratch, self.sketches = like, scratch, classes
+        self.like, self.scratch = like, scratch
         bands, wide = REGISTERS // like.band, 2 * like.band
         keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * wide + 1, F.lit(wide))))
         banded = classes.select("doc", "n", F.explode(keys).alias("key"))
         buckets = scratch.keep(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
         score = F.sum("size").over(Window.partitionBy("doc"))
         members = scratch.keep(banded.join(buckets, "key").select("key", "doc", "n", score.alias("score")), "members")
-        wanted = members.select("doc").distinct()
+        wanted = scratch.keep(members.select("doc").distinct(), "wanted")
+        self.sketches = scratch.keep(classes.join(wanted, "doc", "left_semi"), "compared")
         self.sets = scratch.keep(docs.join(wanted, "doc", "left_semi").mapInArrow(_sets(like.words), "doc long, shingles binary"), "sets")
         pivots = scratch.keep(members.groupBy("key").agg(self._best()).select("key", *self._named("pivot")), "pivots")
         met = members.join(pivots, "key").where("doc <> pivot").select("pivot", "n_pivot", "doc", "n", "score")
@@ -238,32 +237,43 @@ class _Links:
     def labels(self) -> DataFrame:
         """Compare each bucket's members with one pivot, then those still apart from it.
 
-        Members linked to the pivot, by whatever way, are done. Of the rest, one after another is
-        compared with those beside it, in a few rounds; that joins groups inside a group. What is
-        then still apart is compared with all members that differ from the pivot in the same
-        shingles, by enough of them: all others cannot be linked to it (``_difference``).
+        Members linked to the pivot, by whatever way, are done. Of the rest, the best one is
+        compared with those beside it; that joins groups inside a group. What is then still apart
+        is compared with all members that differ from the pivot in the same shingles, by enough of
+        them: all others cannot be linked to it (``_difference``).
         """
         pair = [F.col("pivot").alias("a"), F.col("n_pivot").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")]
         self.verify(self.groups.select(*pair), "0")
         labels, groups = self._labelled("0")
-        for at in range(1, MORE_PIVOTS + 1):
-            apart = groups.where("apart")
-            if apart.isEmpty():
-                return labels
-            best = apart.groupBy("pivot").agg(self._best(), F.max_by("label", F.struct("score", F.bitwise_not("doc"))).alias("chosen"))
-            best = self.scratch.keep(best.select("pivot", *self._named("next"), "chosen"), f"next-{at}")
-            met = apart.join(best, "pivot").where("label <> chosen")
-            self.verify(met.select(F.col("next").alias("a"), F.col("n_next").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")), str(at))
-            labels, groups = self._labelled(str(at))
+        apart = groups.where("apart")
+        if apart.isEmpty():
+            return labels
+        best = apart.groupBy("pivot").agg(self._best(), F.max_by("label", F.struct("score", F.bitwise_not("doc"))).alias("chosen"))
+        best = self.scratch.keep(best.select("pivot", *self._named("next"), "chosen"), "next")
+        met = apart.join(best, "pivot").where("label <> chosen")
+        self.verify(met.select(F.col("next").alias("a"), F.col("n_next").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")), "1")
+        labels, groups = self._labelled("1")
+        self.verify(self._by_differences(groups), "2")
+        return self._labelled("2")[0]
+
+    def _by_differences(self, groups: DataFrame) -> DataFrame:
+        """Pairs of members with different labels, one of them apart, that share enough differences."""
+        percent = self.like.percent
         open_ = groups.join(groups.where("apart").select("pivot").distinct(), "pivot", "left_semi")
-        schema = "pivot long, doc long, n long, label long, every array<long>, some array<long>"
-        found = self._with_sets(open_, "doc", "pivot").mapInArrow(_difference(self.like.percent), schema)
+        schema = "pivot long, doc long, n long, label long, d long, every array<long>, some array<long>"
+        found = self._with_sets(open_, "doc", "pivot").mapInArrow(_difference(percent), schema)
         found = self.scratch.keep(found, "differences")
-        x = found.select("pivot", F.explode("every").alias("shingle"), F.col("doc").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-        y = found.select("pivot", F.explode("some").alias("shingle"), F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-        met = x.join(y, (x.pivot == y.pivot) & (x.shingle == y.shingle) & (F.col("la") != F.col("lb")))
-        self.verify(met.select("a", "na", "b", "nb"), "last")
-        return self._labelled("last")[0]
+
+        def side(name: str, shingles: str) -> DataFrame:
+            columns = [F.col(c).alias(f"{c}{name}") for c in ("pivot", "n", "label", "d")]
+            rest = (F.col("d") - F.size(shingles)).alias(f"rest{name}")
+            return found.select(F.col("doc").alias(name), *columns, rest, F.explode(shingles).alias(f"shingle{name}"))
+
+        same = (F.col("pivota") == F.col("pivotb")) & (F.col("shinglea") == F.col("shingleb")) & (F.col("labela") != F.col("labelb"))
+        shared = side("a", "every").join(side("b", "some"), same)
+        shared = shared.groupBy("pivota", "a", "b", "na", "nb", "da", "db", "restb").agg(F.count(F.lit(1)).alias("shared"))
+        most = 2 * (100 + percent) * (F.col("shared") + F.col("restb"))
+        return shared.where(most >= (100 + percent) * (F.col("da") + F.col("db")) - (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "na", "b", "nb")
 
 
 def near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
