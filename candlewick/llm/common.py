@@ -11,7 +11,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.session import shared_dir
@@ -88,6 +88,20 @@ def shards(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> It
             yield whole
 
 
+def bounded_sample(rows: DataFrame, key: str, most: Column) -> DataFrame:
+    """At most ``most`` rows of each key, those with the least hash of ``doc_id``.
+
+    Keys are counted first, and only about four times the wanted share of each is ranked; so the
+    ranking of a key has a few thousand rows at any size of the table.
+    """
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("size")).withColumnRenamed(key, "sized")
+    grain = 1 << 40
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(grain)).cast("double") * F.col("size") < 4 * most * F.lit(grain).cast("double")
+    near = rows.join(F.broadcast(sizes), F.col(key) == F.col("sized")).where(share).drop("sized", "size")
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64("doc_id"), "doc_id"))
+    return near.withColumn("place", place).where(F.col("place") <= most).drop("place")
+
+
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """``(id, label)``: each id of the links ``(a, b)`` with the smallest id it can reach.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import contamination, fingerprints, language, lines, neardups, substrings, tokens, toxicity
+from candlewick.llm import contamination, fingerprints, language, lines, neardups, substrings, tokens, toxicity, urls
 from candlewick.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,33 @@ FROM split LEFT JOIN kept USING (doc_id)
 """
 
 
+#: The rules of the contract.
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark, RULES))
+
+
+OP5_SQL = r"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, regexp_extract(rest, '^[^?#]*') AS whole FROM rest),
+named AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         substr(whole, length(raw) + 1) AS path FROM parts),
+ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule FROM named)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
+"""
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -161,6 +188,7 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_fingerprints": (op2_fingerprints, None),
     "op4_substring_dedup": (op4_substring_dedup, OP4_SQL),
+    "op5_url_filter": (op5_url_filter, OP5_SQL),
     "op6_toxicity": (op6_toxicity, None),
     "op7_near_duplicates": (op7_near_duplicates, OP7_SQL),
     "op8_language_id": (op8_language_id, None),

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm import arrays as A
-from candlewick.llm.common import prepare, shards
+from candlewick.llm.common import bounded_sample, prepare, shards
 
 #: Character n-grams of a word with its borders, hashed into rows of the embedding.
 SHORTEST, LONGEST, ROWS, WIDTH = 3, 5, 1 << 16, 8
@@ -152,8 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) ->
     """
     prepare(docs.sparkSession)
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out())
-    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.distinct().withColumn("place", place).where(F.col("place") <= F.when(F.col("toxic") == 0, sample[0]).otherwise(sample[1])).drop("place")
+    chosen = bounded_sample(known.distinct(), "toxic", F.when(F.col("toxic") == 0, sample[0]).otherwise(sample[1]))
     rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     found = rows.mapInArrow(_bagged, "doc_id long, toxic int, rows array<int>, shares array<float>").orderBy("doc_id").toArrow()
     examples = [(r.values.to_numpy(), s.values.to_numpy(), t) for r, s, t in zip(found["rows"], found["shares"], found["toxic"].to_pylist(), strict=True)]
