@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import contamination, fingerprints, language, lines, neardups, substrings, tokens, toxicity, urls
-from candlewick.llm.common import table
+from candlewick.llm import contamination, fingerprints, language, lines, neardups, substrings, tokens, toxicity, urls, warc
+from candlewick.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,35 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as archives in the shared folder and read them back, revisits by headers alone."""
+    scratch = Scratch(spark, "warc")
+    warc.write(warc.page_records(table(spark, sf_dir, "pages"), scratch), scratch.path("archives"))
+    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).cast("long")
+    responses = warc.read(spark, scratch.path("archives")).where("record_type = 'response'")
+    revisits = warc.read(spark, scratch.path("archives"), payload=False).where("record_type = 'revisit'")
+    return responses.select(
+        page(F.col("record_id")).alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"),
+        "record_type",
+        F.lit(None).cast("long").alias("refers_to"),
+    ).union(
+        revisits.select(page(F.col("record_id")), "payload_length", F.regexp_replace("payload_digest", "^sha256:", ""), "record_type", page(F.col("refers_to")))
+    )
+
+
+OP3_SQL = r"""
+WITH paid AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+firsts AS (SELECT payload_digest, min(page_id) AS first_page FROM paid WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_page < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_page < page_id THEN first_page END AS refers_to
+FROM paid LEFT JOIN firsts USING (payload_digest)
+"""
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substrings.drop_repeated_windows(table(spark, sf_dir, "documents"), 50)
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -187,6 +216,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_fingerprints": (op2_fingerprints, None),
+    "op3_warc": (op3_warc, OP3_SQL),
     "op4_substring_dedup": (op4_substring_dedup, OP4_SQL),
     "op5_url_filter": (op5_url_filter, OP5_SQL),
     "op6_toxicity": (op6_toxicity, None),
