@@ -42,6 +42,20 @@ def prepare(spark: SparkSession) -> None:
     context._candlewick_shipped = True
 
 
+def carried(docs: DataFrame) -> Column:
+    """All columns but the text as one struct, so that no name can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+
+
+def carried_type(docs: DataFrame) -> str:
+    return docs.select(carried(docs)).schema["row"].dataType.simpleString()
+
+
+def restored(found: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The carried columns in their old order, with new values for some of them."""
+    return found.select(*[(changed[c] if c in changed else F.col("text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in columns])
+
+
 class Scratch:
     """Staged tables of one run in the cluster's shared folder."""
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from candlewick.llm import arrays as A
-from candlewick.llm.common import prepare, shards
+from candlewick.llm.common import carried, carried_type, prepare, shards
 from candlewick.llm.fmindex import FmIndex
 
 #: Text in one index, and phrase text searched at once (more phrases: one more pass each).
@@ -93,7 +93,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scan(wanted: Phrases, last: bool):
+def _scan(wanted: Phrases):
     def scanned(shard: pa.Table) -> pa.RecordBatch:
         n = shard.num_rows
         data, offsets = A.flatten(shard["text"])
@@ -127,8 +127,7 @@ def _scan(wanted: Phrases, last: bool):
                     spans[d] = _merged([(x["start"], x["end"]) for x in old] + spans[d])
                 items[d].update(had)
         columns = {"doc_id": shard["doc_id"].combine_chunks(), "n_words": pa.array(np.diff(first)), "spans": pa.array([[{"start": b, "end": e} for b, e in x] for x in spans], SPANS), "items": pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
-        if not last:
-            columns["text"] = shard["text"].combine_chunks()
+        columns |= {name: shard[name].combine_chunks() for name in ("text", "row")}
         return pa.RecordBatch.from_pydict({k: v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v for k, v in columns.items()})
 
     return lambda batches: (scanned(shard) for shard in shards(batches, "text", SHARD_BYTES))
@@ -146,7 +145,7 @@ def _blocks(benchmark: DataFrame) -> list[list[tuple]]:
 
 
 def find_test_passages(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """``doc_id, n_words, spans, items``: where documents hold windows of ``width`` item words.
+    """``doc_id, n_words, spans, items, text, row``: where documents hold windows of ``width`` item words.
 
     Words are runs of digits, letters and non-ASCII bytes after lower-casing A-Z. Each shard of a
     few megabytes gets an FM-index over its words; words of no phrase cannot be inside an
@@ -155,14 +154,13 @@ def find_test_passages(docs: DataFrame, benchmark: DataFrame, width: int = 10) -
 
     Null or empty texts have no words, items without words no windows; an item shorter than
     ``width`` is one window. Repeated rows are judged each on its own; a null doc_id stays null, a
-    null item_id is listed as ``None``. Other columns are ignored, empty tables allowed. The test
+    null item_id is listed as ``None``. Other columns are carried in ``row``, empty tables allowed. The test
     set is the query side: it is sent to every task, PHRASE_BYTES of text at a time, and each
     block is one more pass over the documents.
     """
     prepare(docs.sparkSession)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    out, blocks = docs.select("doc_id", "text"), _blocks(benchmark)
-    for at, block in enumerate(blocks):
-        last = at == len(blocks) - 1
-        out = out.mapInArrow(_scan(phrases(block, width), last), f"doc_id {id_type}, {SCHEMA}" + ("" if last else ", text string"))
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {SCHEMA}, text string, row {carried_type(docs)}"
+    out = docs.select("doc_id", "text", carried(docs))
+    for block in _blocks(benchmark):
+        out = out.mapInArrow(_scan(phrases(block, width)), schema)
     return out

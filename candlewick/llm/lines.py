@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Scratch, prepare
+from candlewick.llm.common import Scratch, carried, carried_type, prepare
 
 #: What is stripped from both ends of a line.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -92,12 +92,12 @@ TABLE = str.maketrans(UPPER, LOWER)
 
 
 def drop_common_lines(docs: DataFrame, threshold: int = 10, batches: int = BATCHES) -> DataFrame:
-    """``doc_id``, ``n_lines``, ``n_dropped``, ``kept``: texts without lines of ``threshold`` documents.
+    """``doc_id, row, n_lines, n_dropped, kept``: texts without lines of ``threshold`` documents.
 
     A line's key is stripped of ASCII white space and lower-cased in A-Z; empty keys are always
     kept. Each row counts as one document, also where ids repeat; rows of one id lose the common
     lines of all of them, which are common anyway. A null id is an id. A null or empty text is one
-    empty line. Other columns are ignored. An empty table gives an empty result.
+    empty line. Other columns are carried in ``row``. An empty table gives an empty result.
 
     Documents arrive in ``batches`` by the hash of their id, as increments would.
     """
@@ -113,6 +113,6 @@ def drop_common_lines(docs: DataFrame, threshold: int = 10, batches: int = BATCH
     common = scratch.keep(runs.common(), "common")
     gone = found.join(common, "key").groupBy("doc_id").agg(F.collect_set("key").alias("gone"))
     gone = gone.withColumnRenamed("doc_id", "gone_id")
-    joined = docs.select("doc_id", "text").join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return joined.select("doc_id", "text", "gone").mapInArrow(_kept, f"doc_id {id_type}, n_lines long, n_dropped long, kept string")
+    joined = docs.select("doc_id", "text", carried(docs)).join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row {carried_type(docs)}, n_lines long, n_dropped long, kept string"
+    return joined.select("doc_id", "row", "text", "gone").mapInArrow(_kept, schema)
