@@ -223,16 +223,28 @@ class _Links:
         first, second = (self.sets.select(F.col("doc").alias(x), F.col("shingles").alias(s)) for x, s in ((a, "sa"), (b, "sb")))
         return pairs.join(first, a).join(second, b)
 
-    def _labelled(self, name: str) -> tuple[DataFrame, DataFrame]:
-        """Components of the links so far, and the groups with each member's label and whether it is apart."""
-        links = self.scratch.spark.read.schema("a long, b long").parquet(self.scratch.path("links-*"))
-        labels = components(links, self.scratch, f"labels-{name}")
+    def _joined(self, labels: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
+        """Components after further links: only labels that the links join are worked on again."""
+        if labels is None:
+            return components(links, self.scratch, f"labels-{name}")
+        a, b = (labels.select(F.col("id").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
+        between = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+        between = self.scratch.keep(between.where("a <> b").distinct(), f"between-{name}")
+        if between.isEmpty():
+            return labels
+        merged = components(between, self.scratch, f"labels-{name}")
+        up = merged.select(F.col("id").alias("label"), F.col("label").alias("up"))
+        old = labels.join(up, "label", "left").select("id", F.coalesce("up", "label").alias("label"))
+        return self.scratch.keep(old.union(merged.join(labels, "id", "left_anti").select("id", "label")), f"joined-{name}")
+
+    def _apart(self, labels: DataFrame, name: str) -> DataFrame:
+        """The groups with each member's label and whether that differs from its pivot's."""
         mine = labels.select(F.col("id").alias("doc"), "label")
         main = labels.select(F.col("id").alias("pivot"), F.col("label").alias("main"))
         groups = self.groups.join(mine, "doc", "left").join(main, "pivot", "left")
         label, main = F.coalesce("label", "doc"), F.coalesce("main", "pivot")
         groups = groups.select("pivot", "n_pivot", "doc", "n", "score", label.alias("label"), (label != main).alias("apart"))
-        return labels, self.scratch.keep(groups, f"groups-{name}")
+        return self.scratch.keep(groups, f"groups-{name}")
 
     def labels(self) -> DataFrame:
         """Compare each bucket's members with one pivot, then those still apart from it.
@@ -243,18 +255,17 @@ class _Links:
         them: all others cannot be linked to it (``_difference``).
         """
         pair = [F.col("pivot").alias("a"), F.col("n_pivot").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")]
-        self.verify(self.groups.select(*pair), "0")
-        labels, groups = self._labelled("0")
+        labels = self._joined(None, self.verify(self.groups.select(*pair), "0"), "0")
+        groups = self._apart(labels, "0")
         apart = groups.where("apart")
         if apart.isEmpty():
             return labels
         best = apart.groupBy("pivot").agg(self._best(), F.max_by("label", F.struct("score", F.bitwise_not("doc"))).alias("chosen"))
         best = self.scratch.keep(best.select("pivot", *self._named("next"), "chosen"), "next")
         met = apart.join(best, "pivot").where("label <> chosen")
-        self.verify(met.select(F.col("next").alias("a"), F.col("n_next").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")), "1")
-        labels, groups = self._labelled("1")
-        self.verify(self._by_differences(groups), "2")
-        return self._labelled("2")[0]
+        met = met.select(F.col("next").alias("a"), F.col("n_next").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb"))
+        labels = self._joined(labels, self.verify(met, "1"), "1")
+        return self._joined(labels, self.verify(self._by_differences(self._apart(labels, "1")), "2"), "2")
 
     def _by_differences(self, groups: DataFrame) -> DataFrame:
         """Pairs of members with different labels, one of them apart, that share enough differences."""
