@@ -26,21 +26,36 @@ def asof_join(
 ) -> DataFrame:
     """Attributes of the version valid on each fact's day: from inclusive, to exclusive.
 
-    An equi-join on the entity with the interval as residual test. Versions per entity are at most
-    one per day; a hot entity's facts are split by the adaptive skew join.
+    Linear in facts and versions: a closed version is listed once for each month it touches, so a
+    fact meets the versions of its own (entity, month) only; the one open version of an entity is
+    met by entity. A hot entity's facts are split by the adaptive skew join. Versions must not
+    overlap (``require_versions``), or a fact would come back twice.
     """
+    on_day: Column = F.col(day).cast("date")
     versions = dim.select(
         F.col("id").alias("_id"),
-        F.col("effective_from").alias("_from"),
-        F.col("effective_to").alias("_to"),
-        *attributes,
+        F.col("effective_from").cast("date").alias("_from"),
+        F.col("effective_to").cast("date").alias("_to"),
+        F.struct(*attributes).alias("_found"),
     )
-    on_day: Column = F.col(day).cast("date")
-    valid = (on_day >= F.col("_from")) & (F.col("_to").isNull() | (on_day < F.col("_to")))
-    return (
-        facts.drop(*attributes)
-        .join(versions, (F.col(key) == F.col("_id")) & valid, "left")
-        .drop("_id", "_from", "_to")
+    # the last day is the one before ``effective_to``; an empty interval is valid on no day
+    months = F.sequence(
+        F.trunc("_from", "month"), F.trunc(F.date_sub("_to", 1), "month"), F.expr("INTERVAL 1 MONTH")
+    )
+    closed = versions.where("_to > _from").withColumn("_month", F.explode(months))
+    still_open = versions.where("_to IS NULL").select(
+        F.col("_id").alias("_open_id"), F.col("_from").alias("_open_from"), F.col("_found").alias("_open")
+    )
+    in_month = (F.col(key) == F.col("_id")) & (F.trunc(on_day, "month") == F.col("_month"))
+    inside = (on_day >= F.col("_from")) & (on_day < F.col("_to"))
+    since = (F.col(key) == F.col("_open_id")) & (on_day >= F.col("_open_from"))
+    joined = (
+        facts.drop(*attributes).join(closed, in_month & inside, "left").join(still_open, since, "left")
+    )
+    found = F.coalesce("_found", "_open")
+    return joined.select(
+        *[c for c in facts.columns if c not in attributes],
+        *[found[a].alias(a) for a in attributes],
     )
 
 
@@ -84,6 +99,14 @@ def with_hours(facts: DataFrame, hours: DataFrame, ts: str) -> DataFrame:
     ).drop("_date", "_hour")
 
 
+def require_versions(dim: DataFrame) -> DataFrame:
+    """Fail where versions of an entity overlap; returns the dimension unchanged."""
+    clash = overlapping_versions(dim).select("id", "scd_version").first()
+    if clash:
+        raise ValueError(f"overlapping versions: {clash.asDict()}")
+    return dim
+
+
 def require_grain(dim: DataFrame, keys: list[str]) -> DataFrame:
     """A lookup keeps the fact's row count only if its side is unique; fail early otherwise."""
     return require_unique(dim, keys)

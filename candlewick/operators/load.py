@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from candlewick.config import Config
 from candlewick.functions import labels
@@ -30,12 +31,16 @@ def grade_batches(batches: DataFrame, cfg: Config, entity: str = "id", day: str
 
 
 def with_grade(batches: DataFrame, cfg: Config, entity: str = "id", day: str = DAY) -> DataFrame:
-    """Stamp every row with its batch's grade. One row per day comes back, so the join side is
-    bounded by the calendar."""
-    grades = grade_batches(batches, cfg, entity, day)
-    return batches.drop("coins_received", "coins_expected", "load_status").join(
-        F.broadcast(grades), day
-    )
+    """Stamp every row with its batch's grade; rows without a day are one batch of their own.
+
+    The join side is bounded by the calendar where ``day`` is a date, and is broadcast only then."""
+    grades = grade_batches(batches, cfg, entity, day).withColumnRenamed(day, "_graded_day")
+    if isinstance(batches.schema[day].dataType, DateType):
+        grades = F.broadcast(grades)
+    rows = batches.drop("coins_received", "coins_expected", "load_status")
+    stamped = rows.join(grades, F.col(day).eqNullSafe(F.col("_graded_day")), "left")
+    rest = [c for c in rows.columns if c != day]
+    return stamped.select(day, *rest, "coins_received", "coins_expected", "load_status")
 
 
 def last_snapshot(table: DataFrame, day: str = DAY) -> DataFrame:
@@ -91,33 +96,38 @@ def carry_forward(graded: DataFrame, expected: DataFrame, cfg: Config) -> DataFr
         accepted.where(F.col("load_status").isin(*PARTIALS))
         .groupBy(DAY)
         .agg(
-            F.first("load_status").alias("batch_status"),
             F.first("coins_received").alias("coins_received"),
             F.first("coins_expected").alias("coins_expected"),
         )
     )
+    # all partially loaded days as one array, bounded by the calendar: a gap of years costs its
+    # partial days only, not a row per day
+    listed = partial_days.select(
+        F.array_sort(F.collect_list(F.struct(DAY, "coins_received", "coins_expected")))
+    ).scalar()
     w = Window.partitionBy("id").orderBy(DAY)
     upto = F.coalesce(F.date_sub(F.lead(DAY).over(w), 1), last_day)
     held = (
         accepted.join(expected.select("id"), "id", "left_semi")
-        .withColumn("_upto", upto)
-        .where(F.col("_upto") > F.col(DAY))
+        .withColumns({"_upto": upto, "_partial": listed})
+        .drop("load_status", "coins_received", "coins_expected")
         .withColumn("known_date", F.col(DAY))
-        .withColumn(DAY, F.explode(F.sequence(F.date_add(DAY, 1), F.col("_upto"))))
-        .drop("_upto", "load_status", "coins_received", "coins_expected")
-    )
-    return (
-        held.join(F.broadcast(partial_days), DAY)
-        .drop("batch_status")
-        .withColumns(
-            {
-                "load_status": F.lit(labels.STALE),
-                "is_fallback": F.lit(True),
-                "pipeline_run_id": F.lit(cfg.run_id),
-                "ingestion_timestamp": F.lit(cfg.run_ts),
-            }
+        .withColumn(
+            "_due",
+            F.explode(F.filter("_partial", lambda d: (d[DAY] > F.col(DAY)) & (d[DAY] <= F.col("_upto")))),
         )
     )
+    return held.withColumns(
+        {
+            DAY: F.col(f"_due.{DAY}"),
+            "coins_received": F.col("_due.coins_received"),
+            "coins_expected": F.col("_due.coins_expected"),
+            "load_status": F.lit(labels.STALE),
+            "is_fallback": F.lit(True),
+            "pipeline_run_id": F.lit(cfg.run_id),
+            "ingestion_timestamp": F.lit(cfg.run_ts),
+        }
+    ).drop("_due", "_upto", "_partial")
 
 
 def route_severe(graded: DataFrame, mode: str = "divert") -> tuple[DataFrame, DataFrame]:
@@ -136,8 +146,8 @@ def fallback_days(graded: DataFrame, cfg: Config) -> DataFrame:
     """
     days = graded.groupBy(DAY).agg(F.first("load_status").alias("batch_status"))
     good = ~F.col("batch_status").isin(*DIVERTED)
-    # one row per calendar day, in one short window per century
-    along = Window.partitionBy(F.floor(F.year(DAY) / 100)).orderBy(DAY)
+    # one row per calendar day: some 37 thousand a century, ordered in one task
+    along = Window.orderBy(DAY)
     sources = (
         days.withColumn(
             "_source", F.last(F.when(good, F.col(DAY)), ignorenulls=True).over(along)
@@ -162,16 +172,14 @@ def fallback_days(graded: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def archive_fallback(
-    current: DataFrame, archive: DataFrame, failed: DataFrame, cfg: Config
-) -> DataFrame:
-    """Candles of failed entities from their newest archived run, added where still absent."""
+def archived_candles(archive: DataFrame, failed: DataFrame, cfg: Config) -> DataFrame:
+    """Candles of failed entities from their newest archived run, stamped as fallback."""
     newest = first_per_key(
-        archive.join(failed.select("coin_id"), "coin_id", "left_semi"),
+        archive.join(failed.select("coin_id").distinct(), "coin_id", "left_semi"),
         ["coin_id", "timestamp_ms"],
         [F.col("archive_run_id").desc()],
     )
-    stamped = newest.withColumns(
+    return newest.withColumns(
         {
             DAY: F.lit(cfg.run_date),
             "ingestion_timestamp": F.lit(cfg.run_ts),
@@ -179,6 +187,13 @@ def archive_fallback(
             "is_fallback": F.lit(True),
         }
     )
+
+
+def archive_fallback(
+    current: DataFrame, archive: DataFrame, failed: DataFrame, cfg: Config
+) -> DataFrame:
+    """The current candles, completed with archived ones of failed entities where still absent."""
+    stamped = archived_candles(archive, failed, cfg)
     extra = [c for c in stamped.columns if c not in current.columns and c != "is_fallback"]
     return merge_insert_only(current, stamped.drop(*extra), ["coin_id", "timestamp_ms"])
 

@@ -80,7 +80,7 @@ def tenure(universe: DataFrame) -> DataFrame:
     return (
         universe.where("is_active")
         .groupBy(F.col("coin_id").alias("id"))
-        .agg(F.count("*").alias("days_in_universe"))
+        .agg(F.countDistinct("universe_date").alias("days_in_universe"))
     )
 
 

@@ -25,25 +25,35 @@ def store_market(
     """Store one landed batch in ``names[main|archive|quarantine|schema_log]``; returns its grade.
 
     Severe and failed batches go to quarantine and the last snapshot stands in for them; partial
-    ones are completed with stale rows for the expected entities they lack.
+    ones are completed with stale rows for the expected entities they lack. The latest row of
+    every entity is kept in ``<main>_latest``, so that completing a batch does not read history.
     """
     spark, main = batch.sparkSession, names["main"]
     exists = spark.catalog.tableExists(main)
     tables.log_schema_changes(batch, main, names["schema_log"], cfg)
-    batch = reconcile_schema(batch, spark.table(main).schema if exists else None)
-    grade = _grade_of(batch)
-    keys, day = ["id", "ingestion_date"], "ingestion_date"
-    if grade in load.DIVERTED:
-        tables.append_run(batch, names["quarantine"], cfg)
-        if not exists:
-            return grade
-        batch = load.stamp_fallback(load.last_snapshot(spark.table(main)), grade, cfg)
-    arriving = first_per_key(batch, keys, [F.col("ingestion_timestamp").desc()])
-    tables.publish_merge(arriving, main, keys, cfg, day)
-    if grade not in (labels.SUCCESS, labels.FAILURE):
-        stale = load.reconcile_stale(arriving, spark.table(main), expected, cfg)
-        tables.publish_merge(stale, main, keys, cfg, day, how="insert_only")
-    tables.append_run(batch, names["archive"], cfg)
+    fitted = reconcile_schema(batch, spark.table(main).schema if exists else None)
+    with tables.staged(fitted, f"{main}-landed") as landed:
+        grade = _grade_of(landed)
+        keys, day, latest = ["id", "ingestion_date"], "ingestion_date", f"{main}_latest"
+        arriving = landed
+        if grade in load.DIVERTED:
+            tables.append_run(landed, names["quarantine"], cfg, day=day)
+            if not exists:
+                return grade
+            arriving = load.stamp_fallback(load.last_snapshot(spark.table(main)), grade, cfg)
+        arriving = first_per_key(arriving, keys, [F.col("ingestion_timestamp").desc()])
+        with tables.staged(arriving, f"{main}-arriving") as arriving:
+            if not spark.catalog.tableExists(latest) and exists:
+                newest = first_per_key(spark.table(main), ["id"], [F.col(day).desc()])
+                tables.publish_merge(newest, latest, ["id"], cfg)
+            known = spark.table(latest) if spark.catalog.tableExists(latest) else arriving
+            tables.publish_merge(arriving, main, keys, cfg, day)
+            if grade not in (labels.SUCCESS, labels.FAILURE):
+                stale = load.reconcile_stale(arriving, known, expected, cfg)
+                tables.publish_merge(stale, main, keys, cfg, day, how="insert_only")
+            newest = first_per_key(arriving, ["id"], [F.col(day).desc()])
+            tables.publish_merge(newest, latest, ["id"], cfg)
+            tables.append_run(arriving, names["archive"], cfg, day=day, cluster_by="id")
     return grade
 
 
@@ -51,22 +61,21 @@ def store_ohlc(
     batch: DataFrame, failed: DataFrame, names: dict[str, str], cfg: Config
 ) -> str:
     """Store one candle batch. A severe batch is quarantined and stored as well; failed entities
-    are completed from the archive."""
+    are completed from the archive, in the partitions that lack their candles."""
     spark, main = batch.sparkSession, names["main"]
     exists = spark.catalog.tableExists(main)
     tables.log_schema_changes(batch, main, names["schema_log"], cfg)
-    batch = reconcile_schema(batch, spark.table(main).schema if exists else None)
-    grade = _grade_of(batch)
-    keys = ["coin_id", "timestamp_ms"]
-    if grade == labels.SEVERE:
-        tables.append_run(batch, names["quarantine"], cfg)
-    arriving = first_per_key(batch, keys, [F.col("ingestion_timestamp").desc()])
-    tables.publish_merge(arriving, main, keys, cfg, "candle_date")
-    if spark.catalog.tableExists(names["archive"]):
-        archived = spark.table(names["archive"])
-        current = spark.table(main)
-        filled = load.archive_fallback(current, archived, failed, cfg)
-        added = filled.join(current.select(*keys), keys, "left_anti")
-        tables.publish_merge(added, main, keys, cfg, "candle_date", how="insert_only")
-    tables.append_run(batch, names["archive"], cfg)
+    fitted = reconcile_schema(batch, spark.table(main).schema if exists else None)
+    with tables.staged(fitted, f"{main}-landed") as landed:
+        grade = _grade_of(landed)
+        keys, day = ["coin_id", "timestamp_ms"], "ingestion_date"
+        if grade == labels.SEVERE:
+            tables.append_run(landed, names["quarantine"], cfg, day=day)
+        arriving = first_per_key(landed, keys, [F.col("ingestion_timestamp").desc()])
+        tables.publish_merge(arriving, main, keys, cfg, "candle_date")
+        if spark.catalog.tableExists(names["archive"]):
+            filled = load.archived_candles(spark.table(names["archive"]), failed, cfg)
+            filled = filled.drop("archive_run_id")
+            tables.publish_merge(filled, main, keys, cfg, "candle_date", how="insert_only")
+        tables.append_run(landed, names["archive"], cfg, day=day, cluster_by="coin_id")
     return grade

@@ -27,7 +27,7 @@ def market_metrics(
 ) -> Facts:
     fresh, stale = clean.split_fresh_stale(clean.normalise_names(bronze))
     rows = clean.prepare_market(fresh)
-    rows = asof.asof_join(rows, dim, "id", "ingestion_date")
+    rows = asof.asof_join(rows, asof.require_versions(dim), "id", "ingestion_date")
     rows = asof.with_dates(rows, dates, "ingestion_date")
     rows = market.with_maturity(rows, universe)
     good, bad = quality.split_market(rows, cfg)
@@ -53,7 +53,7 @@ def candle_metrics(
     # landed timestamps need not lie on the grid, so measure instead of assuming a bound
     recent = clean.within_lookback(fresh, "candle_datetime", cfg)
     cfg = replace(cfg, series_chunk_rows=chunk_size(recent, "coin_id", cfg))
-    rows = asof.asof_join(rows, dim, "coin_id", "candle_date")
+    rows = asof.asof_join(rows, asof.require_versions(dim), "coin_id", "candle_date")
     rows = asof.with_dates(rows, dates, "candle_date")
     rows = asof.with_hours(rows, hours, "candle_datetime")
     featured = indicators.candle_features(rows, cfg)

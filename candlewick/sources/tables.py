@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import traceback
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,10 +30,8 @@ MERGES = {
 }
 LOG_COLUMNS = (
     "log_timestamp timestamp, ingestion_date date, source string, status string, "
-    "rows_written int, retry_count int, error_message string"
+    "rows_written long, retry_count int, error_message string"
 )
-ERROR_LENGTH = 2000
-MAX_PRUNED_PARTITIONS = 1000
 
 
 def use_database(spark: SparkSession, name: str) -> None:
@@ -44,40 +43,61 @@ def partitions_of(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
-def create_table(df: DataFrame, table: str, partition_by: str | None = None) -> None:
+def create_table(df: DataFrame, table: str, *partition_by: str | None) -> None:
     writer = df.write.format("parquet").mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
+    layout = [c for c in partition_by if c]
+    if layout:
+        writer = writer.partitionBy(*layout)
     writer.saveAsTable(table)
 
 
-def append_run(df: DataFrame, table: str, cfg: Config, run_column: str = "archive_run_id") -> None:
-    """Append one run's rows. The table is partitioned by run, so repeating a run replaces its
-    rows instead of adding them twice."""
+def append_run(
+    df: DataFrame,
+    table: str,
+    cfg: Config,
+    run_column: str = "archive_run_id",
+    day: str | None = None,
+    cluster_by: str | None = None,
+) -> None:
+    """Append one run's rows. The table is partitioned by run, below its ``day`` if one is named,
+    so repeating a run replaces its rows instead of adding them twice, and readers can skip days.
+    ``cluster_by`` sorts a run's files, so that filters on it skip row groups."""
     spark = df.sparkSession
     stamped = drop_internal(df).withColumn(run_column, F.lit(cfg.run_id))
+    layout = [*([day] if day else []), run_column]
+    if cluster_by:
+        stamped = stamped.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
     if not spark.catalog.tableExists(table):
-        create_table(stamped, table, run_column)
+        create_table(stamped, table, *layout)
         return
-    _overwrite_partitions(_aligned(stamped, table), table)
+    _overwrite_partitions(_aligned(stamped, table)[0], table)
+
 
+def _aligned(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """Columns in the table's order; absent ones NULL, new ones added to the table first.
 
-def _aligned(df: DataFrame, table: str) -> DataFrame:
-    """Columns in the table's order; absent ones NULL, new ones added to the table first."""
+    Values that the stored type cannot hold do not fail the run: the second frame has the rows
+    with such a value, as they came, and the first one the rest."""
     spark = df.sparkSession
     known = {f.name: f.dataType for f in spark.table(table).schema.fields}
     extra = [f for f in df.schema.fields if f.name not in known]
     if extra:
         added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
-    return df.select(
+    stored = spark.table(table).schema.fields
+    changed = [f for f in stored if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+    lost = F.lit(False)
+    for f in changed:
+        lost = lost | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+    fitting = df.where(~lost).select(
         *[
-            F.col(f.name).cast(f.dataType).alias(f.name)
+            (F.col(f.name).try_cast(f.dataType) if f in changed else F.col(f.name)).alias(f.name)
             if f.name in df.columns
             else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in spark.table(table).schema.fields
+            for f in stored
         ]
     )
+    return fitting, df.where(lost)
 
 
 def _overwrite_partitions(df: DataFrame, table: str) -> None:
@@ -87,23 +107,37 @@ def _overwrite_partitions(df: DataFrame, table: str) -> None:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the cluster's shared folder and read back. Cuts a lineage that several consumers
     would repeat, survives lost executors, and lets a table be replaced by what was read from it."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
+    path = _staging(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _staging(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``stage`` for as long as it is needed: the copy is removed at the end, also after an error."""
+    spark, path = df.sparkSession, _staging(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def touched_partitions(target: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
-    """The part of a table whose partitions a batch touches.
+    """The part of a table whose partitions a batch touches, the NULL partition included.
 
-    Usually a handful of values: as literals they prune the scan. A batch over more partitions
-    than that keeps the values distributed and joins them.
+    The values are literals, so they prune the scan whatever their number. A batch touches no more
+    partitions than the catalog lists for its table, which the overwrite has to name anyway.
     """
-    touched = batch.select(partition_by).distinct()
-    values = [row[0] for row in touched.limit(MAX_PRUNED_PARTITIONS + 1).collect()]
-    if len(values) > MAX_PRUNED_PARTITIONS:
-        return target.join(touched, partition_by, "left_semi")
-    return target.where(F.col(partition_by).isin([v for v in values if v is not None]))
+    values = [row[0] for row in batch.select(partition_by).distinct().collect()]
+    named = F.col(partition_by).isin([v for v in values if v is not None])
+    return target.where(named | F.col(partition_by).isNull() if None in values else named)
 
 
 def publish_merge(
@@ -113,30 +147,37 @@ def publish_merge(
     cfg: Config,
     partition_by: str | None = None,
     how: str = "upsert",
+    unreadable: str | None = None,
 ) -> None:
     """Merge a batch into a table. With a partition column that the key determines, only the
-    partitions the batch touches are read and rewritten; the rest is left alone."""
+    partitions the batch touches are read and rewritten; the rest is left alone.
+
+    Rows with a value that the stored column's type cannot hold are kept as they came in the
+    table ``unreadable`` (by default ``<table>_unreadable``); the others are merged."""
     spark = source.sparkSession
     # checked, pruned by and merged: evaluated once
-    batch = require_unique(stage(drop_internal(source), f"{table}-{cfg.run_id}"), keys)
-    if not spark.catalog.tableExists(table):
-        create_table(batch, table, partition_by)
-        return
-    known = spark.table(table).columns
-    if how == "synced" and set(known) != set(batch.columns):
-        merged = merge_synced(spark.table(table), batch, keys)
-        create_table(stage(merged, table), table, partition_by)
-        return
-    if how != "common_columns":
-        batch = _aligned(batch, table)
-    target = spark.table(table)
-    if partition_by:
-        target = touched_partitions(target, batch, partition_by)
-    merged = stage(MERGES[how](target, batch, keys).select(*target.columns), table)
-    if partition_by:
-        _overwrite_partitions(merged, table)
-    else:
-        create_table(merged, table)
+    with staged(drop_internal(source), f"{table}-{cfg.run_id}") as batch:
+        require_unique(batch, keys)
+        if not spark.catalog.tableExists(table):
+            create_table(batch, table, partition_by)
+            return
+        known = spark.table(table).columns
+        if how == "synced" and set(known) != set(batch.columns):
+            with staged(merge_synced(spark.table(table), batch, keys), table) as merged:
+                create_table(merged, table, partition_by)
+            return
+        if how != "common_columns":
+            batch, lost = _aligned(batch, table)
+            if not lost.isEmpty():
+                append_run(lost, unreadable or f"{table}_unreadable", cfg)
+        target = spark.table(table)
+        if partition_by:
+            target = touched_partitions(target, batch, partition_by)
+        with staged(MERGES[how](target, batch, keys).select(*target.columns), table) as merged:
+            if partition_by:
+                _overwrite_partitions(merged, table)
+            else:
+                create_table(merged, table)
 
 
 def write_clustered(
@@ -157,7 +198,7 @@ def log_row(
     spark: SparkSession, source: str, status: str, rows: int, cfg: Config,
     error: str = "", retries: int = 0,
 ) -> DataFrame:
-    row = (cfg.run_ts, cfg.run_date, source, status, rows, retries, error[:ERROR_LENGTH])
+    row = (cfg.run_ts, cfg.run_date, source, status, rows, retries, error)
     return spark.createDataFrame([row], LOG_COLUMNS)
 
 

@@ -259,7 +259,7 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "tagged": (("dirty",), tagged("dirty")),
     "mbase": (
         (),
-        """SELECT CAST(user_id % 20 AS VARCHAR) AS id, CAST(ts AS DATE) AS ingestion_date,
+        """SELECT CAST(user_id AS VARCHAR) AS id, CAST(ts AS DATE) AS ingestion_date,
              count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_volume,
              max(value) AS high_24h, min(value) AS low_24h, max(ts) AS ingestion_timestamp
            FROM events GROUP BY ALL""",
@@ -271,7 +271,7 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "mdays0": (
         ("mprice",),
         f"""SELECT * EXCLUDE (i), 'c' || id AS symbol, 'Coin ' || id AS name,
-             current_price * (i + 1) * 1000 AS market_cap,
+             current_price * (i + 1) * 997 AS market_cap,
              row_number() OVER (PARTITION BY ingestion_date ORDER BY total_volume DESC, id)
                AS market_cap_rank,
              current_price - lag(current_price) OVER h AS price_change_24h,
@@ -280,7 +280,7 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
              CAST((i + 1) * (800 + n % 10 * 20) AS DOUBLE) AS circulating_supply,
              CAST((i + 1) * 1000 AS DOUBLE) AS total_supply,
              CASE WHEN i % 7 <> 0 THEN CAST((i + 1) * 1000 AS DOUBLE) END AS max_supply,
-             {rnd('high_24h * 1.1e0', 2)} AS ath, {rnd('low_24h * 0.9e0', 2)} AS atl
+             {rnd("high_24h * CASE i % 5 WHEN 0 THEN 1.0e0 WHEN 1 THEN 1.15e0 WHEN 2 THEN 1.6e0 WHEN 3 THEN 3.0e0 ELSE 10.0e0 END", 2)} AS ath, {rnd('low_24h * 0.9e0', 2)} AS atl
            FROM mprice WINDOW h AS (PARTITION BY id ORDER BY ingestion_date)""",
     ),
     "mdays": (

@@ -114,3 +114,18 @@ def test_quality_flag_per_grade(spark):
     df = spark.createDataFrame([(i, g) for i, g in enumerate(grades)], "i int, g string")
     got = df.orderBy("i").select(labels.data_quality_flag(F.col("g"))).collect()
     assert [r[0] for r in got] == [None, "WARN_PARTIAL", "WARN_CRITICAL", None, None]
+
+
+def test_rows_without_a_day_are_graded(spark, cfg):
+    rows_in = spark.createDataFrame([("a", date(2024, 1, 1)), ("b", None)], "id string, ingestion_date date")
+    got = load.with_grade(rows_in, replace(cfg, expected_entities=1))
+    assert rows(got, "id", "coins_received", "load_status") == [("a", 1, "SUCCESS"), ("b", 1, "SUCCESS")]
+
+
+def test_fallback_across_a_century(spark, cfg):
+    graded = spark.createDataFrame(
+        [("a", date(2099, 12, 31), "SUCCESS"), ("a", date(2100, 1, 1), "FAILURE")],
+        "id string, ingestion_date date, load_status string",
+    )
+    got = load.fallback_days(graded, cfg)
+    assert rows(got, "id", "ingestion_date", "known_date") == [("a", date(2100, 1, 1), date(2099, 12, 31))]

@@ -117,7 +117,47 @@ def test_audited_steps(spark, cfg, names):
     logged = spark.table(log).orderBy("status").collect()
     assert count == 1
     assert [(r["status"], r["rows_written"]) for r in logged] == [("FAILURE", 0), ("SUCCESS", 1)]
-    assert len(logged[0]["error_message"]) == 2000
+    assert logged[0]["error_message"].rstrip().endswith("RuntimeError: " + "x" * 5000)
+    tables.append_log(tables.log_row(spark, "big", "SUCCESS", 3_000_000_000, cfg), log)
+    assert spark.table(log).agg(F.max("rows_written")).first()[0] == 3_000_000_000
+
+
+def test_merge_keeps_rows_without_partition_value(spark, cfg, names):
+    main = names["main"]
+    tables.publish_merge(table(spark, (1, None, "a"), (2, None, "b"), (3, D1, "c")), main, ["k"], cfg, "d")
+    tables.publish_merge(table(spark, (4, None, "d"), (2, None, "B")), main, ["k"], cfg, "d")
+    assert rows(spark.table(main), "k", "v") == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+
+
+def test_merge_prunes_any_number_of_partitions(spark, cfg, names):
+    main = names["main"]
+    days = spark.range(1500).select(F.col("id").alias("k"), F.date_add(F.lit(D1), F.col("id").cast("int")).alias("d"))
+    with tables.staged(days, "many") as batch:
+        target = batch.where("k < 1499")
+        assert tables.touched_partitions(target, batch.where("k > 3"), "d").count() == 1495
+    tables.create_table(days.limit(3), main, "d")
+
+
+def test_merge_with_a_changed_type(spark, cfg, names):
+    main = names["main"]
+    tables.publish_merge(table(spark, (1, D1, 1.5), layout="k int, d date, x double"), main, ["k"], cfg, "d")
+    odd = table(spark, (2, D1, "n/a"), (3, D1, "2.5"), layout="k int, d date, x string")
+    tables.publish_merge(odd, main, ["k"], cfg, "d")
+    assert rows(spark.table(main), "k", "x") == [(1, 1.5), (3, 2.5)]
+    assert rows(spark.table(f"{main}_unreadable"), "k", "x", "archive_run_id") == [(2, "n/a", "r1")]
+
+
+def test_staging_is_empty_after_a_merge(spark, cfg, names, tmp_path):
+    from pathlib import Path
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "staging"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    main = names["main"]
+    for day in (D1, D2):
+        tables.publish_merge(table(spark, (1, day, "a"), (2, None, "b")), main, ["k"], cfg, "d")
+    with pytest.raises(ValueError):
+        tables.publish_merge(table(spark, (1, D1, "a"), (1, D1, "b")), main, ["k"], cfg, "d")
+    assert set(folder.glob("*")) == before
 
 
 def market_file(tmp_path, name, *entries):
