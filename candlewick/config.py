@@ -39,15 +39,16 @@ class Config:
     # results do not depend on how rows were partitioned.
     exact_scale: int | None = None
 
-    # Quantiles: one sketch pass (rank error rows / accuracy), or exact at any size in three passes.
-    exact_quantiles: bool = False
+    # Quantiles are exact at any size, in three passes. False: one sketch pass everywhere, with a
+    # rank error of rows / accuracy.
+    exact_quantiles: bool = True
     quantile_accuracy: int = 10_000
 
-    # Groups above this size are ranked by value buckets instead of in one task.
-    hot_group_rows: int = 5_000_000
     # Histories longer than this many rows per key are cut into overlapping chunks. None: the
     # series is known to be bounded by its calendar grid and is not cut.
     series_chunk_rows: int | None = None
+    # The same for landed candles, whose timestamps need not lie on the grid.
+    landed_chunk_rows: int = 1_000_000
 
     @property
     def candles_per_day(self) -> int:

@@ -61,13 +61,13 @@ def price_features(df: DataFrame, cfg: Config) -> DataFrame:
     ).drop("_top", "_bottom")
 
 
-def rank_by_cap(df: DataFrame, cfg: Config, hot: bool | None = None) -> DataFrame:
+def rank_by_cap(df: DataFrame, cfg: Config, hot: bool = True) -> DataFrame:
     return add_ranks(
         df, "ingestion_date", {"market_cap_rank_computed": ("market_cap", "desc")}, cfg, hot
     )
 
 
-def market_features(df: DataFrame, cfg: Config, hot: bool | None = None) -> DataFrame:
+def market_features(df: DataFrame, cfg: Config, hot: bool = True) -> DataFrame:
     """All features, the cap rank within the day and change detection, with gaps filled."""
     out = flag_changes(rank_by_cap(price_features(df, cfg), cfg, hot), cfg)
     return out.drop("prev_price").fillna(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.config import Config
+from candlewick.staging import stage
 
 Wanted = dict[str, tuple[Column, float]]
 
@@ -14,9 +15,8 @@ def quantiles(df: DataFrame, wanted: Wanted, cfg: Config, by: tuple[str, ...] =
     """One row per group: for each name the lowest value whose cumulative share reaches the
     fraction. NULLs do not count.
 
-    The usual mode is one pass with mergeable sketches; the rank error is at most
-    ``rows / accuracy``, so groups of up to ``accuracy`` values come out exact. Exact mode adds two
-    passes and is exact at any size.
+    Exact at any size, in three passes. With ``exact_quantiles`` off it is one pass with mergeable
+    sketches, whose rank error is at most ``rows / accuracy``.
     """
     rows = df.select(
         *by, *[value.cast("double").alias(f"_v{i}") for i, (value, _) in enumerate(wanted.values())]
@@ -52,6 +52,8 @@ def _exact(rows: DataFrame, shares: dict[str, float], cfg: Config, by: tuple[str
             *[_near(i, p + margin, cfg).alias(f"hi{i}") for i, p in places],
         ).alias("_b")
     )
+    # stored: rows are counted and ordered against the very same brackets
+    brackets = stage(brackets, "brackets")
     framed = rows.join(brackets, list(by)) if by else rows.withColumn("_b", brackets.scalar())
 
     totals = framed.groupBy(*by).agg(

@@ -7,17 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from candlewick.config import Config
+from candlewick.staging import stage
 
 # 2^8 buckets per group
 BUCKET_BITS = 8
 
 
-def largest_group(df: DataFrame, group: str) -> int:
-    """Rows of the biggest group: reads one column, counts map-side, returns one number."""
-    row = df.groupBy(group).count().agg(F.max("count")).first()
-    return row[0] or 0
-
-
 def _slot(cuts: Column, value: Column) -> Column:
     """Twice the number of cuts below the value, plus one where the value is itself a cut. A value
     that fills more than one bucket's worth of rows is always a cut, so it has a slot to itself;
@@ -33,48 +28,54 @@ def _slot(cuts: Column, value: Column) -> Column:
     return F.when(value.isNull(), F.lit(-1)).otherwise(below * 2 + on_cut)
 
 
-def _bucket_table(df: DataFrame, group: str, metric: str) -> DataFrame:
-    """One row per group: the cuts, and per slot the rows before it and in it."""
+def _cuts(df: DataFrame, group: str, metrics: list[str]) -> DataFrame:
+    """Approximate quantiles of all metrics per group, in one pass and stored: slots are counted
+    and rows are placed with the very same cuts, also where tasks are run again."""
     shares = F.array(*[F.lit(i / (1 << BUCKET_BITS)) for i in range(1, 1 << BUCKET_BITS)])
-    cuts = df.groupBy(group).agg(
-        F.percentile_approx(metric, shares, F.lit(20 << BUCKET_BITS)).alias("_cuts")
-    )
-    along = Window.partitionBy(group).orderBy("_slot")
+    near = [F.percentile_approx(m, shares, F.lit(20 << BUCKET_BITS)).alias(f"_cuts_{m}") for m in metrics]
+    return stage(df.groupBy(F.col(group).alias("_group")).agg(*near), "cuts")
+
+
+def _bucket_table(df: DataFrame, group: str, metric: str, cuts: DataFrame) -> DataFrame:
+    """One row per group: the cuts, and per slot the rows before it and in it."""
+    cuts = cuts.select("_group", F.col(f"_cuts_{metric}").alias("_cuts"))
+    along = Window.partitionBy("_group").orderBy("_slot")
     sizes = (
         df.select(group, metric)
-        .join(_small(cuts, group), group)
-        .groupBy(group, _slot(F.col("_cuts"), F.col(metric)).alias("_slot"))
+        .join(_small(cuts), F.col(group).eqNullSafe(F.col("_group")))
+        .groupBy("_group", _slot(F.col("_cuts"), F.col(metric)).alias("_slot"))
         .agg(F.count("*").alias("_rows"))
         .withColumn("_before", F.sum("_rows").over(along) - F.col("_rows"))
     )
     # at most two slots per cut: a short list per group
     listed = F.collect_list(F.struct("_slot", F.struct("_before", "_rows")))
-    slots = sizes.groupBy(group).agg(
+    slots = sizes.groupBy(F.col("_group").alias("_of")).agg(
         F.map_from_entries(listed).alias("_slots"), F.sum("_rows").alias("_total")
     )
-    return cuts.join(slots, group)
+    return cuts.join(slots, F.col("_group").eqNullSafe(F.col("_of"))).drop("_of")
 
 
-def _small(per_group: DataFrame, group: str) -> DataFrame:
+def _small(per_group: DataFrame) -> DataFrame:
     """Per-day tables are bounded by the calendar (about 6 kB a day) and are broadcast; others are
     joined as the measured sizes suggest."""
-    is_day = isinstance(per_group.schema[group].dataType, DateType)
+    is_day = isinstance(per_group.schema["_group"].dataType, DateType)
     return F.broadcast(per_group) if is_day else per_group
 
 
-def with_positions(df: DataFrame, group: str, metric: str) -> DataFrame:
+def with_positions(df: DataFrame, group: str, metric: str, cuts: DataFrame | None = None) -> DataFrame:
     """Add ``_before`` (rows of the group with a lower value, NULLs lowest), ``_peers`` (rows with
-    this value) and ``_total``.
+    this value) and ``_total``. Rows without a group are one group.
 
     The group is cut at approximate quantiles. Rows on a cut read their position off the slot
     table without moving; the rest is sorted bucket by bucket, each bucket a task.
     """
+    cuts = _cuts(df, group, [metric]) if cuts is None else cuts
     value = F.col(metric)
     placed = (
-        df.join(_small(_bucket_table(df, group, metric), group), group)
+        df.join(_small(_bucket_table(df, group, metric, cuts)), F.col(group).eqNullSafe(F.col("_group")))
         .withColumn("_slot", _slot(F.col("_cuts"), value))
         .withColumn("_entry", F.element_at("_slots", F.col("_slot")))
-        .drop("_cuts", "_slots")
+        .drop("_cuts", "_slots", "_group")
     )
     single = F.col("_slot") % 2 != 0
     on_cut = placed.where(single).withColumns(
@@ -95,23 +96,23 @@ def add_ranks(
     group: str,
     ranks: dict[str, tuple[str, str]],
     cfg: Config,
-    hot: bool | None = None,
+    hot: bool = True,
 ) -> DataFrame:
     """Add rank columns ``name -> (metric, how)`` with how in ``desc``, ``asc``, ``percent``.
 
-    ``desc`` puts NULLs last, ``asc`` and ``percent`` put them first. ``hot`` chooses bucketed
-    ranking; None measures the largest group first.
+    ``desc`` puts NULLs last, ``asc`` and ``percent`` put them first. Groups of any size are ranked
+    in buckets; ``hot=False`` is for callers who know that a group fits one task.
     """
-    if hot is None:
-        hot = largest_group(df, group) > cfg.hot_group_rows
     if not hot:
         return df.withColumns(
             {name: _window_rank(group, metric, how) for name, (metric, how) in ranks.items()}
         )
-    for metric in dict.fromkeys(metric for metric, _ in ranks.values()):
+    metrics = list(dict.fromkeys(metric for metric, _ in ranks.values()))
+    cuts = _cuts(df, group, metrics)
+    for metric in metrics:
         wanted = {name: _position_rank(how) for name, (m, how) in ranks.items() if m == metric}
         df = (
-            with_positions(df, group, metric)
+            with_positions(df, group, metric, cuts)
             .withColumns(wanted)
             .drop("_before", "_peers", "_total")
         )

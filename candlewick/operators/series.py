@@ -7,9 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from candlewick.config import Config
-from candlewick.operators.ranking import largest_group
-
 
 def split_series(
     df: DataFrame,
@@ -68,13 +65,6 @@ def split_series(
     )
 
 
-def chunk_size(df: DataFrame, key: str, cfg: Config) -> int | None:
-    """Chunk size for histories of unknown length: None unless some key exceeds the limit."""
-    if cfg.series_chunk_rows is not None:
-        return cfg.series_chunk_rows
-    return cfg.hot_group_rows if largest_group(df, key) > cfg.hot_group_rows else None
-
-
 def over_series(
     df: DataFrame,
     key: str,

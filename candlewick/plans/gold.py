@@ -141,7 +141,7 @@ def daily_entity_scores(candles: DataFrame, cfg: Config) -> DataFrame:
 
 
 def performance_metrics(
-    market: DataFrame, candles: DataFrame, cfg: Config, hot: bool | None = None
+    market: DataFrame, candles: DataFrame, cfg: Config, hot: bool = True
 ) -> DataFrame:
     """Leaderboard ranks, percentile, label and streak per entity and day."""
     change = "price_change_percentage_24h"

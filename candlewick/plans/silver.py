@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from candlewick.config import Config
 from candlewick.functions import labels
 from candlewick.operators import asof, clean, indicators, market, quality
-from candlewick.operators.series import chunk_size
 
 
 @dataclass(frozen=True)
@@ -50,9 +49,8 @@ def candle_metrics(
     if "load_status" in good.columns:
         good = good.withColumn("data_quality_flag", labels.data_quality_flag(F.col("load_status")))
     rows = clean.within_lookback(good, "candle_datetime", cfg)
-    # landed timestamps need not lie on the grid, so measure instead of assuming a bound
-    recent = clean.within_lookback(fresh, "candle_datetime", cfg)
-    cfg = replace(cfg, series_chunk_rows=chunk_size(recent, "coin_id", cfg))
+    # landed timestamps need not lie on the grid, so long histories are cut
+    cfg = replace(cfg, series_chunk_rows=cfg.series_chunk_rows or cfg.landed_chunk_rows)
     rows = asof.asof_join(rows, asof.require_versions(dim), "coin_id", "candle_date")
     rows = asof.with_dates(rows, dates, "candle_date")
     rows = asof.with_hours(rows, hours, "candle_datetime")

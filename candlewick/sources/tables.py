@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import traceback
-import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +18,7 @@ from candlewick.operators.merge import (
     require_unique,
 )
 from candlewick.operators.schema import schema_diff
-from candlewick.session import shared_dir
+from candlewick.staging import staged
 
 MERGES = {
     "upsert": merge_upsert,
@@ -104,31 +102,6 @@ def _overwrite_partitions(df: DataFrame, table: str) -> None:
     df.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write to the cluster's shared folder and read back. Cuts a lineage that several consumers
-    would repeat, survives lost executors, and lets a table be replaced by what was read from it."""
-    path = _staging(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _staging(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
-
-
-@contextmanager
-def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """``stage`` for as long as it is needed: the copy is removed at the end, also after an error."""
-    spark, path = df.sparkSession, _staging(df.sparkSession, name)
-    try:
-        df.write.parquet(path)
-        yield spark.read.schema(df.schema).parquet(path)
-    finally:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
-
-
 def touched_partitions(target: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
     """The part of a table whose partitions a batch touches, the NULL partition included.
 

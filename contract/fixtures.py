@@ -20,7 +20,7 @@ from candlewick.config import Config
 from candlewick.functions import labels
 from candlewick.functions.numeric import pct_change
 from candlewick.operators import clean, dims, indicators, load, market, quality, rollup
-from candlewick.sources.tables import stage
+from candlewick.staging import stage
 
 CFG = Config(
     run_ts=datetime(2024, 1, 31), run_id="contract", reference_id="7", exact_scale=4

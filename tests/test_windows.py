@@ -110,13 +110,19 @@ def test_bucketed_ranks_equal_window_ranks(spark, cfg):
     entries = [
         (draw.choice(["hot"] * 8 + ["cold"]), draw.choice([0.0, 0.0, None, round(draw.gauss(0, 9), 1)]),
          draw.gauss(0, 1)) for _ in range(4000)
-    ] + [("single", 5.0, None)]
+    ] + [("single", 5.0, None), (None, 1.0, 1.0)]
     df = spark.createDataFrame(entries, "d string, v double, w double").cache()
     plain = ranking.add_ranks(df, "d", RANKS, cfg, hot=False)
     bucketed = ranking.add_ranks(df, "d", RANKS, cfg, hot=True)
     assert rows(bucketed, *plain.columns) == rows(plain)
-    chosen = ranking.add_ranks(df, "d", RANKS, replace(cfg, hot_group_rows=10))
-    assert rows(chosen, *plain.columns) == rows(plain)
+    assert bucketed.where("d IS NULL").count() == 1
+
+
+def test_ranks_of_a_day_with_many_rows(spark, cfg):
+    df = spark.range(120_000).select(F.lit("one").alias("d"), (F.col("id") * 7919 % 60_000).cast("double").alias("v"))
+    got = ranking.add_ranks(df, "d", {"up": ("v", "asc"), "down": ("v", "desc")}, cfg)
+    wrong = got.where((F.col("up") != 2 * F.col("v") + 1) | (F.col("down") != 119_999 - 2 * F.col("v")))
+    assert got.count() == 120_000 and wrong.count() == 0
 
 
 @pytest.mark.parametrize("accuracy", [10, 100, 10_000])
