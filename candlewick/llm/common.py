@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from candlewick.session import shared_dir
 
 #: Rows in one Arrow batch. Texts differ a lot in length, so few rows keep a batch small.
-BATCH_ROWS = 256
+BATCH_ROWS = 128
 
 PACKAGE = Path(__file__).resolve().parents[1]
 
@@ -94,12 +94,16 @@ def shards(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> It
                 held.append(batch.slice(at, row - at))
                 yield pa.Table.from_batches(held).combine_chunks()
                 held, size, at = [], 0, row
+                pa.default_memory_pool().release_unused()
             size += length
         held.append(batch.slice(at))
     if held:
         whole = pa.Table.from_batches(held).combine_chunks()
+        held = []
         if whole.num_rows:
             yield whole
+        del whole
+    pa.default_memory_pool().release_unused()  # an idle worker keeps no buffers
 
 
 def bounded_sample(rows: DataFrame, key: str, most: Column) -> DataFrame:

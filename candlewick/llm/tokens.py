@@ -23,7 +23,7 @@ from candlewick.llm.pieces import Lattice, Pieces, read_model
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: A chunk of more bytes is segmented in parts of so many.
 LONGEST = 4096
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Chunks whose N best segmentations a task keeps for the next texts.
 KEPT = 50_000
 
@@ -61,7 +61,7 @@ class Encoder:
         lattice = Lattice(self.pieces, data, starts, ends)
         n = len(starts)
         best, second = np.full(lattice.nodes, -np.inf), np.full(lattice.nodes, -np.inf)
-        came, length = np.zeros(lattice.nodes, np.int32), np.zeros(lattice.nodes, np.int64)
+        came, length = np.zeros(lattice.nodes, np.int32), np.zeros(lattice.nodes, np.int16)
         best[:n] = 0.0
         for source, target, piece, size in lattice.steps():
             value, now = best[source] + self.logs[piece], best[target]
