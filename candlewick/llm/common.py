@@ -66,10 +66,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write once, read back: cuts lineage and survives lost executors."""
-        writer = df.write.mode("errorifexists")
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(self.path(name))
+        df.write.mode("errorifexists").parquet(self.path(name))
         return self.read(df, name)
 
     def read(self, like: DataFrame, name: str) -> DataFrame:

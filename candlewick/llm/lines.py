@@ -106,7 +106,7 @@ def drop_common_lines(docs: DataFrame, threshold: int = 10, batches: int = BATCH
     scratch = Scratch(spark, "lines")
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
     found = docs.select("doc_id", batch.alias("batch"), F.explode(line_keys(F.col("text"))).alias("key"))
-    found = scratch.keep(found, "found", "batch")
+    found = scratch.keep(found, "found")
     runs = LineRuns(scratch, threshold)
     for b in range(batches):
         runs.add(found.where(F.col("batch") == b).select("key"))
