@@ -21,10 +21,6 @@ def pct_change(now: Column, before: Column) -> Column:
     return F.when(before > 0, (now - before) / before * 100)
 
 
-def nan_to_null(column: Column) -> Column:
-    return F.when(~F.isnan(column), column)
-
-
 def round_by_category(
     df: DataFrame,
     cfg: Config,

@@ -24,16 +24,24 @@ def require_unique(source: DataFrame, keys: list[str]) -> DataFrame:
     return source
 
 
+def _without(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key the other frame lacks. A NULL in a key is a value like any other, so that
+    repeating a batch does not add its rows without, say, a day once more."""
+    named = other.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return df.join(named, same, "left_anti")
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows win, other target rows stay, new keys are added."""
-    untouched = target.join(source.select(*keys), keys, "left_anti")
-    return untouched.unionByName(source)
+    return _without(target, source, keys).unionByName(source)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Only keys unknown to the target are added."""
-    fresh = source.join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(fresh, allowMissingColumns=True)
+    return target.unionByName(_without(source, target, keys), allowMissingColumns=True)
 
 
 def merge_common_columns(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -44,7 +52,7 @@ def merge_common_columns(target: DataFrame, source: DataFrame, keys: list[str])
     t = target.alias("t")
     on = F.lit(True)
     for k in keys:
-        on = on & (F.col(f"t.{k}") == F.col(f"s.{k}"))
+        on = on & F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}"))
     return t.join(s, on, "full_outer").select(
         *[
             F.when(F.col("s._hit"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)

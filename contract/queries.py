@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -24,9 +25,10 @@ from candlewick.operators import (
     series,
 )
 from candlewick.operators.quantiles import quantiles
-from candlewick.operators.schema import reconcile_schema
-from candlewick.plans import gold, silver, views
-from candlewick.sources import landing
+from candlewick.operators.schema import reconcile_schema, schema_diff
+from candlewick.plans import gold, publish, silver, views
+from candlewick.sources import landing, tables
+from candlewick.staging import stage
 from contract import fixtures as fx
 from contract import sql as s
 from contract.fixtures import CFG, edge, table
@@ -34,10 +36,12 @@ from contract.sql import build, mean, rnd
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
+MADE: dict[str, Query] = {}
 
 
 def register(name: str, sql: str | None = None):
     def keep(fn: Query) -> Query:
+        MADE[name] = fn
         REGISTRY[name] = (lambda spark, sf: edge(fn(spark, sf)), sql)
         return fn
 
@@ -1265,14 +1269,17 @@ MARKET_FACTS = (
     build(f"SELECT {', '.join(MARKET_FACTS)} FROM fsilver", "fsilver", dates=("ingestion_date",)),
 )
 def _(spark, sf):
+    return _market_facts(spark, sf).clean.select(*MARKET_FACTS)
+
+
+def _market_facts(spark, sf) -> silver.Facts:
     universe = fx.partial_batches(spark, sf).select(
         F.col("id").alias("coin_id"), F.lit(True).alias("is_active"), F.col("ingestion_date").alias("universe_date")
     )
     dates = dims.dim_date(fx.days(spark, sf), CFG)
-    facts = silver.market_metrics(
+    return silver.market_metrics(
         fx.bronze_market(spark, sf), fx.dim(spark, sf), dates, universe, CFG
     )
-    return facts.clean.select(*MARKET_FACTS)
 
 
 # --- published tables ------------------------------------------------------------------------
@@ -1533,6 +1540,91 @@ def _(spark, sf):
     return _summary(spark, sf)
 
 
+# --- stored tables, read back after two runs ---------------------------------------------------
+
+
+def _read_back(spark, name: str, store) -> DataFrame:
+    """Run a storing step twice on fresh tables, keep a copy of the result, drop the tables."""
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    for _ in range(2):
+        store(table)
+    out = stage(spark.table(table), table)
+    for suffix in ("", "_log", "_quarantine", "_stale", "_unreadable"):
+        spark.sql(f"DROP TABLE IF EXISTS {table}{suffix}")
+    return out
+
+
+def _published(name: str, kind: str, source: str):
+    run, sql = REGISTRY[source]
+
+    def query(spark, sf):
+        # the published rows with their own types, not the contract's
+        df = stage(MADE[source](spark, sf), kind)
+        found = _read_back(spark, kind, lambda t: publish.store_gold(df, kind, t, f"{t}_log", CFG))
+        return found.select(*df.columns)
+
+    register(name, sql)(query)
+
+
+for _kind, _source in (
+    ("snapshot", "market_snapshot"),
+    ("history", "ohlc_history"),
+    ("performance", "leaderboard"),
+    ("summary", "market_summary"),
+):
+    _published(f"published_{_kind}", _kind, _source)
+
+
+@register("published_silver_market", REGISTRY["silver_market"][1])
+def _(spark, sf):
+    facts = _market_facts(spark, sf)
+    held = silver.Facts(*(stage(x, "facts") for x in (facts.clean, facts.quarantine, facts.stale)))
+    store = lambda t: publish.store_facts(held, t, publish.MARKET_KEYS, f"{t}_log", CFG)
+    return _read_back(spark, "silver_market", store).select(*MARKET_FACTS)
+
+
+@register(
+    "published_merge",
+    """WITH one AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 11 <> 0 THEN date_trunc('month', o_orderdate) END AS m,
+             o_orderstatus AS status, o_totalprice AS price FROM orders WHERE o_orderkey % 3 <> 0),
+      two AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 11 <> 0 THEN date_trunc('month', o_orderdate) END AS m,
+             o_orderstatus AS status, o_totalprice AS price, o_orderpriority AS priority
+             FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 10 <> 0)
+    SELECT k, strftime(m, '%Y-%m-%d') AS month, status, price, priority FROM two
+    UNION ALL SELECT k, strftime(m, '%Y-%m-%d'), status, price, NULL FROM one WHERE k NOT IN (SELECT k FROM two)""",
+)
+def _(spark, sf):
+    """A first batch with rows without partition; a second one with a changed type, values that
+    cannot be read and a new column."""
+    orders = table(spark, sf, "orders")
+    month = F.when(F.col("o_orderkey") % 11 != 0, F.trunc("o_orderdate", "month"))
+    rows = orders.select(
+        F.col("o_orderkey").alias("k"), month.alias("month"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"),
+    )
+    first = rows.where("k % 3 <> 0").drop("priority")
+    text = F.when(F.col("k") % 10 == 0, "n/a").otherwise(F.col("price").cast("string"))
+    second = rows.where("k % 2 = 0").withColumn("price", text)
+
+    def store(name):
+        for batch in (first, second):
+            tables.publish_merge(batch, name, ["k"], CFG, "month")
+
+    return _read_back(spark, "merged", store).select("k", "month", "status", "price", "priority")
+
+
+@register(
+    "schema_diff",
+    """SELECT * FROM (VALUES ('COLUMN_ADDED', 'o_extra', '', 'bigint'), ('COLUMN_DROPPED', 'o_clerk', 'string', ''),
+        ('TYPE_CHANGED', 'o_totalprice', 'double', 'string')) t(change_type, column_name, old_dtype, new_dtype)""",
+)
+def _(spark, sf):
+    stored = table(spark, sf, "orders").withColumn("o_clerk", F.lit("clerk"))
+    batch = stored.drop("o_clerk").withColumns({"o_totalprice": F.col("o_totalprice").cast("string"), "o_extra": F.lit(1).cast("long")})
+    diff = schema_diff(spark, "orders", stored.schema, batch.schema, CFG)
+    return diff.select("change_type", "column_name", "old_dtype", "new_dtype")
+
+
 # --- ready-made queries ----------------------------------------------------------------------
 
 

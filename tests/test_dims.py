@@ -13,6 +13,8 @@ SNAP = (
     "ingestion_timestamp timestamp"
 )
 
+D1 = date(2024, 1, 1)
+
 
 def snaps(spark, *entries):
     """(id, day of January, rank)"""
@@ -70,6 +72,19 @@ def test_same_day_rerun_and_absent_entity(spark):
         ("a", 2, date(2024, 1, 1), None, True), ("b", 1, date(2024, 1, 1), None, True)]
 
 
+def test_asof_keeps_one_row_per_fact_over_months(spark):
+    versions = [("a", date(2023, 12, 30), date(2024, 1, 2), 1), ("a", date(2024, 1, 2), date(2024, 3, 1), 2), ("a", date(2024, 3, 1), None, 3)]
+    dim = spark.createDataFrame([(i, f, t, n, n) for i, f, t, n in versions], "id string, effective_from date, effective_to date, scd_version int, coin_sk int")
+    facts = spark.createDataFrame([("a", date(2023, 12, 29)), ("a", date(2023, 12, 31)), ("a", date(2024, 1, 2)), ("a", date(2024, 2, 29)), ("a", date(2030, 1, 1)), ("b", D1)], "id string, d date")
+    got = asof.asof_join(facts, asof.require_versions(dim), "id", "d", ("coin_sk",))
+    assert rows(got, "d", "coin_sk") == sorted([(date(2023, 12, 29), None), (date(2023, 12, 31), 1), (date(2024, 1, 2), 2), (date(2024, 2, 29), 2), (date(2030, 1, 1), 3), (D1, None)], key=lambda r: tuple(map(str, r)))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_month" in plan and plan.count("Join LeftOuter") == 2
+    clash = dim.union(spark.createDataFrame([("a", date(2024, 2, 1), None, 4, 4)], dim.schema))
+    with pytest.raises(ValueError, match="overlapping"):
+        asof.require_versions(clash)
+
+
 def test_asof_bounds(spark):
     dim = dims.scd2_history(dims.dim_attributes(snaps(spark, ("a", 10, 1), ("a", 20, 40))))
     facts = spark.createDataFrame([("a", date(2024, 1, d)) for d in (9, 10, 19, 20, 31)], "id string, d date")

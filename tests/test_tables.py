@@ -267,3 +267,38 @@ def test_stream_drains_landed_files(spark, cfg, tmp_path, names):
     drain()
     assert rows(spark.table(names["main"]), "id", "current_price") == [("a", 2.0)]
     assert spark.table(names["archive"]).count() == 2
+
+
+def test_publishing_is_idempotent_and_logs_gaps(spark, cfg, names):
+    from candlewick.operators import dims
+    from candlewick.plans import publish
+    from candlewick.plans.silver import Facts
+
+    main, log = names["main"], names["log"]
+    clean = spark.createDataFrame([("a", D1, 1.0), ("b", None, 2.0)], "id string, ingestion_date date, x double")
+    bad, stale = clean.where("id = 'a'"), clean.where("id = 'b'")
+    for run in ("r1", "r1", "r2"):
+        publish.store_facts(Facts(clean, bad, stale), main, publish.MARKET_KEYS, log, replace(cfg, run_id=run))
+    assert rows(spark.table(main), "id", "x") == [("a", 1.0), ("b", 2.0)]
+    assert rows(spark.table(f"{main}_quarantine"), "id", "quarantine_run_id") == [("a", "r1"), ("a", "r2")]
+    assert spark.table(f"{main}_stale").count() == 2
+    for _ in range(2):
+        publish.store_dimension(clean, f"{main}_dim", log, cfg)
+        publish.store_dimension(spark.table(f"{main}_dim"), f"{main}_dim", log, cfg)
+    assert spark.table(f"{main}_dim").count() == 2
+    members = dims.empty_universe(spark).unionByName(
+        spark.createDataFrame([("a", D1)], "coin_id string, universe_date date"), allowMissingColumns=True
+    )
+    for _ in range(2):
+        publish.store_universe(members, f"{main}_universe", log, cfg)
+    assert spark.table(f"{main}_universe").count() == 1
+    gaps = publish.log_gaps(spark, main, "ingestion_date", 30, log, cfg)
+    logged = spark.table(log).where("status = 'BACKFILL_REQUIRED'").collect()
+    assert len(gaps) == 29 and [(r["rows_written"], r["error_message"][:10]) for r in logged] == [(29, gaps[0])]
+
+
+def test_use_database(spark):
+    before = spark.catalog.currentDatabase()
+    tables.use_database(spark, "candles_db")
+    assert spark.catalog.currentDatabase() == "candles_db"
+    spark.catalog.setCurrentDatabase(before)
