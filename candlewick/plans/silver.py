@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from candlewick.config import Config
 from candlewick.functions import labels
 from candlewick.operators import asof, clean, indicators, market, quality
+from candlewick.staging import stage
 
 
 @dataclass(frozen=True)
@@ -28,7 +29,8 @@ def market_metrics(
     rows = clean.prepare_market(fresh)
     rows = asof.asof_join(rows, asof.require_versions(dim), "id", "ingestion_date")
     rows = asof.with_dates(rows, dates, "ingestion_date")
-    rows = market.with_maturity(rows, universe)
+    # limits, ranks, flags and the rejected rows all start from the looked-up rows: stored once
+    rows = stage(market.with_maturity(rows, universe), "market_rows")
     good, bad = quality.split_market(rows, cfg)
     flagged = quality.flag_market_anomalies(clean.fill_market_gaps(good), cfg)
     return Facts(market.market_features(flagged, cfg), bad, stale)
@@ -43,7 +45,8 @@ def candle_metrics(
     source: str = "bronze_ohlc_data",
 ) -> Facts:
     fresh, stale = clean.split_fresh_stale(bronze)
-    bounds = quality.candle_limits(fresh, cfg)
+    # the limits come first and every row is held against them
+    bounds = stage(quality.candle_limits(fresh, cfg), "candle_limits")
     tagged = quality.tag_candles(fresh, bounds.select("extreme_mult").scalar())
     good, bad = quality.split_candles(tagged, source, cfg)
     if "load_status" in good.columns:
