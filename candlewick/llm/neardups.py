@@ -22,6 +22,9 @@ REGISTERS = 512
 MISSED = 1e-7
 #: Pairs whose estimate is this many standard deviations below the threshold are not verified.
 DEVIATIONS = 5.0
+#: Members of a group that its center is made of; any center gives the same links.
+CENTER_MEMBERS = 32
+
 FACTORS = (A.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
@@ -153,30 +156,40 @@ def _linked(percent: int):
     return run
 
 
-def _difference(percent: int):
-    """Shingles by which a document and its pivot differ, each way, and those it is found by.
+def _center(key, rows):
+    """The shingles that more than half of some members of one group hold."""
+    held = [np.frombuffer(x, np.uint64) for x in rows["sa"].to_pylist()]
+    value, count = np.unique(np.concatenate(held), return_counts=True)
+    return pa.table({"pivot": pa.array([key[0].as_py()], pa.int64()), "center": pa.array([value[2 * count > len(held)].tobytes()], pa.binary())})
+
 
-    Differences are symmetric: two documents differ by what exactly one of their differences to
-    the pivot holds. So if one is not linked to the pivot, the other can only be linked to it by
-    sharing more than ``(d - c * (n - np)) / 2`` of its own ``d`` differences, where ``c`` is
-    ``(1 - t) / (1 + t)``. Any ``d`` less that many, plus one, hold a shared one; shingles that the
-    pivot lacks come first, as few documents share them.
+def _difference(percent: int):
+    """Shingles by which a document and its group's center differ, and those it is found by.
+
+    Two documents differ by what exactly one of their differences to any third set holds. With
+    ``d`` differences each, they are linked if and only if they share at least half of ``d - c n``
+    of both, summed, where ``c`` is ``(1 - t) / (1 + t)``. So a document far from the center
+    (``d > c n``) shares more than ``(d - c n) / 2`` of the other's differences, or, if that is
+    negative, at least one, unless the other is so near that all near ones are linked to it. Any
+    ``d`` less that many, plus one, hold a shared one; shingles outside the center come first, as
+    few documents have them.
     """
+    low, high = 100 - percent, 100 + percent
 
     def run(batches):
         for batch in batches:
             every, some, sizes = [], [], []
-            for x, y, apart in zip(batch["sa"].to_pylist(), batch["sb"].to_pylist(), batch["apart"].to_pylist(), strict=True):
-                mine, pivot = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                new = mine[~np.isin(mine, pivot, assume_unique=True)]
-                gone = A.mix(pivot[~np.isin(pivot, mine, assume_unique=True)])
+            for x, y in zip(batch["sa"].to_pylist(), batch["center"].to_pylist(), strict=True):
+                mine, center = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                new = mine[~np.isin(mine, center, assume_unique=True)]
+                gone = A.mix(center[~np.isin(center, mine, assume_unique=True)])
                 both = np.concatenate([new, gone]).view(np.int64)
-                shared = ((100 + percent) * len(both) - (100 - percent) * (len(mine) - len(pivot))) // (2 * (100 + percent))
-                every.append(both if apart else both[:0])
-                some.append(both[: max(0, len(both) - shared)])
+                beyond = high * len(both) - low * len(mine)
+                every.append(both if beyond > 0 else both[:0])
+                some.append(both[: len(both) - max(0, beyond // (2 * high))])
                 sizes.append(len(both))
             lists = [pa.array(x, pa.list_(pa.int64())) for x in (every, some)]
-            names = ["pivot", "doc", "n", "label"]
+            names = ["pivot", "doc", "n"]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(sizes, pa.int64()), *lists], [*names, "d", "every", "some"])
 
     return run
@@ -249,42 +262,55 @@ class _Links:
     def labels(self) -> DataFrame:
         """Compare each bucket's members with one pivot, then those still apart from it.
 
-        Members linked to the pivot, by whatever way, are done. Of the rest, the best one is
-        compared with those beside it; that joins groups inside a group. What is then still apart
-        is compared with all members that differ from the pivot in the same shingles, by enough of
-        them: all others cannot be linked to it (``_difference``).
+        Members linked to the pivot, by whatever way, are done. Where some are not, the group gets
+        a center, the shingles that most of a few members hold. All members are compared with the
+        one nearest to it; members still in different components are paired if they differ from
+        the center in the same shingles, by enough of them (``_difference``): no others are linked.
         """
         pair = [F.col("pivot").alias("a"), F.col("n_pivot").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")]
         labels = self._joined(None, self.verify(self.groups.select(*pair), "0"), "0")
         groups = self._apart(labels, "0")
-        apart = groups.where("apart")
-        if apart.isEmpty():
+        open_ = groups.where("apart").select("pivot").distinct()
+        if open_.isEmpty():
             return labels
-        best = apart.groupBy("pivot").agg(self._best(), F.max_by("label", F.struct("score", F.bitwise_not("doc"))).alias("chosen"))
-        best = self.scratch.keep(best.select("pivot", *self._named("next"), "chosen"), "next")
-        met = apart.join(best, "pivot").where("label <> chosen")
-        met = met.select(F.col("next").alias("a"), F.col("n_next").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb"))
+        found = self._differences(groups.join(open_, "pivot", "left_semi"))
+        near = F.lit(100 - self.like.percent) * F.col("n") - F.lit(100 + self.like.percent) * F.col("d")
+        best = found.groupBy("pivot").agg(F.max(F.struct(near.alias("near"), F.bitwise_not("doc").alias("doc"), "n")).alias("best"))
+        best = self.scratch.keep(best.select("pivot", *self._named("nearest")), "nearest")
+        met = found.join(best, "pivot").where("doc <> nearest")
+        met = met.select(F.col("nearest").alias("a"), F.col("n_nearest").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb"))
         labels = self._joined(labels, self.verify(met, "1"), "1")
-        return self._joined(labels, self.verify(self._by_differences(self._apart(labels, "1")), "2"), "2")
-
-    def _by_differences(self, groups: DataFrame) -> DataFrame:
-        """Pairs of members with different labels, one of them apart, that share enough differences."""
-        percent = self.like.percent
-        open_ = groups.join(groups.where("apart").select("pivot").distinct(), "pivot", "left_semi")
-        schema = "pivot long, doc long, n long, label long, d long, every array<long>, some array<long>"
-        found = self._with_sets(open_, "doc", "pivot").mapInArrow(_difference(percent), schema)
-        found = self.scratch.keep(found, "differences")
+        return self._joined(labels, self.verify(self._by_differences(found, labels), "2"), "2")
+
+    def _differences(self, groups: DataFrame) -> DataFrame:
+        """Every member of these groups, the pivot too, with its differences to the group's center."""
+        members = groups.select("pivot", "doc", "n")
+        members = members.union(groups.select("pivot", F.col("pivot").alias("doc"), F.col("n_pivot").alias("n")).distinct())
+        place = F.row_number().over(Window.partitionBy("pivot").orderBy(F.xxhash64("doc", "pivot"), "doc"))
+        some = members.withColumn("place", place).where(F.col("place") <= CENTER_MEMBERS).select("pivot", "doc")
+        sets = self.sets.select("doc", F.col("shingles").alias("sa"))
+        centers = some.join(sets, "doc").select("pivot", "sa").groupBy("pivot").applyInArrow(_center, "pivot long, center binary")
+        centers = self.scratch.keep(centers, "centers")
+        schema = "pivot long, doc long, n long, d long, every array<long>, some array<long>"
+        found = members.join(sets, "doc").join(centers, "pivot").mapInArrow(_difference(self.like.percent), schema)
+        return self.scratch.keep(found, "differences")
+
+    def _by_differences(self, found: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs of members in different components, one of them far, that share enough differences."""
+        low, high = 100 - self.like.percent, 100 + self.like.percent
+        named = found.join(labels.select(F.col("id").alias("doc"), "label"), "doc", "left")
+        named = self.scratch.keep(named.withColumn("label", F.coalesce("label", "doc")), "named")
 
         def side(name: str, shingles: str) -> DataFrame:
             columns = [F.col(c).alias(f"{c}{name}") for c in ("pivot", "n", "label", "d")]
             rest = (F.col("d") - F.size(shingles)).alias(f"rest{name}")
-            return found.select(F.col("doc").alias(name), *columns, rest, F.explode(shingles).alias(f"shingle{name}"))
+            return named.select(F.col("doc").alias(name), *columns, rest, F.explode(shingles).alias(f"shingle{name}"))
 
+        wanted = high * (F.col("da") + F.col("db")) - low * (F.col("na") + F.col("nb"))
         same = (F.col("pivota") == F.col("pivotb")) & (F.col("shinglea") == F.col("shingleb")) & (F.col("labela") != F.col("labelb"))
-        shared = side("a", "every").join(side("b", "some"), same)
+        shared = side("a", "every").join(side("b", "some"), same & (2 * high * F.least("da", "db") >= wanted))
         shared = shared.groupBy("pivota", "a", "b", "na", "nb", "da", "db", "restb").agg(F.count(F.lit(1)).alias("shared"))
-        most = 2 * (100 + percent) * (F.col("shared") + F.col("restb"))
-        return shared.where(most >= (100 + percent) * (F.col("da") + F.col("db")) - (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "na", "b", "nb")
+        return shared.where(2 * high * (F.col("shared") + F.col("restb")) >= wanted).select("a", "na", "b", "nb")
 
 
 def near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
