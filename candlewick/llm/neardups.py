@@ -318,8 +318,9 @@ def near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
 
     Words are separated by ASCII white space, A-Z lower-cased. Documents with equal sets are one
     representative; sketches of those are banded, and pairs of a bucket are filtered by size and by
-    the likelihood estimate of their registers, then confirmed on the full sets. ``component_id`` is
-    the smallest id that links reach. A pair at the threshold meets in no bucket with probability
+    the likelihood estimate of their registers, then confirmed on the full sets. A bucket's members
+    meet its pivot and, where that leaves several components, those members that can still be
+    linked (``_Links.labels``), never all pairs. ``component_id`` is the smallest id that links reach. A pair at the threshold meets in no bucket with probability
     under 1e-7 and is estimated too low with probability 3e-7.
 
     Null or empty texts have no shingles and stay alone; a text shorter than a shingle is one
