@@ -76,3 +76,23 @@ def test_odd_and_empty_tables(spark, odd_docs, rows):
         assert docs.columns == columns
     got = sorted(r.doc_id or -1 for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect())
     assert got == ([-1, 3, 5, 7] if rows else [])
+
+
+def test_near_duplicates_are_found_by_text_whatever_the_ids(spark):
+    """Unrelated rows without id, and of one id, all stay; so does a text whose only copy goes."""
+    def words(name, n=40):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [
+        (None, words("a")), (None, words("b")), (None, words("c")), (5, words("b") + " end"), (None, words("c")),
+        (7, words("d")), (7, words("e")), (7, words("f")), (6, words("e") + " end"), (7, words("d")),
+        (8, words("g")), (9, words("g")), (9, words("h")), (3, words("h").upper()), (11, ""), (12, ""), (None, " "), (None, None),
+    ]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, row long").repartition(5)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    want = [
+        (None, words("a")), (None, words("b")), (None, words("c")), (7, words("d")), (6, words("e") + " end"), (7, words("f")),
+        (8, words("g")), (3, words("h").upper()), (11, ""), (12, ""), (None, " "), (None, None),
+    ]
+    assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == sorted((str(i), str(t)) for i, t in want)
