@@ -202,9 +202,9 @@ def drop_repeated_windows(docs: DataFrame, length: int = 50, stop: int | None =
     """``doc_id, n_words, n_removed, kept``: texts without words of windows an earlier document has.
 
     Words are runs of bytes other than ASCII white space. Level by level, windows of half the
-    length, the length, and twice, four times ... it: those repeated at one level alone are
-    extended to the next, until none survives or ``stop`` words are reached. The levels above
-    ``length`` find the longest repeats (``repeat_levels``) and do not change what is removed.
+    length, the length, and twice, four times ... it, up to ``stop`` words: those repeated at one
+    level alone are extended to the next. Without ``stop`` the last level is ``length``: those above
+    it find the longest repeats (``repeat_levels``) and do not change what is removed.
 
     A null id counts as smaller than all others; rows of one id are one document for "earlier",
     and each is returned. A null or empty text, or one shorter than a window, loses nothing. Ties
