@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Listed keys at most in one cascade; a longer list is split by key hash over more cascades.
+#: Listed keys in one cascade, about; a longer list is split by key hash over more cascades.
 MOST_KEYS = 1_000_000
 MOST_LEVELS = 64
 
@@ -83,16 +83,18 @@ class Cascade:
         self.levels, self.sure = levels, sure
 
     @staticmethod
-    def of(listed: DataFrame, universe: DataFrame) -> Cascade:
+    def of(listed: DataFrame, universe: DataFrame) -> Cascade | Buckets:
         """``listed`` and ``universe`` have one column ``key``; keys outside both are undefined."""
         listed = listed.select("key").where("key IS NOT NULL").distinct()
+        others = universe.select("key").where("key IS NOT NULL")
         n = listed.count()
-        if n > MOST_KEYS:
-            raise ValueError(f"{n} listed keys; split the list by key hash")
+        return Cascade._of(listed, others, n) if n <= MOST_KEYS else Buckets.of(listed, others, ceil(n / MOST_KEYS))
+
+    @staticmethod
+    def _of(listed: DataFrame, others: DataFrame, n: int) -> Cascade:
         levels: list[Level] = []
         if not n:
             return Cascade(levels, False)
-        others = universe.select("key").where("key IS NOT NULL")
         rest = max(1, others.count() - n)
         wrong = min(0.5, n / (sqrt(2) * rest))
         encoded, opposite, count = listed, others, n
@@ -117,6 +119,31 @@ class Cascade:
         return answer if self.levels else F.lit(False)
 
 
+class Buckets:
+    """One cascade for each bucket of the key's hash, over the keys of the universe in that bucket."""
+
+    def __init__(self, cascades: list[Cascade]):
+        self.cascades = cascades
+
+    @staticmethod
+    def of(listed: DataFrame, others: DataFrame, count: int) -> Buckets:
+        made = []
+        for number in range(count):
+            mine = listed.where(_bucket(F.col("key"), count) == number)
+            made.append(Cascade._of(mine, others.where(_bucket(F.col("key"), count) == number), mine.count()))
+        return Buckets(made)
+
+    def holds(self, key: Column) -> Column:
+        bucket, answer = _bucket(key, len(self.cascades)), F.lit(False)
+        for number, cascade in enumerate(self.cascades):
+            answer = F.when(bucket == number, cascade.holds(key)).otherwise(answer)
+        return answer
+
+
+def _bucket(key: Column, count: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(count))
+
+
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every url.
 
@@ -127,8 +154,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
 
     Null urls and urls without ``://`` have empty host and path and fit no rule. A rule text listed
     with both verdicts blocks. Rows are judged each on its own, repeated and without id too; other
-    columns are ignored; empty tables of pages or rules are allowed. Rules longer than MOST_KEYS
-    raise an error. Lengths and label counts of rules are bounded by those of an url.
+    columns are ignored; empty tables of pages or rules are allowed. Any number of rules is
+    allowed; over MOST_KEYS of a verdict, each bucket of them reads the keys of the corpus again.
+    Lengths and label counts of rules are bounded by those of an url.
     """
     host, path = host_and_path(F.col("url"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))

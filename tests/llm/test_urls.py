@@ -52,3 +52,16 @@ def test_many_rules_and_one_verdict_for_each(spark):
     pages = [(i, f"http://x.h{i}.com/{i % 4}/a") for i in range(400)]
     got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), urls.rule_table(spark, rules)).collect()
     assert sorted(tuple(map(str, r)) for r in got) == sorted((str(i), *map(str, plain(u, rules))) for i, u in pages)
+
+
+def test_a_list_of_more_keys_than_a_cascade_holds(spark, monkeypatch):
+    monkeypatch.setattr(urls, "MOST_KEYS", 100)
+    rules = [(f"h{i}.com", f"/{i % 3}", "block" if i % 2 else "allow") for i in range(440)]
+    pages = [(i, f"http://x.h{i}.com/{i % 4}/a") for i in range(500)]
+    universe = spark.createDataFrame([(f"k{i}",) for i in range(900)], "key string")
+    listed = universe.where("key LIKE '%3%'")
+    cascade = urls.Cascade.of(listed, universe)
+    assert len(cascade.cascades) == 3
+    assert {r.key for r in universe.where(cascade.holds(F.col("key"))).collect()} == {r.key for r in listed.collect()}
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), urls.rule_table(spark, rules)).collect()
+    assert sorted(tuple(map(str, r)) for r in got) == sorted((str(i), *map(str, plain(u, rules))) for i, u in pages)
