@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import contamination, fingerprints, language, lines, neardups, substrings, tokens, toxicity, urls, warc
+from candlewick.llm import centroids, contamination, fingerprints, graphs, language, lines, negatives, neardups, substrings, tokens, toxicity, urls, warc
 from candlewick.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,6 +213,77 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    mislabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", mislabelled), F.col("vec_id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH known AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM known a JOIN known b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id
+  WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), F.sha2(F.concat(F.lit("1:"), F.col("vec_id").cast("string")), 256))
+
+
+def _op12_sql() -> str:
+    """Starts, three rounds of assignment and means, and the last assignment, one after the other."""
+    parts = ["""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+centres_0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster, q AS c FROM kept ORDER BY sha256('1:' || vec_id) LIMIT 16)"""]
+    for turn in range(4):
+        parts.append(f"""
+far_{turn} AS (
+  SELECT vec_id, q, cluster, list_sum(list_transform(list_zip(q, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
+  FROM kept CROSS JOIN centres_{turn}),
+near_{turn} AS (
+  SELECT * FROM far_{turn} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1)""")
+        if turn < 3:
+            parts.append(f"""
+sums_{turn} AS (
+  SELECT cluster, place, sum(x) AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(q) AS x, unnest(range(64)) AS place FROM near_{turn}) GROUP BY cluster, place),
+means_{turn} AS (
+  SELECT cluster, list((s - (s % n + n) % n) // n ORDER BY place) AS mean FROM sums_{turn} GROUP BY cluster),
+centres_{turn + 1} AS (
+  SELECT cluster, list_transform(coalesce(mean, c), lambda x: CAST(x AS BIGINT)) AS c FROM centres_{turn} LEFT JOIN means_{turn} USING (cluster))""")
+    return ",".join(parts) + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM near_3 JOIN centres_3 USING (cluster)
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graphs.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_fingerprints": (op2_fingerprints, None),
@@ -224,4 +295,7 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op8_language_id": (op8_language_id, None),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
     "op10_sentencepiece": (op10_sentencepiece, None),
+    "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
+    "op12_centroids": (op12_centroids, OP12_SQL),
+    "op13_nearest": (op13_nearest, None),
 }
