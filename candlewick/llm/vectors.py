@@ -84,7 +84,8 @@ def facing(shards: DataFrame, blocks: DataFrame, n_shards: int, work: Callable[[
     """What ``work(shard, block, number of the block)`` finds, for each block of queries in each shard.
 
     Blocks are repeated once for each shard and sorted behind it, so that a task holds one shard and one
-    block at a time, and a shard is moved once whatever the number of blocks.
+    block at a time, and a shard is moved once whatever the number of blocks. Tasks are as many as shards:
+    their work is not seen in their few bytes.
     """
     everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("shard")
     asked = blocks.select(everywhere, F.col("part").alias("block"), "body")
@@ -102,7 +103,7 @@ def facing(shards: DataFrame, blocks: DataFrame, n_shards: int, work: Callable[[
                     if found is not None and found.num_rows:
                         yield found
 
-    return both.repartition("shard").sortWithinPartitions("shard", "block").mapInArrow(run, schema)
+    return both.repartition(n_shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(run, schema)
 
 
 def best(scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
