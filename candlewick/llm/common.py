@@ -62,6 +62,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self._files().deleteOnExit(self._path(self.root))  # what a result is still read from goes with the session
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -74,12 +75,26 @@ class Scratch:
     def read(self, like: DataFrame, name: str) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(name))
 
+    def only(self, df: DataFrame, name: str) -> DataFrame:
+        """Keep a result and remove everything it was made from."""
+        kept = self.keep(df, name)
+        files = self._files()
+        for found in files.listStatus(self._path(self.root)):
+            if found.getPath().getName() != name:
+                files.delete(found.getPath(), True)
+        return kept
+
     def drop(self, *names: str) -> None:
         """Remove staged tables that nothing reads any more; without names, the whole run."""
-        jvm = self.spark.sparkContext._jvm
+        files = self._files()
         for target in [self.path(n) for n in names] or [self.root]:
-            path = jvm.org.apache.hadoop.fs.Path(target)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            files.delete(self._path(target), True)
+
+    def _path(self, name: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _files(self):
+        return self._path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def shards(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.Table]:

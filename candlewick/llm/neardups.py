@@ -13,7 +13,6 @@ from candlewick.llm import arrays as A
 from candlewick.llm.common import Scratch, components, prepare, shards
 
 SHARD_BYTES = 2 << 20
-NO_ID = -(1 << 63)
 
 #: SetSketch parameters: base of the register scale, rate of the exponentials, largest register.
 BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 1
@@ -96,32 +95,32 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
     return (low + high) / 2
 
 
-def _ids(column) -> pa.Array:
-    return pa.array(column.to_numpy().astype(np.int64))
-
-
 def _sketched(words: int):
     def run(batches):
         for shard in shards(batches, "text", SHARD_BYTES):
             shingles, cuts = shingle_sets(shard["text"], words)
             rows = registers(shingles, cuts)
-            same = []
-            for seed in (0x243F6A8885A308D3, 0x13198A2E03707344):
-                sums = np.concatenate([[np.uint64(0)], np.cumsum(A.mix(shingles ^ np.uint64(seed)))])
-                same.append(sums[cuts[1:]] - sums[cuts[:-1]])
-            both = np.stack(same, axis=1).astype(">u8")
-            columns = [_ids(shard["doc_id"]), pa.array(np.diff(cuts)), pa.array([x.tobytes() for x in both], pa.binary()), pa.array([x.tobytes() for x in rows.astype(">u2")], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "same", "registers"])
+            columns = [shard["id"].combine_chunks(), shard["mark"].combine_chunks(), pa.array(np.diff(cuts)), pa.array(_digests(shingles, cuts), pa.binary()), pa.array([x.tobytes() for x in rows.astype(">u2")], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "mark", "n", "same", "registers"])
 
     return run
 
 
+def _digests(shingles: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    """128 bits for each set, equal for equal sets."""
+    same = []
+    for seed in (0x243F6A8885A308D3, 0x13198A2E03707344):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(A.mix(shingles ^ np.uint64(seed)))])
+        same.append(sums[cuts[1:]] - sums[cuts[:-1]])
+    return [x.tobytes() for x in np.stack(same, axis=1).astype(">u8")]
+
+
 def _sets(words: int):
     def run(batches):
         for shard in shards(batches, "text", SHARD_BYTES):
             shingles, cuts = shingle_sets(shard["text"], words)
             rows = [shingles[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([_ids(shard["doc"]), pa.array(rows, pa.binary())], ["doc", "shingles"])
+            yield pa.RecordBatch.from_arrays([shard["doc"].combine_chunks(), pa.array(rows, pa.binary())], ["doc", "shingles"])
 
     return run
 
@@ -153,39 +152,22 @@ def _linked(percent: int):
     return run
 
 
-def _difference(percent: int):
-    """Shingles by which a document and its pivot differ, each way, and those it is found by.
-
-    Differences are symmetric: two documents differ by what exactly one of their differences to
-    the pivot holds. So if one is not linked to the pivot, the other can only be linked to it by
-    sharing more than ``(d - c * (n - np)) / 2`` of its own ``d`` differences, where ``c`` is
-    ``(1 - t) / (1 + t)``. Any ``d`` less that many, plus one, hold a shared one; shingles that the
-    pivot lacks come first, as few documents share them.
-    """
-
-    def run(batches):
-        for batch in batches:
-            every, some, sizes = [], [], []
-            for x, y, apart in zip(batch["sa"].to_pylist(), batch["sb"].to_pylist(), batch["apart"].to_pylist(), strict=True):
-                mine, pivot = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                new = mine[~np.isin(mine, pivot, assume_unique=True)]
-                gone = A.mix(pivot[~np.isin(pivot, mine, assume_unique=True)])
-                both = np.concatenate([new, gone]).view(np.int64)
-                shared = ((100 + percent) * len(both) - (100 - percent) * (len(mine) - len(pivot))) // (2 * (100 + percent))
-                every.append(both if apart else both[:0])
-                some.append(both[: max(0, len(both) - shared)])
-                sizes.append(len(both))
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (every, some)]
-            names = ["pivot", "doc", "n", "label"]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(sizes, pa.int64()), *lists], [*names, "d", "every", "some"])
-
-    return run
+def _difference(batches):
+    """Shingles by which a member and its pivot differ, either way."""
+    for batch in batches:
+        lists = []
+        for x, y in zip(batch["sa"].to_pylist(), batch["sb"].to_pylist(), strict=True):
+            mine, pivot = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            lists.append(np.concatenate([mine[~np.isin(mine, pivot, assume_unique=True)], A.mix(pivot[~np.isin(pivot, mine, assume_unique=True)])]).view(np.int64))
+        names = ["pivot", "n_pivot", "doc", "n", "label", "apart"]
+        sizes = pa.array([len(x) for x in lists], pa.int64())
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), sizes, pa.array(lists, pa.list_(pa.int64()))], [*names, "d", "shingles"])
 
 
 class _Links:
     """Verified links among the representatives of equal sets."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, like: Likeness, scratch: Scratch):
+    def __init__(self, texts: DataFrame, classes: DataFrame, like: Likeness, scratch: Scratch):
         self.like, self.scratch = like, scratch
         bands, wide = REGISTERS // like.band, 2 * like.band
         keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * wide + 1, F.lit(wide))))
@@ -193,12 +175,15 @@ class _Links:
         buckets = scratch.keep(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
         score = F.sum("size").over(Window.partitionBy("doc"))
         members = scratch.keep(banded.join(buckets, "key").select("key", "doc", "n", score.alias("score")), "members")
-        wanted = scratch.keep(members.select("doc").distinct(), "wanted")
-        self.sketches = scratch.keep(classes.join(wanted, "doc", "left_semi"), "compared")
-        self.sets = scratch.keep(docs.join(wanted, "doc", "left_semi").mapInArrow(_sets(like.words), "doc long, shingles binary"), "sets")
+        wanted = scratch.keep(members.select("doc").distinct().join(classes, "doc").select("doc", "mark"), "wanted")
+        self.sketches = scratch.keep(classes.join(wanted.select("doc"), "doc", "left_semi"), "compared")
+        # one set of each text, whatever its copies
+        sets = texts.join(wanted, "mark").select("doc", "text").mapInArrow(_sets(like.words), "doc long, shingles binary")
+        self.sets = scratch.keep(sets.groupBy("doc").agg(F.first("shingles").alias("shingles")), "sets")
         pivots = scratch.keep(members.groupBy("key").agg(self._best()).select("key", *self._named("pivot")), "pivots")
         met = members.join(pivots, "key").where("doc <> pivot").select("pivot", "n_pivot", "doc", "n", "score")
         self.groups = scratch.keep(met.distinct(), "groups")
+        scratch.drop("buckets", "members", "wanted", "pivots")
 
     @staticmethod
     def _best():
@@ -251,8 +236,8 @@ class _Links:
 
         Members linked to the pivot, by whatever way, are done. Of the rest, the best one is
         compared with those beside it; that joins groups inside a group. What is then still apart
-        is compared with all members that differ from the pivot in the same shingles, by enough of
-        them: all others cannot be linked to it (``_difference``).
+        is compared with the members that share enough of its differences to the pivot: all others
+        cannot be linked to it (``_by_differences``).
         """
         pair = [F.col("pivot").alias("a"), F.col("n_pivot").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")]
         labels = self._joined(None, self.verify(self.groups.select(*pair), "0"), "0")
@@ -268,73 +253,98 @@ class _Links:
         return self._joined(labels, self.verify(self._by_differences(self._apart(labels, "1")), "2"), "2")
 
     def _by_differences(self, groups: DataFrame) -> DataFrame:
-        """Pairs of members with different labels, one of them apart, that share enough differences."""
-        percent = self.like.percent
+        """Pairs of members with different labels, one of them apart, that may share enough differences.
+
+        Two members differ by what exactly one of their differences to the pivot holds. So members with
+        ``d`` and ``e`` differences are linked only if ``2 (1 + t) shared >= (1 + t) (d + e) - (1 - t) (n + m)``.
+        A group's shingles are counted, and each member's are put in one order, the rarest of the group first;
+        those of one member alone are shared with nobody. At the first shingle that two members share, both
+        have at least ``shared`` left in that order (``rest``). So a pair is met only at a shingle from which
+        both have enough left, and shingles that most of a group has, which come last, pair nobody.
+
+        Before that, each side leaves out what can meet no partner at all. A member whose partner is apart
+        from the pivot shares more than ``(d - (1 - t) / (1 + t) (n - n_pivot)) / 2``; any partner of a member
+        has at most ``n / t`` shingles and no fewer differences than links allow, so ``d - n (1 - t) / t`` are shared.
+        """
+        p = self.like.percent
         open_ = groups.join(groups.where("apart").select("pivot").distinct(), "pivot", "left_semi")
-        schema = "pivot long, doc long, n long, label long, d long, every array<long>, some array<long>"
-        found = self._with_sets(open_, "doc", "pivot").mapInArrow(_difference(percent), schema)
-        found = self.scratch.keep(found, "differences")
-
-        def side(name: str, shingles: str) -> DataFrame:
-            columns = [F.col(c).alias(f"{c}{name}") for c in ("pivot", "n", "label", "d")]
-            rest = (F.col("d") - F.size(shingles)).alias(f"rest{name}")
-            return found.select(F.col("doc").alias(name), *columns, rest, F.explode(shingles).alias(f"shingle{name}"))
-
-        same = (F.col("pivota") == F.col("pivotb")) & (F.col("shinglea") == F.col("shingleb")) & (F.col("labela") != F.col("labelb"))
-        shared = side("a", "every").join(side("b", "some"), same)
-        shared = shared.groupBy("pivota", "a", "b", "na", "nb", "da", "db", "restb").agg(F.count(F.lit(1)).alias("shared"))
-        most = 2 * (100 + percent) * (F.col("shared") + F.col("restb"))
-        return shared.where(most >= (100 + percent) * (F.col("da") + F.col("db")) - (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "na", "b", "nb")
+        schema = "pivot long, n_pivot long, doc long, n long, label long, apart boolean, d long, shingles array<long>"
+        found = self.scratch.keep(self._with_sets(open_, "doc", "pivot").mapInArrow(_difference, schema), "differences")
+        single = found.select("pivot", "doc", F.explode("shingles").alias("shingle"))
+        count = single.groupBy("pivot", "shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+        count = self.scratch.keep(count, "held")
+        common = single.join(count, ["pivot", "shingle"])
+        ordered = common.groupBy("pivot", "doc").agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("common"))
+        ordered = found.drop("shingles").join(ordered, ["pivot", "doc"])
+        placed = ordered.select("*", F.posexplode("common").alias("place", "one")).withColumn("rest", F.size("common") - F.col("place"))
+        placed = self.scratch.keep(placed.select("pivot", "n_pivot", "doc", "n", "label", "apart", "d", "rest", "one.shingle"), "placed")
+
+        def side(name: str, rows: DataFrame) -> DataFrame:
+            return rows.select("pivot", "shingle", F.col("doc").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "label", "d", "rest")])
+
+        apart = side("a", placed.where(F.col("apart") & (p * F.col("rest") >= p * F.col("d") - (100 - p) * F.col("n"))))
+        every = side("b", placed.where(2 * (100 + p) * F.col("rest") > (100 + p) * F.col("d") - (100 - p) * (F.col("n") - F.col("n_pivot"))))
+        enough = 2 * (100 + p) * F.least("rest_a", "rest_b") >= (100 + p) * (F.col("d_a") + F.col("d_b")) - (100 - p) * (F.col("n_a") + F.col("n_b"))
+        keys = [apart[c] == every[c] for c in ("pivot", "shingle")]
+        met = apart.join(every, [*keys, F.col("label_a") != F.col("label_b"), enough])
+        return met.select("a", F.col("n_a").alias("na"), "b", F.col("n_b").alias("nb"))
+
+
+def _classes(docs: DataFrame, like: Likeness, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """One row of each text with words ``(id, mark, n, same)``, and its class with a label ``(same, n, least, label)``.
+
+    Texts with equal sets are one class, told by 128 bits of the set and its size; classes are numbered
+    as they are stored, so no two share a number. ``mark`` is a text's MD5 (128 bits): texts are found
+    again by it, and repeated ones are read once for each comparison.
+    """
+    prepare(docs.sparkSession)
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.unhex(F.md5("text")).alias("mark"), "text")
+    sketched = texts.mapInArrow(_sketched(like.words), "id long, mark binary, n long, same binary, registers binary")
+    sketches = scratch.keep(sketched, "sketches")
+    place = F.min(F.struct("id")).alias("least")  # in a struct, null is the smallest id
+    each = sketches.where("n > 0").groupBy("same", "n").agg(place, F.min("mark").alias("mark"), F.first("registers").alias("registers"))
+    classes = scratch.keep(each.withColumn("doc", F.monotonically_increasing_id()), "classes")
+    labels = _Links(texts.select("mark", "text"), classes.select("doc", "n", "mark", "registers"), like, scratch).labels()
+    labelled = classes.join(labels, classes.doc == labels.id, "left").select("same", "n", "least", F.coalesce("label", "doc").alias("label"))
+    return sketches.drop("registers"), scratch.keep(labelled, "labelled")
 
 
 def near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id``: groups of documents linked by shingle similarity.
 
     Words are separated by ASCII white space, A-Z lower-cased. Documents with equal sets are one
-    representative; sketches of those are banded, and pairs of a bucket are filtered by size and by
+    class; sketches of classes are banded, and pairs of a bucket are filtered by size and by
     the likelihood estimate of their registers, then confirmed on the full sets. ``component_id`` is
     the smallest id that links reach. A pair at the threshold meets in no bucket with probability
     under 1e-7 and is estimated too low with probability 3e-7.
 
     Null or empty texts have no shingles and stay alone; a text shorter than a shingle is one
-    shingle. A null id sorts first and gives a null component; rows of one id are one document.
-    Other columns are ignored; an empty table stays empty.
+    shingle. Texts of any length are worked whole. Every row is a document of its own, also where ids repeat;
+    a null id sorts first and gives a null component. Other columns are ignored; an empty table stays empty.
     """
-    like = like or Likeness()
-    prepare(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "neardups")
-    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    sketches = scratch.keep(plain.mapInArrow(_sketched(like.words), "doc long, n long, same binary, registers binary"), "sketches")
-    full = sketches.where("n > 0")
-    least = scratch.keep(full.groupBy("same", "n").agg(F.min("doc").alias("least")), "least")
-    chosen = least.select("same", "n", F.col("least").alias("doc"))
-    classes = scratch.keep(full.join(chosen, ["same", "n", "doc"]).dropDuplicates(["same", "n", "doc"]).select("doc", "n", "registers"), "classes")
-    labels = _Links(plain.withColumnRenamed("doc_id", "doc"), classes, like, scratch).labels()
-    roots = least.join(labels.select(F.col("id").alias("least"), "label"), "least", "left")
-    roots = scratch.keep(roots.select("same", "n", F.coalesce("label", "least").alias("root")), "roots")
-    out = sketches.join(roots, ["same", "n"], "left").select("doc", F.col("n").alias("n_shingles"), F.coalesce("root", "doc").alias("root"))
-    named = [F.when(F.col(c) != NO_ID, F.col(c)).alias(name) for c, name in (("doc", "doc_id"), ("root", "component_id"))]
-    return out.select(named[0], "n_shingles", named[1])
-
-
-def text_groups(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
-    """``mark, group``: groups of texts linked as in ``near_duplicates``, whatever ids their rows have.
-
-    One row for each distinct text with words; ``mark`` is its ``xxhash64`` and ``group`` the smallest
-    mark that links reach. Texts with equal sets are one class, which is what gets linked; so
-    nothing is joined by id, and a repeated text is read once for each comparison. Of 10 million
-    texts, two share a mark with probability 3e-6. Null texts and those without words are left out.
+    rows, classes = _classes(docs, like or Likeness(), scratch)
+    least = classes.groupBy("label").agg(F.min("least").alias("root"))
+    roots = scratch.keep(classes.join(least, "label").select("same", "n", "root"), "roots")
+    out = rows.join(roots, ["same", "n"], "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root.id")).otherwise(F.col("id")).alias("component_id"))
+    return scratch.only(out, "grouped")
+
+
+def keep_first(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group linked as in ``near_duplicates``, one row.
+
+    That with the smallest id stays, a null id being the smallest and equal ids ordered by the MD5 of the
+    text; of repeated rows one stays. What decides are ids and digests; whole rows are then read once and
+    those chosen are kept. Texts left without a word have no duplicates and all stay, as do null texts.
     """
-    like = like or Likeness()
-    prepare(docs.sparkSession)
-    scratch = Scratch(docs.sparkSession, "textgroups")
-    plain = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    sketches = plain.mapInArrow(_sketched(like.words), "doc long, n long, same binary, registers binary")
-    sketches = scratch.keep(sketches.where("n > 0"), "sketches")
-    least = F.min("doc").alias("doc"), F.first("registers").alias("registers")  # equal sets have equal registers
-    classes = scratch.keep(sketches.groupBy("same", "n").agg(*least), "classes")
-    texts = plain.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "doc")
-    labels = _Links(texts, classes.select("doc", "n", "registers"), like, scratch).labels()
-    roots = classes.join(labels, classes.doc == labels.id, "left").select("same", "n", F.coalesce("label", "doc").alias("group"))
-    marks = sketches.select(F.col("doc").alias("mark"), "same", "n").distinct()
-    return marks.join(scratch.keep(roots, "roots"), ["same", "n"]).select("mark", "group")
+    scratch = Scratch(docs.sparkSession, "firsts")
+    some = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows, classes = _classes(docs.where(some), like or Likeness(), scratch)
+    each = rows.groupBy("id", "mark", "same", "n").agg(F.count(F.lit(1)).alias("times"))
+    grouped = each.join(classes.select("same", "n", "label"), ["same", "n"]).groupBy("label")
+    first = scratch.keep(grouped.agg(F.min(F.struct(F.struct("id").alias("place"), "mark", "times")).alias("first")).select("first.*"), "first")
+    chosen = first.select(F.col("place.id").alias("chosen_id"), F.col("mark").alias("chosen_mark"), "times")
+    whole = docs.where(some).select(F.col("doc_id").cast("long").alias("id"), F.unhex(F.md5("text")).alias("mark"), F.struct("*").alias("row"))
+    kept = whole.join(chosen, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("mark") == F.col("chosen_mark")))
+    again = kept.where("times > 1").groupBy("id", "mark").agg(F.first("row").alias("row"))
+    return kept.where("times = 1").select("row.*").union(again.select("row.*")).union(docs.where(~some))
