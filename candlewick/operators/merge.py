@@ -39,6 +39,16 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     return _without(target, source, keys).unionByName(source)
 
 
+def merge_newest(target: DataFrame, source: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """Upsert guarded by ``by``: a source row older than the target's row of its key changes nothing.
+    Equal values update; a NULL is older than any value."""
+    later = target.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col(by).alias("_held"))
+    held = F.coalesce(F.col("_held") > F.col(by), F.col("_held").isNotNull() & F.col(by).isNull())
+    for k in keys:
+        held = held & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return merge_upsert(target, source.join(later, held, "left_anti"), keys)
+
+
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Only keys unknown to the target are added."""
     return target.unionByName(_without(source, target, keys), allowMissingColumns=True)
@@ -76,6 +86,11 @@ def merge_synced(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     return merge_upsert(synced, source, keys)
 
 
+#: Working columns start with this.
+INTERNAL = "_"
+
+
 def drop_internal(df: DataFrame) -> DataFrame:
-    """Columns named with a leading underscore are working columns, never published."""
-    return df.select(*[F.col(f.name) for f in df.schema.fields if f.name[:1] != "_"])
+    """What is published: all columns but the working ones, whose names start with ``INTERNAL``."""
+    hidden = [name for name in df.columns if name.startswith(INTERNAL)]
+    return df.drop(*hidden)

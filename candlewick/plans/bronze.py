@@ -52,7 +52,7 @@ def store_market(
                 stale = load.reconcile_stale(arriving, known, expected, cfg)
                 tables.publish_merge(stale, main, keys, cfg, day, how="insert_only")
             newest = first_per_key(arriving, ["id"], [F.col(day).desc()])
-            tables.publish_merge(newest, latest, ["id"], cfg)
+            tables.publish_merge(newest, latest, ["id"], cfg, guard=day)
             tables.append_run(arriving, names["archive"], cfg, day=day, cluster_by="id")
     return grade
 

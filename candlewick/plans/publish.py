@@ -16,7 +16,6 @@ from candlewick.operators import load
 from candlewick.plans import gold
 from candlewick.plans.silver import Facts
 from candlewick.sources import tables
-from candlewick.staging import staged
 
 # Keys and partitions of the published tables.
 GOLD = {
@@ -24,7 +23,7 @@ GOLD = {
     "history": (["coin_id", "candle_date"], "candle_date"),
     "performance": (["id", "ingestion_date"], "ingestion_date"),
     "summary": (["ingestion_date"], None),
-    "trending": (["coin_id"], None),
+    "trending": (["coin_id", "ingestion_date"], "ingestion_date"),
 }
 MARKET_KEYS = (["id", "ingestion_date"], "ingestion_date")
 CANDLE_KEYS = (["coin_id", "candle_datetime"], "candle_date")
@@ -44,13 +43,9 @@ def store_facts(facts: Facts, table: str, keys: tuple[list[str], str], log: str,
 
 
 def store_dimension(dim: DataFrame, table: str, log: str, cfg: Config) -> int:
-    """Replace a dimension. It may have been read from the very table, so it is staged first."""
-
-    def step() -> None:
-        with staged(dim, table) as copy:
-            tables.create_table(copy, table)
-
-    return tables.audited(dim.sparkSession, table, log, cfg, step)
+    """Replace a dimension, which may have been read from the very table: the old version stays until
+    the new one is written."""
+    return tables.audited(dim.sparkSession, table, log, cfg, lambda: tables.create_table(dim, table))
 
 
 def store_universe(members: DataFrame, table: str, log: str, cfg: Config) -> int:

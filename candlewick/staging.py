@@ -31,6 +31,11 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders wherever they are, with what is in them."""
+    for path in paths:
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -149,24 +149,26 @@ def _(spark, sf):
             "prices": """SELECT event_type || '-' || hour(ts) AS coin_id,
                 max(value) AS current_price, CAST(count(*) AS DOUBLE) AS market_cap,
                 min(value) AS total_volume, CAST(NULL AS DOUBLE) AS price_change_percentage_24h
-                FROM events WHERE hour(ts) % 4 <> 3 GROUP BY 1""",
+                FROM events GROUP BY 1 QUALIFY count(*) * count(*) OVER () >= sum(count(*)) OVER ()""",
         },
     ),
 )
 def _(spark, sf):
     rows = landing.parse_trending(_trending_payloads(spark, sf), "payload")
-    snapshot = (
+    busy = (
         table(spark, sf, "events")
-        .where("hour(ts) % 4 <> 3")  # a quarter of the entities has no price at all
         .groupBy(F.concat_ws("-", "event_type", F.hour("ts").cast("string")).alias("id"))
         .agg(
             F.max("value").alias("current_price"),
-            F.count("*").cast("double").alias("market_cap"),
+            F.count("*").alias("n"),
             F.min("value").alias("total_volume"),
             F.lit(None).cast("double").alias("price_change_percentage_24h"),
         )
     )
-    return gold.trending_enriched(rows, snapshot, CFG)
+    # the snapshot lists the entities that are as busy as the average one; the others have no price
+    usual = busy.agg(F.sum("n").alias("all_n"), F.count("*").alias("entities"))
+    snapshot = busy.join(F.broadcast(usual), F.col("n") * F.col("entities") >= F.col("all_n"))
+    return gold.trending_enriched(rows, snapshot.withColumn("market_cap", F.col("n").cast("double")), CFG)
 
 
 # --- daily roll-up ---------------------------------------------------------------------------
@@ -1548,12 +1550,24 @@ def _read_back(spark, name: str, store) -> DataFrame:
     table = f"{name}_{uuid.uuid4().hex[:12]}"
     for _ in range(2):
         store(table)
+    return _copy_and_drop(spark, table)
+
+
+def _copy_and_drop(spark, table: str) -> DataFrame:
     out = stage(spark.table(table), table)
     for suffix in ("", "_log", "_quarantine", "_stale", "_unreadable"):
-        spark.sql(f"DROP TABLE IF EXISTS {table}{suffix}")
+        tables.drop_table(spark, f"{table}{suffix}")
     return out
 
 
+def _read_back_runs(spark, name: str, *steps) -> DataFrame:
+    """Run several storing steps, each a run of its own, on one fresh table."""
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    for step in steps:
+        step(table)
+    return _copy_and_drop(spark, table)
+
+
 def _published(name: str, kind: str, source: str):
     run, sql = REGISTRY[source]
 
@@ -1571,6 +1585,7 @@ for _kind, _source in (
     ("history", "ohlc_history"),
     ("performance", "leaderboard"),
     ("summary", "market_summary"),
+    ("trending", "trending"),
 ):
     _published(f"published_{_kind}", _kind, _source)
 
@@ -1613,6 +1628,65 @@ def _(spark, sf):
     return _read_back(spark, "merged", store).select("k", "month", "status", "price", "priority")
 
 
+@register(
+    "published_archive",
+    """SELECT o_orderkey AS k, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS month, o_orderstatus AS status,
+        CASE WHEN o_orderstatus = 'O' THEN o_totalprice * 2 ELSE o_totalprice END AS price, o_orderstatus AS archive_run_id
+      FROM orders WHERE o_orderstatus <> 'O' OR o_orderdate < DATE '1997-01-01'""",
+)
+def _(spark, sf):
+    """One run for each status; that of the open orders again, with other prices and fewer months."""
+    rows = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("k"), F.trunc("o_orderdate", "month").alias("month"),
+        F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"), "o_orderdate",
+    )
+
+    def run(status, batch):
+        cfg = replace(CFG, run_id=status)
+        return lambda name: tables.append_run(batch.where(F.col("status") == status).drop("o_orderdate"), name, cfg, day="month")
+
+    again = rows.where("o_orderdate < DATE '1997-01-01'").withColumn("price", F.col("price") * 2)
+    found = _read_back_runs(spark, "archive", run("F", rows), run("O", rows), run("P", rows), run("O", again))
+    return found.select("k", F.date_format("month", "yyyy-MM-dd").alias("month"), "status", "price", "archive_run_id")
+
+
+@register("published_dimension", REGISTRY["scd2_history"][1])
+def _(spark, sf):
+    """A dimension of first versions, replaced by one of all versions that was read beside it."""
+    dim = stage(MADE["scd2_history"](spark, sf), "dim")
+    first = dim.where("scd_version = 1")
+    store = lambda rows: lambda t: publish.store_dimension(rows, t, f"{t}_log", CFG)
+    rest = lambda t: publish.store_dimension(spark.table(t).union(dim.where("scd_version > 1")), t, f"{t}_log", CFG)
+    return _read_back_runs(spark, "dim", store(first), rest).select(*dim.columns)
+
+
+@register("published_universe", REGISTRY["universe_day"][1])
+def _(spark, sf):
+    """Days one after the other: the first half, then all from its last day on."""
+    members = stage(fx.universe(spark, sf), "universe")
+    middle = members.agg(F.expr("date_add(min(universe_date), CAST(datediff(max(universe_date), min(universe_date)) / 2 AS INT))")).first()[0]
+    store = lambda rows: lambda t: publish.store_universe(rows, t, f"{t}_log", CFG)
+    parts = members.where(F.col("universe_date") <= middle), members.where(F.col("universe_date") >= middle)
+    return _read_back_runs(spark, "universe", *map(store, parts)).select(*members.columns)
+
+
+@register(
+    "published_latest",
+    """WITH marks AS (SELECT o_custkey, max((o_orderdate, o_orderkey)) AS last, min((o_orderdate, o_orderkey)) AS first FROM orders GROUP BY 1)
+    SELECT o_custkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey AS k, o_totalprice AS price
+    FROM marks JOIN orders USING (o_custkey)
+    WHERE o_orderkey = CASE WHEN first[1] >= last[1] THEN first[2] ELSE last[2] END""",
+)
+def _(spark, sf):
+    """Each customer's last order, then a late batch of their first orders, which only equals replace."""
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderdate").alias("day"), F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"))
+    row, place = F.struct("day", "k", "price"), F.struct("day", "k")
+    each = orders.groupBy("id").agg(F.max_by(row, place).alias("last"), F.min_by(row, place).alias("first"))
+    merge = lambda rows: lambda t: tables.publish_merge(rows, t, ["id"], CFG, guard="day")
+    found = _read_back_runs(spark, "latest", merge(each.select("id", "last.*")), merge(each.select("id", "first.*")))
+    return found.select("id", F.date_format("day", "yyyy-MM-dd").alias("day"), "k", "price")
+
+
 @register(
     "schema_diff",
     """SELECT * FROM (VALUES ('COLUMN_ADDED', 'o_extra', '', 'bigint'), ('COLUMN_DROPPED', 'o_clerk', 'string', ''),
