@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
 
 from candlewick.config import Config
 from candlewick.staging import stage
@@ -28,67 +27,62 @@ def _slot(cuts: Column, value: Column) -> Column:
     return F.when(value.isNull(), F.lit(-1)).otherwise(below * 2 + on_cut)
 
 
-def _cuts(df: DataFrame, group: str, metrics: list[str]) -> DataFrame:
-    """Approximate quantiles of all metrics per group, in one pass and stored: slots are counted
-    and rows are placed with the very same cuts, also where tasks are run again."""
-    shares = F.array(*[F.lit(i / (1 << BUCKET_BITS)) for i in range(1, 1 << BUCKET_BITS)])
-    near = [F.percentile_approx(m, shares, F.lit(20 << BUCKET_BITS)).alias(f"_cuts_{m}") for m in metrics]
-    return stage(df.groupBy(F.col(group).alias("_group")).agg(*near), "cuts")
-
+def _tables(one: DataFrame) -> DataFrame:
+    """One row per group and metric: the cuts, the rows before and in each slot, and all rows.
 
-def _bucket_table(df: DataFrame, group: str, metric: str, cuts: DataFrame) -> DataFrame:
-    """One row per group: the cuts, and per slot the rows before it and in it."""
-    cuts = cuts.select("_group", F.col(f"_cuts_{metric}").alias("_cuts"))
-    along = Window.partitionBy("_group").orderBy("_slot")
+    Cuts are approximate quantiles, stored: slots are counted and rows are placed with the very same
+    cuts, also where tasks are run again. Slots are at most two to a cut.
+    """
+    shares = F.array(*[F.lit(i / (1 << BUCKET_BITS)) for i in range(1, 1 << BUCKET_BITS)])
+    near = F.percentile_approx("_value", shares, F.lit(20 << BUCKET_BITS)).alias("_cuts")
+    cuts = stage(one.groupBy("_group", "_metric").agg(near), "cuts")
+    along = Window.partitionBy("_group", "_metric").orderBy("_slot")
     sizes = (
-        df.select(group, metric)
-        .join(_small(cuts), F.col(group).eqNullSafe(F.col("_group")))
-        .groupBy("_group", _slot(F.col("_cuts"), F.col(metric)).alias("_slot"))
+        _with(one, cuts)
+        .groupBy("_group", "_metric", _slot(F.col("_cuts"), F.col("_value")).alias("_slot"))
         .agg(F.count("*").alias("_rows"))
         .withColumn("_before", F.sum("_rows").over(along) - F.col("_rows"))
     )
-    # at most two slots per cut: a short list per group
     listed = F.collect_list(F.struct("_slot", F.struct("_before", "_rows")))
-    slots = sizes.groupBy(F.col("_group").alias("_of")).agg(
+    slots = sizes.groupBy("_group", "_metric").agg(
         F.map_from_entries(listed).alias("_slots"), F.sum("_rows").alias("_total")
     )
-    return cuts.join(slots, F.col("_group").eqNullSafe(F.col("_of"))).drop("_of")
+    return stage(_with(slots, cuts), "slots")
 
 
-def _small(per_group: DataFrame) -> DataFrame:
-    """Per-day tables are bounded by the calendar (about 6 kB a day) and are broadcast; others are
-    joined as the measured sizes suggest."""
-    is_day = isinstance(per_group.schema["_group"].dataType, DateType)
-    return F.broadcast(per_group) if is_day else per_group
+def _with(rows: DataFrame, per_group: DataFrame) -> DataFrame:
+    """Join what is known of a group and metric. No hint: the stored size decides on a broadcast, and
+    a hot group is split otherwise."""
+    named = per_group.withColumnsRenamed({"_group": "_of", "_metric": "_by"})
+    same = F.col("_group").eqNullSafe(F.col("_of")) & (F.col("_metric") == F.col("_by"))
+    return rows.join(named, same).drop("_of", "_by")
 
 
-def with_positions(df: DataFrame, group: str, metric: str, cuts: DataFrame | None = None) -> DataFrame:
+def _positions(one: DataFrame) -> DataFrame:
     """Add ``_before`` (rows of the group with a lower value, NULLs lowest), ``_peers`` (rows with
-    this value) and ``_total``. Rows without a group are one group.
+    this value) and ``_total``, for all metrics in one pass.
 
-    The group is cut at approximate quantiles. Rows on a cut read their position off the slot
-    table without moving; the rest is sorted bucket by bucket, each bucket a task.
+    Rows on a cut read their position off the slot table; the rest is sorted bucket by bucket, each
+    bucket of a group and metric a task.
     """
-    cuts = _cuts(df, group, [metric]) if cuts is None else cuts
-    value = F.col(metric)
     placed = (
-        df.join(_small(_bucket_table(df, group, metric, cuts)), F.col(group).eqNullSafe(F.col("_group")))
-        .withColumn("_slot", _slot(F.col("_cuts"), value))
+        _with(one, _tables(one))
+        .withColumn("_slot", _slot(F.col("_cuts"), F.col("_value")))
         .withColumn("_entry", F.element_at("_slots", F.col("_slot")))
-        .drop("_cuts", "_slots", "_group")
+        .drop("_cuts", "_slots")
     )
     single = F.col("_slot") % 2 != 0
     on_cut = placed.where(single).withColumns(
         {"_before": F.col("_entry._before"), "_peers": F.col("_entry._rows")}
     )
-    inside = Window.partitionBy(group, "_slot").orderBy(metric)
+    inside = Window.partitionBy("_group", "_metric", "_slot").orderBy("_value")
     between = placed.where(~single).withColumns(
         {
             "_before": F.col("_entry._before") + F.rank().over(inside) - 1,
             "_peers": F.count("*").over(inside.rangeBetween(Window.currentRow, Window.currentRow)),
         }
     )
-    return on_cut.unionByName(between).drop("_slot", "_entry")
+    return on_cut.unionByName(between)
 
 
 def add_ranks(
@@ -100,23 +94,28 @@ def add_ranks(
 ) -> DataFrame:
     """Add rank columns ``name -> (metric, how)`` with how in ``desc``, ``asc``, ``percent``.
 
-    ``desc`` puts NULLs last, ``asc`` and ``percent`` put them first. Groups of any size are ranked
-    in buckets; ``hot=False`` is for callers who know that a group fits one task.
+    ``desc`` puts NULLs last, ``asc`` and ``percent`` put them first. Groups of any size are ranked in
+    buckets: rows are stored once with a number, turned into one row for each metric, placed among
+    their group's values, and their ranks are brought back by that number. Reads and shuffles do not
+    grow with the number of metrics. Metrics of different types are compared as their common type.
+    ``hot=False`` is for callers who know that a group fits one task.
     """
     if not hot:
         return df.withColumns(
             {name: _window_rank(group, metric, how) for name, (metric, how) in ranks.items()}
         )
     metrics = list(dict.fromkeys(metric for metric, _ in ranks.values()))
-    cuts = _cuts(df, group, metrics)
-    for metric in metrics:
-        wanted = {name: _position_rank(how) for name, (m, how) in ranks.items() if m == metric}
-        df = (
-            with_positions(df, group, metric, cuts)
-            .withColumns(wanted)
-            .drop("_before", "_peers", "_total")
-        )
-    return df
+    numbered = stage(df.withColumn("_row", F.monotonically_increasing_id()), "ranked")
+    one = numbered.select(
+        "_row", F.col(group).alias("_group"), F.posexplode(F.array(*metrics)).alias("_metric", "_value")
+    )
+    found = _positions(one).groupBy("_row").agg(
+        *[
+            F.max(F.when(F.col("_metric") == metrics.index(metric), _position_rank(how))).alias(name)
+            for name, (metric, how) in ranks.items()
+        ]
+    )
+    return numbered.join(found, "_row").drop("_row")
 
 
 def _window_rank(group: str, metric: str, how: str):

@@ -13,8 +13,11 @@ from candlewick.session import shared_dir
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the cluster's shared folder and read back. Cuts a lineage that several consumers
-    would repeat, survives lost executors, and lets a table be replaced by what was read from it."""
+    would repeat, survives lost executors, and lets a table be replaced by what was read from it.
+    The copy goes when the application ends, as the result may be read until then."""
     path = _staging(df.sparkSession, name)
+    folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

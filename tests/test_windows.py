@@ -118,6 +118,19 @@ def test_bucketed_ranks_equal_window_ranks(spark, cfg):
     assert bucketed.where("d IS NULL").count() == 1
 
 
+def test_plan_of_ranks_does_not_grow_with_metrics(spark, cfg):
+    """As many scans and shuffles for eight metrics as for one."""
+    values = [(F.col("id") * (3 + 2 * i) % 97).alias(f"m{i}") for i in range(8)]
+    df = spark.range(500).select((F.col("id") % 3).alias("d"), *values)
+
+    def plan(n):
+        ranked = ranking.add_ranks(df, "d", {f"r{i}": (f"m{i}", "desc") for i in range(n)}, cfg)
+        text = ranked._jdf.queryExecution().executedPlan().toString()
+        return text.count("FileScan"), text.count("Exchange ")
+
+    assert plan(8) == plan(1)
+
+
 def test_ranks_of_a_day_with_many_rows(spark, cfg):
     df = spark.range(120_000).select(F.lit("one").alias("d"), (F.col("id") * 7919 % 60_000).cast("double").alias("v"))
     got = ranking.add_ranks(df, "d", {"up": ("v", "asc"), "down": ("v", "desc")}, cfg)
