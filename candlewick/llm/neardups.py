@@ -19,6 +19,8 @@ BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 1
 REGISTERS = 512
 #: A pair at the threshold may share no band with this probability at most.
 MISSED = 1e-7
+#: Texts that meet others in a bucket are broadcast, as 24 bytes each, up to this many; else joined.
+FEW = 1 << 19
 #: Pairs whose estimate is this many standard deviations below the threshold are not verified.
 DEVIATIONS = 5.0
 FACTORS = (A.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -120,7 +122,7 @@ def _sets(words: int):
         for shard in shards(batches, "text", SHARD_BYTES):
             shingles, cuts = shingle_sets(shard["text"], words)
             rows = [shingles[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([shard["doc"].combine_chunks(), pa.array(rows, pa.binary())], ["doc", "shingles"])
+            yield pa.RecordBatch.from_arrays([shard["doc"].combine_chunks(), shard["many"].combine_chunks(), pa.array(rows, pa.binary())], ["doc", "many", "shingles"])
 
     return run
 
@@ -175,11 +177,15 @@ class _Links:
         buckets = scratch.keep(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
         score = F.sum("size").over(Window.partitionBy("doc"))
         members = scratch.keep(banded.join(buckets, "key").select("key", "doc", "n", score.alias("score")), "members")
-        wanted = scratch.keep(members.select("doc").distinct().join(classes, "doc").select("doc", "mark"), "wanted")
+        wanted = scratch.keep(members.select("doc").distinct().join(classes, "doc").select("doc", "mark", (F.col("times") > 1).alias("many")), "wanted")
         self.sketches = scratch.keep(classes.join(wanted.select("doc"), "doc", "left_semi"), "compared")
-        # one set of each text, whatever its copies
-        sets = texts.join(wanted, "mark").select("doc", "text").mapInArrow(_sets(like.words), "doc long, shingles binary")
-        self.sets = scratch.keep(sets.groupBy("doc").agg(F.first("shingles").alias("shingles")), "sets")
+        # the texts that meet others are fewer than all: few of them are sent to the tasks that read texts
+        few = F.broadcast(wanted) if wanted.count() <= FEW else wanted
+        made = texts.join(few, "mark").select("doc", "many", "text").mapInArrow(_sets(like.words), "doc long, many boolean, shingles binary")
+        made = scratch.keep(made, "made")
+        # a text with copies has its set made from each of them, and is kept once
+        once = scratch.keep(made.where("many").groupBy("doc").agg(F.first("shingles").alias("shingles")), "once")
+        self.sets = made.where("NOT many").select("doc", "shingles").union(once)
         pivots = scratch.keep(members.groupBy("key").agg(self._best()).select("key", *self._named("pivot")), "pivots")
         met = members.join(pivots, "key").where("doc <> pivot").select("pivot", "n_pivot", "doc", "n", "score")
         self.groups = scratch.keep(met.distinct(), "groups")
@@ -302,9 +308,9 @@ def _classes(docs: DataFrame, like: Likeness, scratch: Scratch) -> tuple[DataFra
     sketched = texts.mapInArrow(_sketched(like.words), "id long, mark binary, n long, same binary, registers binary")
     sketches = scratch.keep(sketched, "sketches")
     place = F.min(F.struct("id")).alias("least")  # in a struct, null is the smallest id
-    each = sketches.where("n > 0").groupBy("same", "n").agg(place, F.min("mark").alias("mark"), F.first("registers").alias("registers"))
+    each = sketches.where("n > 0").groupBy("same", "n").agg(place, F.min("mark").alias("mark"), F.first("registers").alias("registers"), F.count(F.lit(1)).alias("times"))
     classes = scratch.keep(each.withColumn("doc", F.monotonically_increasing_id()), "classes")
-    labels = _Links(texts.select("mark", "text"), classes.select("doc", "n", "mark", "registers"), like, scratch).labels()
+    labels = _Links(texts.select("mark", "text"), classes.select("doc", "n", "mark", "times", "registers"), like, scratch).labels()
     labelled = classes.join(labels, classes.doc == labels.id, "left").select("same", "n", "least", F.coalesce("label", "doc").alias("label"))
     return sketches.drop("registers"), scratch.keep(labelled, "labelled")
 
