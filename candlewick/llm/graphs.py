@@ -31,7 +31,7 @@ class Graph:
     """Directed edges among unit vectors; searches start at the node nearest to their mean."""
 
     def __init__(self, points: np.ndarray, shape: Shape, edges: np.ndarray | None = None):
-        self.points, self.shape = np.ascontiguousarray(points, np.float32), shape
+        self.points, self.shape = np.ascontiguousarray(points, np.float64), shape
         self.edges = np.full((len(points), shape.edges), -1, np.int32) if edges is None else edges.astype(np.int32)
         self.entry = int(np.argmax(self.points @ self.points.mean(axis=0, dtype=np.float64))) if len(points) else 0
 
@@ -42,9 +42,9 @@ class Graph:
         ``beam``, until all of it is expanded. Missing nodes are -1. Distances are squared ones.
         """
         n, beam = len(asked), min(beam, len(self.points))
-        asked = np.ascontiguousarray(asked, np.float32)
+        asked = np.ascontiguousarray(asked, np.float64)
         node = np.full((n, beam), -1, np.int32)
-        far = np.full((n, beam), np.inf, np.float32)
+        far = np.full((n, beam), np.inf)
         spent = np.zeros((n, beam), bool)
         seen = np.zeros((n, len(self.points)), bool)
         node[:, 0], seen[:, self.entry] = self.entry, True
@@ -64,7 +64,7 @@ class Graph:
             fresh = (near >= 0) & ~seen[row[:, None], near]
             of, place = np.nonzero(fresh)
             seen[row[of], near[of, place]] = True
-            added = np.full(near.shape, np.inf, np.float32)
+            added = np.full(near.shape, np.inf)
             added[of, place] = 2 - 2 * np.einsum("ij,ij->i", self.points[near[of, place]], asked[row[of]])
             all_far = np.concatenate([far[row], added], axis=1)
             order = np.argsort(all_far, axis=1, kind="stable")[:, :beam]
@@ -75,22 +75,27 @@ class Graph:
 
     def prune(self, of: np.ndarray, candidates: np.ndarray) -> np.ndarray:
         """Diverse neighbours of each node: the nearest candidate stays, and drops those that are nearer to
-        it, by the relaxed factor, than to the node; then the nearest of the rest, and so on."""
+        it, by the relaxed factor, than to the node; then the nearest of the rest, and so on. Places left
+        over go to the nearest of the dropped: else near copies of one vector would know that one alone."""
         places = self.points[candidates]
         far = 2 - 2 * np.einsum("ijk,ik->ij", places, self.points[of])
         far[(candidates < 0) | (candidates == of[:, None])] = np.inf
         out = np.full((len(of), self.shape.edges), -1, np.int32)
-        rows = np.arange(len(of))
+        rows, rest = np.arange(len(of)), far.copy()
         for place in range(self.shape.edges):
             nearest = far.argmin(axis=1)
             left = np.isfinite(far[rows, nearest])
             if not left.any():
                 break
             out[left, place] = candidates[rows, nearest][left]
+            rest[rows, nearest] = np.inf
             between = 2 - 2 * np.einsum("ijk,ik->ij", places, places[rows, nearest])
             far[self.shape.relaxed**2 * between <= far] = np.inf
             far[rows, nearest] = np.inf
-        return out
+        order = np.argsort(rest, axis=1, kind="stable")[:, : self.shape.edges]
+        dropped = np.where(np.isfinite(np.take_along_axis(rest, order, axis=1)), np.take_along_axis(candidates, order, axis=1), -1)
+        whole = np.concatenate([out, dropped], axis=1)
+        return np.take_along_axis(whole, np.argsort(whole < 0, axis=1, kind="stable"), axis=1)[:, : self.shape.edges]
 
     def build(self) -> Graph:
         """Insert all nodes in batches that double up to ``BATCH``: each one searches the graph so far,

@@ -187,6 +187,18 @@ def test_neighbours_among_copies_in_small_shards(spark, monkeypatch):
     assert [i for _, i, _ in sorted(got[0])] == [3, 6, 9, 12, 15]
 
 
+def test_graph_among_near_copies():
+    """A third are one vector with little noise: nearer to it than to each other, yet found from each other."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 32))
+    x[500:1000] = x[500] + np.append(np.zeros((1, 32)), rng.normal(size=(499, 32)) * 1e-3, axis=0)
+    points = graphs.unit(x)
+    node, far, _ = graphs.Graph(points, graphs.Shape()).build().search(points[500:1000:10], 96)
+    true = np.argsort(-(points[500:1000:10] @ points.T), axis=1)[:, :6]
+    assert (np.diff(far, axis=1) >= 0).all()
+    assert np.mean([len(set(a[:6]) & set(b)) / 6 for a, b in zip(node.tolist(), true.tolist(), strict=True)]) > 0.95
+
+
 def test_neighbours_of_odd_vectors(odd_vectors, no_vectors):
     got = {(r.query_id, r.vec_id): r.score for r in graphs.nearest(odd_vectors, F.col("vec_id") % 50 == 0, k=20).collect()}
     assert {q for q, _ in got} == {0, 100}
