@@ -35,8 +35,8 @@ class Config:
 
     reference_id: str = "bitcoin"
 
-    # Rolling sums: None adds doubles; a number of decimals adds exact decimals instead, so that
-    # results do not depend on how rows were partitioned.
+    # Sums of whole groups (rolling windows need no setting): None adds doubles; a number of decimals
+    # adds exact decimals instead, so that results do not depend on how rows were partitioned.
     exact_scale: int | None = None
 
     # Quantiles are exact at any size, in three passes. False: one sketch pass everywhere, with a

@@ -88,13 +88,13 @@ def _with_momentum(df: DataFrame, w: WindowSpec, cfg: Config) -> DataFrame:
 
 def moving_averages(candles: DataFrame, cfg: Config) -> DataFrame:
     frames = _average_frames(cfg)
-    out = _series(candles, cfg, lambda df, w: with_rolling(df, w, frames, cfg))
+    out = _series(candles, cfg, lambda df, w: with_rolling(df, w, frames))
     return _rounded(out, frames, cfg)
 
 
 def volatility(shaped: DataFrame, cfg: Config) -> DataFrame:
     frames = _volatility_frames(cfg)
-    out = _series(shaped, cfg, lambda df, w: with_rolling(df, w, frames, cfg))
+    out = _series(shaped, cfg, lambda df, w: with_rolling(df, w, frames))
     return _rounded(out.withColumn("volatility_cluster", _cluster()), frames, cfg).drop("_usual")
 
 
@@ -104,7 +104,7 @@ def momentum(candles: DataFrame, cfg: Config) -> DataFrame:
 
 def support_resistance(candles: DataFrame, cfg: Config) -> DataFrame:
     frames = _band_frames(cfg)
-    out = _series(candles, cfg, lambda df, w: with_rolling(df, w, frames, cfg))
+    out = _series(candles, cfg, lambda df, w: with_rolling(df, w, frames))
     return _rounded(out, frames, cfg).withColumn("price_level_signal", _level(cfg))
 
 
@@ -121,7 +121,7 @@ def candle_features(candles: DataFrame, cfg: Config) -> DataFrame:
     frames = _average_frames(cfg) | _volatility_frames(cfg) | _band_frames(cfg)
 
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        return with_rolling(_with_momentum(df, w, cfg), w, frames, cfg)
+        return with_rolling(_with_momentum(df, w, cfg), w, frames)
 
     long_average = F.col(f"ma_{cfg.long_days}d")
     featured = _series(candle_shape(candles), cfg, add).withColumn("volatility_cluster", _cluster())
@@ -171,7 +171,7 @@ def bollinger(candles: DataFrame, cfg: Config, days: int | None = None, width: f
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
         middle, reach = F.col("_mid"), F.col("_dev") * width
         return (
-            with_rolling(df, w, frames, cfg)
+            with_rolling(df, w, frames)
             .withColumns(
                 {
                     "bb_middle": F.round(middle, cfg.price_digits),
@@ -193,7 +193,7 @@ def average_true_range(candles: DataFrame, cfg: Config, rows: int = 14) -> DataF
         spread = F.greatest(high - low, F.abs(high - before), F.abs(low - before))
         ranged = df.withColumn("true_range", F.round(spread, cfg.price_digits))
         mean = {"atr": ("mean", "true_range", rows - 1)}
-        return with_rolling(ranged, w, mean, cfg).withColumn(
+        return with_rolling(ranged, w, mean).withColumn(
             "atr", F.round("atr", cfg.price_digits)
         )
 
@@ -215,7 +215,7 @@ def relative_strength(candles: DataFrame, cfg: Config, rows: int = 14) -> DataFr
         means = {"_gain": ("mean", "_up", rows - 1), "_loss": ("mean", "_down", rows - 1)}
         gain, loss = F.col("_gain"), F.col("_loss")
         return (
-            with_rolling(moved, w, means, cfg)
+            with_rolling(moved, w, means)
             .withColumn(
                 "rsi",
                 F.round(F.when(gain + loss > 0, gain * 100 / (gain + loss)), cfg.pct_digits),

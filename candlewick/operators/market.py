@@ -32,7 +32,7 @@ def price_features(df: DataFrame, cfg: Config) -> DataFrame:
             "_top": ("max", "current_price", 2),
             "_bottom": ("min", "current_price", 2),
         }
-        return with_rolling(lagged, w, frames, cfg)
+        return with_rolling(lagged, w, frames)
 
     price = F.col("current_price")
     out = over_series(df, "id", "ingestion_timestamp", 2, cfg.series_chunk_rows, add)

@@ -8,10 +8,12 @@ from datetime import date, datetime, timedelta
 import pytest
 from conftest import rows
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from candlewick.operators import indicators, ranking, series
 from candlewick.operators.quantiles import quantiles
+from candlewick.operators.rolling import with_rolling
 from candlewick.plans import gold
 
 START = datetime(2020, 1, 1)
@@ -58,16 +60,44 @@ def test_other_indicators_chunked(candles, cfg):
         assert rows(step(candles, small), *plain.columns) == rows(plain)
 
 
-def test_exact_and_double_sums_agree(candles, cfg):
-    plain = indicators.moving_averages(candles, cfg)
-    exact = indicators.moving_averages(candles, replace(cfg, exact_scale=4))
-    keys = ["coin_id", "candle_datetime"]
-    worst = (
-        plain.join(exact.withColumnRenamed("ma_30d", "other"), keys)
-        .agg(F.max(F.abs(F.col("ma_30d") - F.col("other"))))
-        .first()[0]
+@pytest.mark.parametrize("scale", [1.0, 1e-6, 1e-11, 1e9])
+def test_rolling_statistics_equal_sliding_frames(spark, candles, scale):
+    values = candles.select(
+        "coin_id", "candle_datetime",
+        F.when(F.dayofmonth("candle_datetime") != 3, F.col("close") * scale).alias("x"),
     )
-    assert worst <= 0.0001
+    w = Window.partitionBy("coin_id").orderBy("candle_datetime")
+    plain = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wanted = {f"{kind}_{rows}": (kind, "x", rows) for kind in plain for rows in (0, 2, 15, 41, 300)}
+    both = with_rolling(values, w, wanted).withColumns(
+        {f"want_{n}": plain[kind]("x").over(w.rowsBetween(-rows, 0)) for n, (kind, _, rows) in wanted.items()}
+    )
+    worse = [
+        F.sum(F.when(F.abs(F.col(n) - F.col(f"want_{n}")) <= scale * 1e-7, 0).when(
+            F.col(n).isNull() & F.col(f"want_{n}").isNull(), 0).otherwise(1)).alias(n)
+        for n in wanted
+    ]
+    assert both.agg(*worse).first().asDict() == dict.fromkeys(wanted, 0)
+
+
+def test_rolling_sums_of_decimals_are_exact(spark):
+    """Sixteen prices whose mean lies half way between two published values."""
+    prices = [59.3, 59.4, 59.27, 59.31] * 3 + [59.29, 59.28, 59.33, 59.4]
+    assert sum(round(p * 100) for p in prices) * 10 % 16 != 0
+    df = spark.createDataFrame([("a", i, p) for i, p in enumerate(prices)], "k string, t int, x double")
+    w = Window.partitionBy("k").orderBy("t")
+    got = with_rolling(df, w, {"m": ("mean", "x", 41)}).orderBy(F.desc("t")).first()["m"]
+    assert got == sum(round(p * 100) for p in prices) / 100 / 16
+
+
+def test_rolling_of_odd_values(spark):
+    rows_in = [("a", 0, None), ("a", 1, float("inf")), ("a", 2, 1e300), ("b", 0, 1e-300), ("b", 1, None), ("b", 2, 3e-300)]
+    df = spark.createDataFrame(rows_in, "k string, t int, x double")
+    w = Window.partitionBy("k").orderBy("t")
+    found = with_rolling(df, w, {"m": ("mean", "x", 41), "d": ("std", "x", 41)}).orderBy("k", "t").collect()
+    assert [r["m"] for r in found] == [None, math.inf, math.inf, 1e-300, 1e-300, 2e-300]
+    assert found[0]["d"] is None and found[3]["d"] is None and found[4]["d"] is None
+    assert with_rolling(df.limit(0), w, {"m": ("mean", "x", 41)}).count() == 0
 
 
 def test_one_row_has_no_deviation(spark, cfg):
