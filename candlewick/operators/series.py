@@ -85,21 +85,51 @@ def over_series(
     return out.filter(~F.col("_halo")).drop("_chunk", "_halo")
 
 
-def streaks(df: DataFrame, key: str, order_by: str, flag: str, name: str = "streak_days") -> DataFrame:
+def streaks(
+    df: DataFrame, key: str, order_by: str, flag: str, name: str = "streak_days", period: str | None = None
+) -> DataFrame:
     """Length so far of the current run of equal flags.
 
-    Position minus the position of the latest flag change: both come from one sort per key. Rows
-    are one per (key, day), so a key's group is bounded by the calendar.
+    Position minus the position of the latest flag change: both come from one sort per key. That is
+    right for rows that are one per (key, day), whose groups are bounded by the calendar. For longer
+    histories name a ``period`` (``"day"``, ``"hour"``): every period of a key is a task of its own, its
+    runs are summed up in one row, and what reaches over its start is carried in from the rows before.
+    The result is the same. A NULL flag, or a NULL before it, changes nothing.
     """
-    w = Window.partitionBy(key).orderBy(order_by)
+    if period is None:
+        out = _runs(df, Window.partitionBy(key).orderBy(order_by), flag, name)
+        return out.drop("_pos", "_turns")
+    parts = df.withColumn("_period", F.date_trunc(period, order_by))
+    own = _runs(parts, Window.partitionBy(key, "_period").orderBy(order_by), flag, name)
+    along = Window.partitionBy(key).orderBy("_period")
+    sums = own.groupBy(key, "_period").agg(
+        F.max("_pos").alias("_n"),
+        (F.max("_turns") > 1).alias("_turned"),
+        F.max_by(name, "_pos").alias("_tail"),
+        F.min_by(flag, "_pos").alias("_first"),
+        F.max_by(flag, "_pos").alias("_last"),
+    )
+    broken = F.coalesce(F.lag("_last").over(along) != F.col("_first"), F.lit(False))
+    carried = (
+        sums.withColumns({"_broken": broken, "_upto": F.sum("_n").over(along)})
+        # rows before the run that is open at a period's end
+        .withColumn("_closed", F.when(F.col("_broken") | F.col("_turned"), F.col("_upto") - F.col("_tail")))
+        .withColumn("_open", F.col("_upto") - F.coalesce(F.max("_closed").over(along), F.lit(0)))
+        .withColumn("_carry", F.when(~F.col("_broken"), F.lag("_open").over(along)))
+        .select(F.col(key).alias("_key"), F.col("_period").alias("_of"), "_carry")
+    )
+    same = own[key].eqNullSafe(carried["_key"]) & own["_period"].eqNullSafe(carried["_of"])
+    reaching = F.when(F.col("_turns") == 1, F.coalesce("_carry", F.lit(0))).otherwise(0)
+    return own.join(carried, same, "left").withColumn(name, F.col(name) + reaching).select(*df.columns, name)
+
+
+def _runs(df: DataFrame, w: WindowSpec, flag: str, name: str) -> DataFrame:
+    """Row positions, where the current run began, and its length so far."""
+    turn = F.when(F.col(flag) != F.lag(flag).over(w), F.col("_pos"))
     return (
         df.withColumn("_pos", F.row_number().over(w))
-        .withColumn(
-            "_turn", F.when(F.col(flag) != F.lag(flag).over(w), F.col("_pos"))
-        )
-        .withColumn(
-            name,
-            (F.col("_pos") - F.coalesce(F.max("_turn").over(w), F.lit(1)) + 1).cast("long"),
-        )
-        .drop("_pos", "_turn")
+        .withColumn("_turn", turn)
+        .withColumn("_turns", F.coalesce(F.max("_turn").over(w), F.lit(1)))
+        .withColumn(name, (F.col("_pos") - F.col("_turns") + 1).cast("long"))
+        .drop("_turn")
     )

@@ -1308,11 +1308,29 @@ STREAKS = {
     ),
 )
 def _(spark, sf):
+    return _streaks(spark, sf)
+
+
+@register(
+    "streaks_long_series",
+    # the same runs, every month of an entity on its own
+    build(
+        "SELECT id, ingestion_date, streak_days, streak_direction FROM runs",
+        "msilver",
+        extra=STREAKS,
+        dates=("ingestion_date",),
+    ),
+)
+def _(spark, sf):
+    return _streaks(spark, sf, "month")
+
+
+def _streaks(spark, sf, period=None):
     rows = fx.market_silver(spark, sf).withColumn(
         "gaining", F.coalesce(F.col("daily_return_pct") > 0, F.lit(False))
     )
     direction = F.when(F.col("gaining"), "GAINING").otherwise("LOSING")
-    return series.streaks(rows, "id", "ingestion_date", "gaining").select(
+    return series.streaks(rows, "id", "ingestion_date", "gaining", period=period).select(
         "id", "ingestion_date", "streak_days", direction.alias("streak_direction")
     )
 

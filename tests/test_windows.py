@@ -123,6 +123,23 @@ def test_momentum_reaches_41_rows_back(spark, cfg):
     assert got[1]["momentum_1d"] == 100.0
 
 
+@pytest.mark.parametrize("period", ["day", "hour"])
+def test_streaks_of_a_long_history_equal_the_plain_form(spark, period):
+    """All rows of a key in one month; runs that fill several periods, NULL flags, a NULL key."""
+    draw = random.Random(3)
+    data = []
+    for k, stay in (("hot", 0.995), ("calm", 1.0), ("wild", 0.5), (None, 0.98)):
+        gain = True
+        for i in range(2500):
+            gain = gain if draw.random() < stay else not gain
+            data.append((k, START + timedelta(minutes=17 * i), None if draw.random() < 0.01 else gain))
+    df = spark.createDataFrame(data, "k string, t timestamp, gain boolean")
+    plain = series.streaks(df, "k", "t", "gain")
+    cut = series.streaks(df, "k", "t", "gain", period=period)
+    assert cut.columns == plain.columns
+    assert rows(cut) == rows(plain)
+
+
 def test_streaks(spark, cfg):
     returns = [1.0, 2.0, -1.0, 0.0, None, 1.0, 1.0]
     df = spark.createDataFrame(
