@@ -81,3 +81,32 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     assert {r.score for r in toxicity.score(odd_docs, model).collect() if r.doc_id in (1, 2)} == {0.5}
     assert toxicity.score(odd_docs, toxicity.fit(no_docs, labels)).count() == 9
     assert toxicity.score(no_docs, model).count() == 0
+
+
+def test_toxicity_scores_equal_a_plain_loop():
+    """Bag, average and score of single texts, n-gram by n-gram."""
+    import math
+
+    from candlewick.llm import arrays
+
+    weights = np.random.default_rng(1).normal(0, 1, toxicity.ROWS).astype(np.float32)
+    model = toxicity.Model(weights, -0.5)
+    texts = ["You are SO bad bad", "", None, "a", "h\u00e9llo w\u00f6rld \u00c9", "x" * 3000, "two\nlines\there"]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    want, counts = [], []
+    for text in texts:
+        found = []
+        for word in (text or "").translate(lower).split():
+            edged = np.array([ord(c) for c in f" {word} "], np.uint32)
+            for size in range(toxicity.SHORTEST, toxicity.LONGEST + 1):
+                for at in range(len(edged) - size + 1):
+                    gram = edged[at : at + size].copy()
+                    found.append(int(arrays.hash_spans(gram, np.array([0]), np.array([size]))[0] % np.uint64(toxicity.ROWS)))
+        counts.append(len(found))
+        logit = -0.5 + sum(float(weights[r]) for r in found) / (len(found) + toxicity.NEUTRAL)
+        want.append(1 / (1 + math.exp(-logit)))
+    column = pa.array(texts, pa.string())
+    assert np.allclose(model.scores(column), want, rtol=0, atol=1e-9)
+    for (rows_of, shares), n in zip(toxicity.bags(column), counts, strict=True):
+        assert len(set(rows_of.tolist())) == len(rows_of)
+        assert abs(float(shares.sum()) - n / (n + toxicity.NEUTRAL)) < 1e-4
