@@ -74,8 +74,10 @@ def store_ohlc(
         arriving = first_per_key(landed, keys, [F.col("ingestion_timestamp").desc()])
         tables.publish_merge(arriving, main, keys, cfg, "candle_date")
         if spark.catalog.tableExists(names["archive"]):
-            filled = load.archived_candles(spark.table(names["archive"]), failed, cfg)
+            held = tables.runs_holding(spark, names["archive"], failed, "coin_id")
+            filled = load.archived_candles(held, failed, cfg)
             filled = filled.drop("archive_run_id")
             tables.publish_merge(filled, main, keys, cfg, "candle_date", how="insert_only")
+        tables.list_run_keys(landed, names["archive"], "coin_id", cfg, day)
         tables.append_run(landed, names["archive"], cfg, day=day, cluster_by="coin_id")
     return grade

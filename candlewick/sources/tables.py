@@ -154,6 +154,29 @@ def append_run(
         remove(spark, old)
 
 
+def list_run_keys(df: DataFrame, table: str, key: str, cfg: Config, day: str) -> None:
+    """Keep the distinct keys of a run in ``<table>_keys``, for ``runs_holding``. To be called before the
+    run is appended: a run that is not listed yet is always read."""
+    append_run(df.select(day, key).distinct(), f"{table}_keys", cfg, day=day)
+
+
+def runs_holding(
+    spark: SparkSession, table: str, wanted: DataFrame, key: str, run_column: str = "archive_run_id"
+) -> DataFrame:
+    """A table appended by runs, without the partitions of runs that hold none of the ``wanted`` keys.
+
+    The lists of keys are read instead of the rows; runs without a list stay. The runs' names are
+    literals that prune the scan: no more of them than the catalog lists for the table.
+    """
+    rows = spark.table(table)
+    if not spark.catalog.tableExists(f"{table}_keys"):
+        return rows
+    listed = spark.table(f"{table}_keys")
+    holding = listed.join(wanted.select(key).distinct(), key, "left_semi").select(run_column).distinct()
+    idle = {r[0] for r in listed.select(run_column).distinct().collect()} - {r[0] for r in holding.collect()}
+    return rows.where(~F.col(run_column).isin(sorted(idle))) if idle else rows
+
+
 def _keep_unreadable(lost: DataFrame, table: str, cfg: Config) -> None:
     if not lost.isEmpty():
         append_run(lost, table, cfg)

@@ -128,3 +128,26 @@ def test_staging_is_empty_after_storing(spark, cfg, names):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/staging")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     assert not [x for x in (fs.listStatus(path) if fs.exists(path) else []) if x.getPath().getName().startswith(main)]
+
+
+def test_only_runs_that_hold_a_wanted_key_are_read(spark, cfg, names):
+    archive = names["archive"]
+    runs = {"r1": ["a", "b"], "r2": ["a"], "r3": ["c", None], "r4": ["b"]}
+    for run, coins in runs.items():
+        batch = spark.createDataFrame([(c, "2024-01-01", i) for i, c in enumerate(coins)], "coin_id string, day string, n int")
+        own = replace(cfg, run_id=run)
+        if run != "r4":  # a run from before keys were listed
+            tables.list_run_keys(batch, archive, "coin_id", own, "day")
+        tables.append_run(batch, archive, own, day="day")
+    wanted = spark.createDataFrame([("b",), ("z",)], "coin_id string")
+    held = tables.runs_holding(spark, archive, wanted, "coin_id")
+    assert {r[0] for r in held.select("archive_run_id").distinct().collect()} == {"r1", "r4"}
+    assert all("archive_run_id=r1" in f or "archive_run_id=r4" in f for f in held.inputFiles())
+    full = spark.table(archive).join(wanted, "coin_id", "left_semi")
+    assert rows(held.join(wanted, "coin_id", "left_semi")) == rows(full)
+    # a repeated run replaces its list
+    again = spark.createDataFrame([("b", "2024-01-01", 5)], "coin_id string, day string, n int")
+    tables.list_run_keys(again, archive, "coin_id", replace(cfg, run_id="r2"), "day")
+    tables.append_run(again, archive, replace(cfg, run_id="r2"), day="day")
+    held = tables.runs_holding(spark, archive, wanted, "coin_id")
+    assert {r[0] for r in held.select("archive_run_id").distinct().collect()} == {"r1", "r2", "r4"}
