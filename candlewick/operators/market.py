@@ -13,6 +13,7 @@ from candlewick.operators.quality import flag_changes
 from candlewick.operators.ranking import add_ranks
 from candlewick.operators.rolling import with_rolling
 from candlewick.operators.series import over_series
+from candlewick.operators.tenure import days_in_universe, member_months
 
 
 def price_features(df: DataFrame, cfg: Config) -> DataFrame:
@@ -77,11 +78,7 @@ def market_features(df: DataFrame, cfg: Config, hot: bool = True) -> DataFrame:
 
 def tenure(universe: DataFrame) -> DataFrame:
     """Days each entity has been an active member."""
-    return (
-        universe.where("is_active")
-        .groupBy(F.col("coin_id").alias("id"))
-        .agg(F.countDistinct("universe_date").alias("days_in_universe"))
-    )
+    return days_in_universe(member_months(universe))
 
 
 def with_maturity(facts: DataFrame, universe: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ where its measured size allows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -49,6 +51,16 @@ def merge_newest(target: DataFrame, source: DataFrame, keys: list[str], by: str)
     return merge_upsert(target, source.join(later, held, "left_anti"), keys)
 
 
+def merge_folded(
+    target: DataFrame, source: DataFrame, keys: list[str], folds: dict[str, Callable[[str], Column]]
+) -> DataFrame:
+    """Rows of one key become one, each other column by its aggregate in ``folds`` (a sum, a bitwise or,
+    a merge of sketches). One shuffle, combined before it; a NULL in a key is a value like any other."""
+    both = target.unionByName(source.select(*target.columns))
+    folded = both.groupBy(*keys).agg(*[fold(c).alias(c) for c, fold in folds.items()])
+    return folded.select(*target.columns)
+
+
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Only keys unknown to the target are added."""
     return target.unionByName(_without(source, target, keys), allowMissingColumns=True)

@@ -202,37 +202,54 @@ class Rule:
 
 
 def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """(check, passed, failing_rows). Column rules are metadata; all row rules share one
-    aggregation; each uniqueness rule counts keys map-side."""
+    """(check, passed, failing_rows). Column rules are metadata. All others are counted while the table is
+    evaluated once: rows are grouped by the key that must be unique, with the row rules' counts beside
+    each key's, and those are added up. Several keys are grouping sets of the same pass."""
     have = set(df.columns)
     counts: dict[str, Column] = {}
+    row_rules = [r for r in rules if r.failing is not None]
+    key_sets = list(dict.fromkeys(tuple(sorted(r.unique)) for r in rules if r.unique))
     for rule in rules:
         if rule.present:
             counts[rule.name] = F.lit(len(set(rule.present) - have))
         elif rule.absent:
             counts[rule.name] = F.lit(len(set(rule.absent) & have))
         elif rule.unique:
-            keys = df.groupBy(*rule.unique).count()
-            extra = keys.select(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)))
-            counts[rule.name] = extra.scalar()
+            counts[rule.name] = F.col(f"_extra{key_sets.index(tuple(sorted(rule.unique)))}")
         else:
-            counts[rule.name] = F.count_if(F.expr(rule.failing))
-    per_row = {n: c for r in rules if r.failing is not None for n, c in counts.items() if n == r.name}
-    base = df.agg(*[c.alias(n) for n, c in per_row.items()]) if per_row else df.sparkSession.range(1)
+            counts[rule.name] = F.col(f"_bad{row_rules.index(rule)}")
+    totals = _counted(df, row_rules, key_sets) if row_rules or key_sets else df.sparkSession.range(1)
     rows = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("check"),
-                (F.col(name) if name in per_row else count).cast("long").alias("failing_rows"),
-            )
+            F.struct(F.lit(name).alias("check"), count.cast("long").alias("failing_rows"))
             for name, count in counts.items()
         ]
     )
-    return base.select(F.explode(rows).alias("r")).select(
+    return totals.select(F.explode(rows).alias("r")).select(
         "r.check", (F.col("r.failing_rows") == 0).alias("passed"), "r.failing_rows"
     )
 
 
+def _counted(df: DataFrame, row_rules: list[Rule], key_sets: list[tuple[str, ...]]) -> DataFrame:
+    """One row: ``_bad{i}`` rows that break a row rule, ``_extra{i}`` rows beyond the first of their key."""
+    counters = [F.count("*").alias("_n")]
+    counters += [F.count_if(F.expr(r.failing)).alias(f"_bad{i}") for i, r in enumerate(row_rules)]
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    if len(key_sets) < 2:
+        keyed, marks = df.groupBy(*key_sets[0]) if key_sets else df.groupBy(), [0]
+        grouped = keyed.agg(*counters, F.lit(0).alias("_set"))
+    else:
+        columns = sorted({c for keys in key_sets for c in keys})
+        # a set's number has a bit for every column that it lacks, the last column lowest
+        marks = [sum((c not in keys) << i for i, c in enumerate(reversed(columns))) for keys in key_sets]
+        keyed = df.groupingSets([[F.col(c) for c in keys] for keys in key_sets], *columns)
+        grouped = keyed.agg(*counters, F.grouping_id().alias("_set"))
+    return grouped.agg(
+        *[total(F.when(F.col("_set") == marks[0], F.col(f"_bad{i}"))).alias(f"_bad{i}") for i in range(len(row_rules))],
+        *[total(F.when(F.col("_set") == marks[i], F.col("_n") - 1)).alias(f"_extra{i}") for i in range(len(key_sets))],
+    )
+
+
 def column_metrics(df: DataFrame, columns: list[str], exact_distinct: bool = True) -> DataFrame:
     """Per column: rows, NULLs, negatives and distinct values.
 

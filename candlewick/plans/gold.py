@@ -328,77 +328,71 @@ def trending_enriched(trending: DataFrame, snapshot: DataFrame, cfg: Config) ->
     )
 
 
-def validate_gold(
-    snapshot: DataFrame, history: DataFrame, performance: DataFrame, summary: DataFrame
-) -> DataFrame:
-    """The thirteen checks of the four published tables."""
-    checks = [
-        validate(
-            snapshot,
-            [
-                Rule(
-                    "snapshot_required_cols",
-                    present=(
-                        "id", "name", "current_price", "market_cap", "total_volume",
-                        "market_cap_rank", "market_segment", "performance_label",
-                        "trend_strength", "ma_7d", "ma_14d", "ma_30d", "momentum_7d",
-                        "support_14d", "resistance_14d", "recommendation_score",
-                        "gold_recommendation_score",
-                    ),
+def gold_rules() -> dict[str, list[Rule]]:
+    """The thirteen checks, by published table."""
+    return {
+        "snapshot": [
+            Rule(
+                "snapshot_required_cols",
+                present=(
+                    "id", "name", "current_price", "market_cap", "total_volume",
+                    "market_cap_rank", "market_segment", "performance_label",
+                    "trend_strength", "ma_7d", "ma_14d", "ma_30d", "momentum_7d",
+                    "support_14d", "resistance_14d", "recommendation_score",
+                    "gold_recommendation_score",
                 ),
-                Rule("snapshot_unique_coin", unique=("id",)),
-                Rule("snapshot_score_in_range", failing="gold_recommendation_score < 0 OR gold_recommendation_score > 1"),
-                Rule("snapshot_no_trading_signal", absent=("trading_signal",)),
-                Rule("snapshot_no_combined_signal", absent=("combined_signal",)),
-            ],
-        ),
-        validate(
-            history,
-            [
-                Rule(
-                    "ohlc_required_cols",
-                    present=(
-                        "coin_id", "candle_date", "open", "high", "low", "close",
-                        "daily_candle_direction", "daily_range_pct", "ma_7d", "ma_14d",
-                        "ma_30d", "trend_strength", "avg_recommendation_score",
-                    ),
+            ),
+            Rule("snapshot_unique_coin", unique=("id",)),
+            Rule("snapshot_score_in_range", failing="gold_recommendation_score < 0 OR gold_recommendation_score > 1"),
+            Rule("snapshot_no_trading_signal", absent=("trading_signal",)),
+            Rule("snapshot_no_combined_signal", absent=("combined_signal",)),
+        ],
+        "history": [
+            Rule(
+                "ohlc_required_cols",
+                present=(
+                    "coin_id", "candle_date", "open", "high", "low", "close",
+                    "daily_candle_direction", "daily_range_pct", "ma_7d", "ma_14d",
+                    "ma_30d", "trend_strength", "avg_recommendation_score",
                 ),
-                Rule("ohlc_unique_grain", unique=("coin_id", "candle_date")),
-                Rule("ohlc_hl_valid", failing="high < low"),
-                Rule("ohlc_no_trading_signal", absent=("trading_signal",)),
-            ],
-        ),
-        validate(
-            performance,
-            [
-                Rule(
-                    "perf_required_cols",
-                    present=(
-                        "id", "name", "ingestion_date", "price_change_percentage_24h",
-                        "gainer_rank", "loser_rank", "performance_label",
-                        "performance_percentile", "streak_days", "streak_direction",
-                        "avg_recommendation_score",
-                    ),
+            ),
+            Rule("ohlc_unique_grain", unique=("coin_id", "candle_date")),
+            Rule("ohlc_hl_valid", failing="high < low"),
+            Rule("ohlc_no_trading_signal", absent=("trading_signal",)),
+        ],
+        "performance": [
+            Rule(
+                "perf_required_cols",
+                present=(
+                    "id", "name", "ingestion_date", "price_change_percentage_24h",
+                    "gainer_rank", "loser_rank", "performance_label",
+                    "performance_percentile", "streak_days", "streak_direction",
+                    "avg_recommendation_score",
                 ),
-                Rule("perf_unique_grain", unique=("id", "ingestion_date")),
-            ],
-        ),
-        validate(
-            summary,
-            [
-                Rule(
-                    "summary_required_cols",
-                    present=(
-                        "ingestion_date", "total_market_cap", "total_volume", "gainers_count",
-                        "losers_count", "market_sentiment", "btc_dominance_pct",
-                        "top_gainer_coin", "top_loser_coin", "avg_recommendation_score",
-                        "pct_high_signal",
-                    ),
+            ),
+            Rule("perf_unique_grain", unique=("id", "ingestion_date")),
+        ],
+        "summary": [
+            Rule(
+                "summary_required_cols",
+                present=(
+                    "ingestion_date", "total_market_cap", "total_volume", "gainers_count",
+                    "losers_count", "market_sentiment", "btc_dominance_pct",
+                    "top_gainer_coin", "top_loser_coin", "avg_recommendation_score",
+                    "pct_high_signal",
                 ),
-                Rule("summary_unique_date", unique=("ingestion_date",)),
-            ],
-        ),
-    ]
+            ),
+            Rule("summary_unique_date", unique=("ingestion_date",)),
+        ],
+    }
+
+
+def validate_gold(
+    snapshot: DataFrame, history: DataFrame, performance: DataFrame, summary: DataFrame
+) -> DataFrame:
+    """The thirteen checks of the four published tables, each evaluated once."""
+    found = {"snapshot": snapshot, "history": history, "performance": performance, "summary": summary}
+    checks = [validate(found[table], rules) for table, rules in gold_rules().items()]
     out = checks[0]
     for part in checks[1:]:
         out = out.unionByName(part)

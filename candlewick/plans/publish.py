@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.config import Config
-from candlewick.operators import load
+from candlewick.operators import load, tenure
 from candlewick.plans import gold
 from candlewick.plans.silver import Facts
 from candlewick.sources import tables
@@ -55,6 +55,20 @@ def store_universe(members: DataFrame, table: str, log: str, cfg: Config) -> int
     return tables.audited(members.sparkSession, table, log, cfg, step)
 
 
+def store_tenure(members: DataFrame, table: str, log: str, cfg: Config) -> int:
+    """Or a day's members into the bitmaps of their month; only that month is read and rewritten.
+    ``tenure.days_in_universe`` counts the stored bitmaps."""
+    months = tenure.member_months(members)
+    step = lambda: tables.publish_merge(months, table, ["coin_id", "month"], cfg, "month", folds=tenure.FOLDS)
+    return tables.audited(members.sparkSession, table, log, cfg, step)
+
+
+def store_clustered(spark: SparkSession, table: str, columns: list[str], log: str, cfg: Config, files: int | None = None) -> int:
+    """Rewrite a stored table clustered by several columns; the old layout stays until the new one is written."""
+    step = lambda: tables.write_clustered(spark.table(table), table, columns, files=files)
+    return tables.audited(spark, table, log, cfg, step)
+
+
 def store_gold(df: DataFrame, kind: str, table: str, log: str, cfg: Config) -> int:
     """Merge one published table (a key of ``GOLD``) by its key."""
     keys, partition = GOLD[kind]

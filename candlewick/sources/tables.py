@@ -15,13 +15,15 @@ from collections.abc import Callable
 from functools import partial
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.config import Config
+from candlewick.operators.layout import clustered
 from candlewick.operators.merge import (
     drop_internal,
     merge_common_columns,
+    merge_folded,
     merge_insert_only,
     merge_newest,
     merge_synced,
@@ -271,6 +273,7 @@ def publish_merge(
     how: str = "upsert",
     unreadable: str | None = None,
     guard: str | None = None,
+    folds: dict[str, Callable[[str], Column]] | None = None,
 ) -> None:
     """Merge a batch into a table. With a partition column that the key determines, only the
     partitions the batch touches are read and rewritten; the rest is left alone.
@@ -279,7 +282,10 @@ def publish_merge(
     table ``unreadable`` (by default ``<table>_unreadable``); the others are merged.
 
     With ``guard``, a column such as a day, a row that is older than the stored one of its key
-    changes nothing: late batches do not take a table of latest rows back in time."""
+    changes nothing: late batches do not take a table of latest rows back in time.
+
+    With ``folds``, an aggregate for every column besides the keys, stored and arriving rows of a key
+    are combined instead of replaced."""
     spark = source.sparkSession
     # checked, pruned by and merged: evaluated once
     with staged(drop_internal(source), f"{table}-{cfg.run_id}") as batch:
@@ -300,6 +306,8 @@ def publish_merge(
         if partition_by:
             target = touched_partitions(target, batch, partition_by)
         merge = partial(merge_newest, by=guard) if guard else MERGES[how]
+        if folds:
+            merge = partial(merge_folded, folds=folds)
         merged = merge(target, batch, keys).select(*target.columns)
         if partition_by:
             _replace_partitions(merged, table, [partition_by])
@@ -311,11 +319,9 @@ def write_clustered(
     df: DataFrame, table: str, cluster_by: list[str], partition_by: str | None = None,
     files: int | None = None,
 ) -> None:
-    """Lay a table out so that filters on the cluster columns skip row groups: ranges of the
-    columns per file, sorted inside."""
-    ranges = [*([partition_by] if partition_by else []), *cluster_by]
-    spread = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
-    create_table(spread.sortWithinPartitions(*ranges), table, partition_by)
+    """Lay a table out so that filters on any of the cluster columns skip files and row groups: the
+    first column alone decides no more than the others do."""
+    create_table(clustered(df, cluster_by, files, partition_by), table, partition_by)
 
 
 # --- logs ------------------------------------------------------------------------------------
