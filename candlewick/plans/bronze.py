@@ -13,6 +13,16 @@ from candlewick.operators.schema import reconcile_schema
 from candlewick.sources import tables
 
 
+FALLBACK = "FALLBACK"
+
+
+def _log(rows: DataFrame, names: dict[str, str], status: str, cfg: Config, why: str = "") -> None:
+    """One row of the ingestion log, if ``names`` has a ``log``: what was stored and by which grade."""
+    if "log" in names and (stored := rows.count()):
+        row = tables.log_row(rows.sparkSession, names["main"], status, stored, cfg, why)
+        tables.append_log(row, names["log"])
+
+
 def _grade_of(batch: DataFrame) -> str:
     """The batch's grade: one value per batch, read from one row."""
     row = batch.select("load_status").first()
@@ -27,6 +37,7 @@ def store_market(
     Severe and failed batches go to quarantine and the last snapshot stands in for them; partial
     ones are completed with stale rows for the expected entities they lack. The latest row of
     every entity is kept in ``<main>_latest``, so that completing a batch does not read history.
+    With ``names[log]``, the rows stored are logged by grade, rows that stand in as FALLBACK.
     """
     spark, main = batch.sparkSession, names["main"]
     exists = spark.catalog.tableExists(main)
@@ -54,6 +65,8 @@ def store_market(
             newest = first_per_key(arriving, ["id"], [F.col(day).desc()])
             tables.publish_merge(newest, latest, ["id"], cfg, guard=day)
             tables.append_run(arriving, names["archive"], cfg, day=day, cluster_by="id")
+            stands_in = grade in load.DIVERTED
+            _log(arriving, names, FALLBACK if stands_in else grade, cfg, grade if stands_in else "")
     return grade
 
 
@@ -61,7 +74,8 @@ def store_ohlc(
     batch: DataFrame, failed: DataFrame, names: dict[str, str], cfg: Config
 ) -> str:
     """Store one candle batch. A severe batch is quarantined and stored as well; failed entities
-    are completed from the archive, in the partitions that lack their candles."""
+    are completed from the archive, in the partitions that lack their candles. With ``names[log]``, the
+    candles landed are logged by grade and the archived ones as FALLBACK."""
     spark, main = batch.sparkSession, names["main"]
     exists = spark.catalog.tableExists(main)
     tables.log_schema_changes(batch, main, names["schema_log"], cfg)
@@ -77,7 +91,10 @@ def store_ohlc(
             held = tables.runs_holding(spark, names["archive"], failed, "coin_id")
             filled = load.archived_candles(held, failed, cfg)
             filled = filled.drop("archive_run_id")
-            tables.publish_merge(filled, main, keys, cfg, "candle_date", how="insert_only")
+            with tables.staged(filled, f"{main}-filled") as filled:
+                tables.publish_merge(filled, main, keys, cfg, "candle_date", how="insert_only")
+                _log(filled, names, FALLBACK, cfg, "archived candles")
         tables.list_run_keys(landed, names["archive"], "coin_id", cfg, day)
         tables.append_run(landed, names["archive"], cfg, day=day, cluster_by="coin_id")
+        _log(arriving, names, grade, cfg)
     return grade

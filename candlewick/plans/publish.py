@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.config import Config
-from candlewick.operators import load, tenure
+from candlewick.operators import limits, load, tenure
 from candlewick.plans import gold
 from candlewick.plans.silver import Facts
 from candlewick.sources import tables
@@ -69,6 +69,19 @@ def store_clustered(spark: SparkSession, table: str, columns: list[str], log: st
     return tables.audited(spark, table, log, cfg, step)
 
 
+def store_counts(rows: DataFrame, values: limits.Values, table: str, day: str, log: str, cfg: Config) -> int:
+    """Store a day's counts for ``limits.limits``, replacing that day's; the first days' rows decide the
+    cuts, which stay in ``<table>_cuts``."""
+    spark, cuts = rows.sparkSession, f"{table}_cuts"
+
+    def step() -> None:
+        if not spark.catalog.tableExists(cuts):
+            tables.create_table(limits.cut_points(rows, values), cuts)
+        tables.replace_days(limits.day_counts(rows, values, spark.table(cuts), day), table, "day")
+
+    return tables.audited(spark, table, log, cfg, step)
+
+
 def store_gold(df: DataFrame, kind: str, table: str, log: str, cfg: Config) -> int:
     """Merge one published table (a key of ``GOLD``) by its key."""
     keys, partition = GOLD[kind]

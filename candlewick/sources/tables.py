@@ -253,6 +253,14 @@ def _replace_partitions(df: DataFrame, table: str, layout: list[str]) -> set[str
     return made
 
 
+def replace_days(df: DataFrame, table: str, day: str) -> None:
+    """Replace the partitions of the days that ``df`` has rows of; other days stay."""
+    if not df.sparkSession.catalog.tableExists(table):
+        create_table(df, table, day)
+        return
+    _replace_partitions(df.select(*df.sparkSession.table(table).columns), table, [day])
+
+
 def touched_partitions(target: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
     """The part of a table whose partitions a batch touches, the NULL partition included.
 

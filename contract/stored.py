@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from candlewick.operators import asof, dims, load, merge, pick, quality, tenure
+from candlewick.operators import asof, dims, limits, load, merge, pick, quality, tenure
 from candlewick.plans import publish, silver
 from candlewick.sources import landing, tables
 from candlewick.staging import stage
@@ -64,6 +64,26 @@ def _(spark, sf):
     return quarter.select("o_custkey", "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
 
 
+@register(
+    "published_limits",
+    """SELECT quantile_disc(value, 0.01) AS value_p01, quantile_disc(value, 0.5) AS value_p50, quantile_disc(value, 0.9) AS value_p90,
+        quantile_disc(value, 0.99) AS value_p99, CAST(quantile_disc(hour(ts), 0.75) AS DOUBLE) AS hour_p75 FROM events""",
+)
+def _(spark, sf):
+    """Limits over all events from counts of the first half and then of the rest, with the middle day twice."""
+    events = table(spark, sf, "events").select(F.to_date("ts").alias("day"), "value", F.hour("ts").alias("hour"))
+    bounds = events.agg(F.expr("date_add(min(day), CAST(datediff(max(day), min(day)) / 2 AS INT))").alias("middle"))
+    middle, name = bounds.select("middle").scalar(), f"counts_{uuid.uuid4().hex[:12]}"
+    values = {"value": F.col("value"), "hour": F.col("hour")}
+    for rows in (events.where(F.col("day") <= middle), events.where(F.col("day") >= middle)):
+        publish.store_counts(rows, values, name, "day", f"{name}_log", CFG)
+    shares = {"value_p01": ("value", 0.01), "value_p50": ("value", 0.5), "value_p90": ("value", 0.9), "value_p99": ("value", 0.99), "hour_p75": ("hour", 0.75)}
+    found = limits.limits(events, values, shares, spark.table(f"{name}_cuts"), spark.table(name), most_rows=1_000)
+    for suffix in ("", "_cuts", "_log"):
+        tables.drop_table(spark, f"{name}{suffix}")
+    return found
+
+
 # --- logs, catalog, quarantine -----------------------------------------------------------------
 
 

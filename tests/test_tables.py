@@ -222,6 +222,8 @@ def test_market_runs(spark, cfg, tmp_path, names):
     assert main.count() == 15
     assert rows(spark.table(names["quarantine"]), "id", "archive_run_id") == [("a", "r3")]
     assert spark.table(names["archive"]).count() == 14
+    assert rows(spark.table(names["log"]), "ingestion_date", "status", "rows_written", "error_message") == [
+        (D1, "SUCCESS", 5, ""), (D2, "PARTIAL_LOAD", 4, ""), (D3, "FALLBACK", 5, "PARTIAL_LOAD_SEVERE")]
     kinds = spark.table(names["schema_log"]).select("change_type").distinct()
     assert rows(kinds) == [("SCHEMA_INITIALISED",)]
 
@@ -244,6 +246,8 @@ def test_candle_runs(spark, cfg, names):
     assert bronze.store_ohlc(second, failed, names, later) == "PARTIAL_LOAD_CRITICAL"
     assert rows(spark.table(names["main"]), "coin_id", "timestamp_ms", "close") == [
         ("a", 0, 1.0), ("a", h, 9.0), ("a", 2 * h, 3.0), ("b", 0, 5.0)]
+    assert rows(spark.table(names["log"]), "status", "rows_written", "error_message") == [
+        ("FALLBACK", 1, "archived candles"), ("PARTIAL_LOAD_CRITICAL", 2, ""), ("SUCCESS", 3, "")]
 
 
 def test_stream_drains_landed_files(spark, cfg, tmp_path, names):
