@@ -207,7 +207,7 @@ register(
     ),
 )
 def _(spark, sf):
-    """Payload files of all market days, read with the declared schema, typed, graded and stamped."""
+    """Payloads of all market days, parsed by the declared schema, typed, graded and stamped."""
     records = fx.market_days(spark, sf).drop("ingestion_date", "load_status", "pipeline_run_id", "ingestion_timestamp", "n")
     text = stage(records.select(F.to_json(F.struct("*")).alias("value")), "payloads")
     parsed = text.select(F.from_json("value", landing.MARKET_SCHEMA).alias("r")).select("r.*")
