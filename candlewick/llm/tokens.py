@@ -23,7 +23,7 @@ from candlewick.llm.pieces import Lattice, Pieces, read_model
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: A chunk of more bytes is segmented in parts of so many.
 LONGEST = 4096
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 #: Chunks whose N best segmentations a task keeps for the next texts.
 KEPT = 50_000
 
@@ -114,12 +114,16 @@ class Encoder:
         while queue and len(found) < n:
             cost, _, node, behind, path = heapq.heappop(queue)
             if node == 0:
-                found.append((-cost, path))
+                pieces = []
+                while path:
+                    piece, path = path
+                    pieces.append(piece)
+                found.append((-cost, tuple(pieces)))
                 continue
             for start, piece in edges[node]:
                 made += 1
                 score = behind + self.logs[piece]
-                heapq.heappush(queue, (-(score + ahead[start]), made, start, score, (piece, *path)))
+                heapq.heappush(queue, (-(score + ahead[start]), made, start, score, (piece, path)))
         if len(self.kept) >= KEPT:
             self.kept.clear()
         self.kept[chunk, n] = found
@@ -235,3 +239,33 @@ def decode(encoded: DataFrame, encoder: Encoder) -> DataFrame:
     prepare(encoded.sparkSession)
     schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
     return encoded.mapInArrow(_decoded(encoder), schema)
+
+
+def _alike(encoder: Encoder, ids: list[list[int] | None], swaps: list[list]) -> list[bool]:
+    """Whether the pieces that each swap puts in spell the bytes of those they replace."""
+    texts = encoder.pieces.texts
+    spelt = lambda some: b"".join(texts[i] for i in some)
+    return [
+        all(spelt(x["ids"]) == spelt(best[x["start"] : x["start"] + x["count"]]) for way in ways for x in way)
+        for best, ways in zip(ids, swaps, strict=True)
+    ]
+
+
+def _checked(encoder: Encoder, n: int):
+    encoded, decoded = _encoded(encoder, n), _decoded(encoder)
+
+    def run(batches):
+        for batch in decoded(encoded(batches)):
+            alike = _alike(encoder, batch["ids"].to_pylist(), batch["swaps"].to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(alike, pa.bool_())], [*batch.schema.names, "alike"])
+
+    return run
+
+
+def encode_checked(docs: DataFrame, encoder: Encoder, n: int = 1) -> DataFrame:
+    """``encode`` and ``decode`` in one Python process a task instead of two, so that texts and ids pass
+    it once. Adds ``alike``: each of the n best segmentations spells the same text."""
+    prepare(docs.sparkSession)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, text string, {SCHEMA}, decoded string, alike boolean"
+    return docs.select("doc_id", "text").mapInArrow(_checked(encoder, n), schema)

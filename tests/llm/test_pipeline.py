@@ -96,3 +96,14 @@ def test_near_duplicates_are_found_by_text_whatever_the_ids(spark):
         (8, words("g")), (3, words("h").upper()), (11, ""), (12, ""), (None, " "), (None, None),
     ]
     assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == sorted((str(i), str(t)) for i, t in want)
+
+
+def test_the_last_stage_finds_three_paths_of_a_text(spark, monkeypatch):
+    """Three scores a text reach the stage, where one path has no second."""
+    made, plain = [], corpus_pipeline.tokens.encode_checked
+    monkeypatch.setattr(corpus_pipeline.tokens, "encode_checked", lambda *a: made.append(plain(*a)) or made[0])
+    docs = spark.createDataFrame([(1, "the cat sat on the mat"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in corpus_pipeline.encode_pieces(spark, docs, SF).collect()}
+    scores = {r.doc_id: r.scores for r in made[0].collect()}
+    assert [len(scores[i]) for i in (1, 2)] == [3, 1] and scores[1] == sorted(scores[1], reverse=True)
+    assert all(r.round_trip and r.score == scores[i][0] for i, r in got.items())

@@ -1,5 +1,7 @@
 """N-best segmentations against all segmentations, and exact round trips."""
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -76,3 +78,19 @@ def test_odd_rows(spark, odd_docs, no_docs, encoder):
     assert len(got) == 9 and all(r.decoded == (r.text or "") for r in got)
     assert {(len(r["ids"]), tuple(r.scores)) for r in got if r.doc_id in (1, 2)} == {(0, (0.0,))}
     assert tokens.encode(no_docs, encoder).count() == 0
+
+
+def test_checked_in_one_pass_is_encode_then_decode(spark, odd_docs, no_docs, encoder):
+    docs = odd_docs.where("doc_id IS NULL OR doc_id <> 7")
+    apart = tokens.decode(tokens.encode(docs, encoder, 3), encoder).collect()
+    got = tokens.encode_checked(docs, encoder, 3).collect()
+    assert Counter(str(r[:-1]) for r in got) == Counter(str(tuple(r)) for r in apart)
+    assert all(r.alike for r in got) and max(len(r.scores) for r in got) == 3
+    assert tokens.encode_checked(no_docs, encoder, 3).count() == 0
+
+
+def test_a_segmentation_of_another_text_is_found(encoder):
+    ids, begins, _, swaps = encoder.encode(pa.array(["the cat"]), 3)
+    assert tokens._alike(encoder, [ids.tolist()], swaps) == [True]
+    swaps[0][2][0]["ids"] = [encoder.known[b"x"]]
+    assert tokens._alike(encoder, [ids.tolist()], swaps) == [False]
