@@ -53,3 +53,10 @@ def test_market_summary(spark, zero_days):
         (DAYS[3], inf, inf, 3, 0),
         (DAYS[4], 31.667, 50.0, 3, 0),
     ]
+
+
+def test_landed_market(spark, zero_days):
+    columns = "id", "ingestion_date", "current_price", "coins_received"
+    rows = found(spark, zero_days, "landed_market", *columns)
+    assert len(rows) == 15 and sorted(r[2] for r in rows if r[0] == "1") == sorted(VALUES)
+    assert {r[3] for r in rows} == {3}
