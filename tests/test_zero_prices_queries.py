@@ -60,3 +60,9 @@ def test_landed_market(spark, zero_days):
     rows = found(spark, zero_days, "landed_market", *columns)
     assert len(rows) == 15 and sorted(r[2] for r in rows if r[0] == "1") == sorted(VALUES)
     assert {r[3] for r in rows} == {3}
+
+
+def test_leaderboard(spark, zero_days):
+    columns = "gainer_rank", "loser_rank", "streak_days", "streak_direction"
+    rows = of_first(found(spark, zero_days, "leaderboard", "id", "ingestion_date", *columns))
+    assert rows == [r + s for r, s in zip([(1, 1), (3, 1), (1, 1), (1, 3), (1, 3)], STREAKS, strict=True)]
