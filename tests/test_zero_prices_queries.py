@@ -73,3 +73,9 @@ def test_latest_summary_days(spark, zero_days):
     assert sorted(found(spark, zero_days, "latest_summary_days", *columns)) == [
         (DAYS[2], "NEUTRAL", "1", "1"), (DAYS[3], "VERY_BULLISH", "1", "3"), (DAYS[4], "VERY_BULLISH", "1", "3"),
     ]
+
+
+def test_leaderboard_hot_day(spark, zero_days):
+    columns = "gainer_rank", "loser_rank", "streak_days", "streak_direction"
+    rows = of_first(found(spark, zero_days, "leaderboard_hot_day", "id", "ingestion_date", *columns))
+    assert rows == [r + s for r, s in zip([(1, 1), (3, 1), (1, 1), (1, 3), (1, 3)], STREAKS, strict=True)]
