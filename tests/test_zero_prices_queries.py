@@ -79,3 +79,13 @@ def test_leaderboard_hot_day(spark, zero_days):
     columns = "gainer_rank", "loser_rank", "streak_days", "streak_direction"
     rows = of_first(found(spark, zero_days, "leaderboard_hot_day", "id", "ingestion_date", *columns))
     assert rows == [r + s for r, s in zip([(1, 1), (3, 1), (1, 1), (1, 3), (1, 3)], STREAKS, strict=True)]
+
+
+def test_market_leaders(spark, zero_days):
+    columns = "ingestion_date", "top_gainer_coin", "top_gainer_pct", "top_loser_coin", "top_loser_pct"
+    assert sorted(found(spark, zero_days, "market_leaders", *columns))[1:] == [
+        (DAYS[1], "3", -57.143, "1", -100.0),
+        (DAYS[2], "1", 0.0, "1", 0.0),
+        (DAYS[3], "1", inf, "3", 66.667),
+        (DAYS[4], "1", 50.0, "3", 20.0),
+    ]
