@@ -89,3 +89,9 @@ def test_market_leaders(spark, zero_days):
         (DAYS[3], "1", inf, "3", 66.667),
         (DAYS[4], "1", 50.0, "3", 20.0),
     ]
+
+
+def test_market_features(spark, zero_days):
+    rows = found(spark, zero_days, "market_features", "id", "ingestion_date", "daily_return_pct", "price_lag_2")
+    assert len(rows) == 15
+    assert of_first(rows) == list(zip(RETURNS, [None, None, *VALUES[:3]], strict=True))
