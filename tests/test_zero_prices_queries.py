@@ -95,3 +95,10 @@ def test_market_features(spark, zero_days):
     rows = found(spark, zero_days, "market_features", "id", "ingestion_date", "daily_return_pct", "price_lag_2")
     assert len(rows) == 15
     assert of_first(rows) == list(zip(RETURNS, [None, None, *VALUES[:3]], strict=True))
+
+
+def test_market_snapshot(spark, zero_days):
+    columns = "id", "current_price", "price_change_percentage_24h", "daily_return_pct", "ma_3"
+    assert sorted(found(spark, zero_days, "market_snapshot", *columns)) == [
+        ("1", 3.0, 50.0, 50.0, 1.6667), ("2", 5.0, 25.0, 25.0, 3.6667), ("3", 6.0, 20.0, 20.0, 4.6667),
+    ]
