@@ -102,3 +102,9 @@ def test_market_snapshot(spark, zero_days):
     assert sorted(found(spark, zero_days, "market_snapshot", *columns)) == [
         ("1", 3.0, 50.0, 50.0, 1.6667), ("2", 5.0, 25.0, 25.0, 3.6667), ("3", 6.0, 20.0, 20.0, 4.6667),
     ]
+
+
+def test_price_winsor(spark, zero_days):
+    columns = "id", "ingestion_date", "price_change_percentage_24h", "price_change_pct_24h_capped"
+    rows = found(spark, zero_days, "price_winsor", *columns)
+    assert len(rows) == 15 and of_first(rows) == [(r, r) for r in RETURNS]
