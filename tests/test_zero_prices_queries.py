@@ -108,3 +108,8 @@ def test_price_winsor(spark, zero_days):
     columns = "id", "ingestion_date", "price_change_percentage_24h", "price_change_pct_24h_capped"
     rows = found(spark, zero_days, "price_winsor", *columns)
     assert len(rows) == 15 and of_first(rows) == [(r, r) for r in RETURNS]
+
+
+def test_published_quarantine(spark, zero_days):
+    rows = found(spark, zero_days, "published_quarantine", "id", "ingestion_date")
+    assert sorted((i, str(day)) for i, day in rows) == [("1", DAYS[1]), ("1", DAYS[2])]
