@@ -113,3 +113,9 @@ def test_price_winsor(spark, zero_days):
 def test_published_quarantine(spark, zero_days):
     rows = found(spark, zero_days, "published_quarantine", "id", "ingestion_date")
     assert sorted((i, str(day)) for i, day in rows) == [("1", DAYS[1]), ("1", DAYS[2])]
+
+
+def test_published_performance(spark, zero_days):
+    columns = "gainer_rank", "loser_rank", "streak_days", "streak_direction"
+    rows = of_first(found(spark, zero_days, "published_performance", "id", "ingestion_date", *columns))
+    assert rows == [r + s for r, s in zip([(1, 1), (3, 1), (1, 1), (1, 3), (1, 3)], STREAKS, strict=True)]
