@@ -119,3 +119,8 @@ def test_published_performance(spark, zero_days):
     columns = "gainer_rank", "loser_rank", "streak_days", "streak_direction"
     rows = of_first(found(spark, zero_days, "published_performance", "id", "ingestion_date", *columns))
     assert rows == [r + s for r, s in zip([(1, 1), (3, 1), (1, 1), (1, 3), (1, 3)], STREAKS, strict=True)]
+
+
+def test_published_silver_market(spark, zero_days):
+    rows = found(spark, zero_days, "published_silver_market", "id", "ingestion_date", "current_price")
+    assert sorted(r[:2] for r in rows) == SOUND and of_first(rows) == [(4.0,), (2.0,), (3.0,)]
