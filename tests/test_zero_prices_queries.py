@@ -124,3 +124,10 @@ def test_published_performance(spark, zero_days):
 def test_published_silver_market(spark, zero_days):
     rows = found(spark, zero_days, "published_silver_market", "id", "ingestion_date", "current_price")
     assert sorted(r[:2] for r in rows) == SOUND and of_first(rows) == [(4.0,), (2.0,), (3.0,)]
+
+
+def test_published_snapshot(spark, zero_days):
+    columns = "id", "current_price", "price_change_percentage_24h", "daily_return_pct", "ma_3"
+    assert sorted(found(spark, zero_days, "published_snapshot", *columns)) == [
+        ("1", 3.0, 50.0, 50.0, 1.6667), ("2", 5.0, 25.0, 25.0, 3.6667), ("3", 6.0, 20.0, 20.0, 4.6667),
+    ]
