@@ -131,3 +131,10 @@ def test_published_snapshot(spark, zero_days):
     assert sorted(found(spark, zero_days, "published_snapshot", *columns)) == [
         ("1", 3.0, 50.0, 50.0, 1.6667), ("2", 5.0, 25.0, 25.0, 3.6667), ("3", 6.0, 20.0, 20.0, 4.6667),
     ]
+
+
+def test_published_stale(spark, zero_days):
+    # seventeen events a day: carried forward
+    more = [(100 + i, datetime(2024, 1, 26 + i // 17, 6), 4, "view", float(i // 17), "{}") for i in range(34)]
+    rows = found(spark, zero_days, "published_stale", "id", "ingestion_date", more=more)
+    assert sorted((i, str(day)) for i, day in rows) == [("4", DAYS[0]), ("4", DAYS[1])]
