@@ -138,3 +138,10 @@ def test_published_stale(spark, zero_days):
     more = [(100 + i, datetime(2024, 1, 26 + i // 17, 6), 4, "view", float(i // 17), "{}") for i in range(34)]
     rows = found(spark, zero_days, "published_stale", "id", "ingestion_date", more=more)
     assert sorted((i, str(day)) for i, day in rows) == [("4", DAYS[0]), ("4", DAYS[1])]
+
+
+def test_published_summary(spark, zero_days):
+    columns = "ingestion_date", "avg_price_change_pct", "top_gainer_coin", "top_loser_coin"
+    assert sorted(found(spark, zero_days, "published_summary", *columns))[1:] == [
+        (DAYS[1], -74.603, "3", "1"), (DAYS[2], 0.0, "1", "1"), (DAYS[3], inf, "1", "3"), (DAYS[4], 31.667, "1", "3"),
+    ]
