@@ -145,3 +145,8 @@ def test_published_summary(spark, zero_days):
     assert sorted(found(spark, zero_days, "published_summary", *columns))[1:] == [
         (DAYS[1], -74.603, "3", "1"), (DAYS[2], 0.0, "1", "1"), (DAYS[3], inf, "1", "3"), (DAYS[4], 31.667, "1", "3"),
     ]
+
+
+def test_silver_market(spark, zero_days):
+    rows = found(spark, zero_days, "silver_market", "id", "ingestion_date", "current_price")
+    assert sorted(r[:2] for r in rows) == SOUND and of_first(rows) == [(4.0,), (2.0,), (3.0,)]
