@@ -150,3 +150,8 @@ def test_published_summary(spark, zero_days):
 def test_silver_market(spark, zero_days):
     rows = found(spark, zero_days, "silver_market", "id", "ingestion_date", "current_price")
     assert sorted(r[:2] for r in rows) == SOUND and of_first(rows) == [(4.0,), (2.0,), (3.0,)]
+
+
+def test_streaks_long_series(spark, zero_days):
+    rows = found(spark, zero_days, "streaks_long_series", "id", "ingestion_date", "streak_days", "streak_direction")
+    assert len(rows) == 15 and of_first(rows) == STREAKS
