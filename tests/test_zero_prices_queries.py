@@ -155,3 +155,8 @@ def test_silver_market(spark, zero_days):
 def test_streaks_long_series(spark, zero_days):
     rows = found(spark, zero_days, "streaks_long_series", "id", "ingestion_date", "streak_days", "streak_direction")
     assert len(rows) == 15 and of_first(rows) == STREAKS
+
+
+def test_streaks(spark, zero_days):
+    rows = found(spark, zero_days, "streaks", "id", "ingestion_date", "streak_days", "streak_direction")
+    assert len(rows) == 15 and of_first(rows) == STREAKS
