@@ -160,3 +160,7 @@ def test_streaks_long_series(spark, zero_days):
 def test_streaks(spark, zero_days):
     rows = found(spark, zero_days, "streaks", "id", "ingestion_date", "streak_days", "streak_direction")
     assert len(rows) == 15 and of_first(rows) == STREAKS
+
+
+def test_top_by_rank(spark, zero_days):
+    assert found(spark, zero_days, "top_by_rank", "id", "market_cap_rank") == [("3", 1), ("2", 2), ("1", 3)]
