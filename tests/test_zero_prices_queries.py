@@ -164,3 +164,10 @@ def test_streaks(spark, zero_days):
 
 def test_top_by_rank(spark, zero_days):
     assert found(spark, zero_days, "top_by_rank", "id", "market_cap_rank") == [("3", 1), ("2", 2), ("1", 3)]
+
+
+def test_top_movers(spark, zero_days):
+    rows = found(spark, zero_days, "top_movers", "board", "id", "price_change_percentage_24h", "streak_days")
+    assert sorted(rows) == sorted(
+        (board, *row) for board in ("gainer_rank", "loser_rank") for row in (("1", 50.0, 2), ("2", 25.0, 2), ("3", 20.0, 2))
+    )
