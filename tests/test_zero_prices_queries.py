@@ -171,3 +171,7 @@ def test_top_movers(spark, zero_days):
     assert sorted(rows) == sorted(
         (board, *row) for board in ("gainer_rank", "loser_rank") for row in (("1", 50.0, 2), ("2", 25.0, 2), ("3", 20.0, 2))
     )
+
+
+def test_top_by_score(spark, zero_days):
+    assert sorted(found(spark, zero_days, "top_by_score", "id")) == [("1",), ("2",), ("3",)]
