@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def oracle():
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return con
 
