@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from candlewick.llm import arrays as A
-from candlewick.llm.common import carried, carried_type, prepare, shards
+from candlewick.llm.common import carried, carried_type, prepare, shards, tidied
 from candlewick.llm.fmindex import FmIndex
 
 #: Text in one index, and phrase text searched at once (more phrases: one more pass each).
@@ -162,5 +162,5 @@ def find_test_passages(docs: DataFrame, benchmark: DataFrame, width: int = 10) -
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {SCHEMA}, text string, row {carried_type(docs)}"
     out = docs.select("doc_id", "text", carried(docs))
     for block in _blocks(benchmark):
-        out = out.mapInArrow(_scan(phrases(block, width)), schema)
+        out = out.mapInArrow(tidied(_scan(phrases(block, width))), schema)
     return out

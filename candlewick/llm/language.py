@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm import arrays as A
-from candlewick.llm.common import bounded_sample, carried, carried_type, prepare, shards
+from candlewick.llm.common import bounded_sample, carried, carried_type, prepare, shards, tidied
 from candlewick.llm.pieces import Lattice, Pieces, read_model
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -91,7 +91,7 @@ def fit(docs: DataFrame, path: str = VOCABULARY, sample: int = SAMPLE) -> Model:
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out())
     chosen = bounded_sample(known.select("doc_id", "lang"), "lang", F.lit(sample)).select("doc_id").distinct()
     rows = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").select("lang", "text")
-    counted = rows.mapInArrow(_counts(proto), "lang string, piece long, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(tidied(_counts(proto)), "lang string, piece long, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
     found = counted.toPandas()
     langs = sorted(found["lang"].unique())
     chances = np.full((len(pieces.texts), len(langs)), SMOOTHING)
@@ -132,4 +132,4 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select("doc_id", "text", carried(docs), letters.alias("letters"))
-    return rows.mapInArrow(_predicted(model), f"doc_id {id_type}, text string, row {carried_type(docs)}, lang_pred string, score double")
+    return rows.mapInArrow(tidied(_predicted(model)), f"doc_id {id_type}, text string, row {carried_type(docs)}, lang_pred string, score double")

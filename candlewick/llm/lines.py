@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Scratch, carried, carried_type, prepare
+from candlewick.llm.common import Scratch, carried, carried_type, prepare, tidied
 
 #: What is stripped from both ends of a line.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -115,4 +115,4 @@ def drop_common_lines(docs: DataFrame, threshold: int = 10, batches: int = BATCH
     gone = gone.withColumnRenamed("doc_id", "gone_id")
     joined = docs.select("doc_id", "text", carried(docs)).join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row {carried_type(docs)}, n_lines long, n_dropped long, kept string"
-    return joined.select("doc_id", "row", "text", "gone").mapInArrow(_kept, schema)
+    return joined.select("doc_id", "row", "text", "gone").mapInArrow(tidied(_kept), schema)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm import arrays as A
-from candlewick.llm.common import Scratch, components, prepare, shards
+from candlewick.llm.common import Scratch, components, prepare, shards, tidied
 
 SHARD_BYTES = 2 << 20
 
@@ -181,7 +181,7 @@ class _Links:
         self.sketches = scratch.keep(classes.join(wanted.select("doc"), "doc", "left_semi"), "compared")
         # the texts that meet others are fewer than all: few of them are sent to the tasks that read texts
         few = F.broadcast(wanted) if wanted.count() <= FEW else wanted
-        made = texts.join(few, "mark").select("doc", "many", "text").mapInArrow(_sets(like.words), "doc long, many boolean, shingles binary")
+        made = texts.join(few, "mark").select("doc", "many", "text").mapInArrow(tidied(_sets(like.words)), "doc long, many boolean, shingles binary")
         made = scratch.keep(made, "made")
         # a text with copies has its set made from each of them, and is kept once
         once = scratch.keep(made.where("many").groupBy("doc").agg(F.first("shingles").alias("shingles")), "once")
@@ -206,8 +206,8 @@ class _Links:
         pairs = pairs.where(possible).select("a", "b").distinct()
         sketch = self.sketches.select("doc", "n", "registers")
         a, b = (sketch.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}")) for x in "ab")
-        likely = pairs.join(b, "b").join(a, "a").mapInArrow(_likely(self.like.percent), "a long, b long").distinct()
-        linked = self._with_sets(likely, "a", "b").mapInArrow(_linked(self.like.percent), "a long, b long")
+        likely = pairs.join(b, "b").join(a, "a").mapInArrow(tidied(_likely(self.like.percent)), "a long, b long").distinct()
+        linked = self._with_sets(likely, "a", "b").mapInArrow(tidied(_linked(self.like.percent)), "a long, b long")
         return self.scratch.keep(linked.distinct(), f"links-{name}")
 
     def _with_sets(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -275,7 +275,7 @@ class _Links:
         p = self.like.percent
         open_ = groups.join(groups.where("apart").select("pivot").distinct(), "pivot", "left_semi")
         schema = "pivot long, n_pivot long, doc long, n long, label long, apart boolean, d long, shingles array<long>"
-        found = self.scratch.keep(self._with_sets(open_, "doc", "pivot").mapInArrow(_difference, schema), "differences")
+        found = self.scratch.keep(self._with_sets(open_, "doc", "pivot").mapInArrow(tidied(_difference), schema), "differences")
         single = found.select("pivot", "doc", F.explode("shingles").alias("shingle"))
         count = single.groupBy("pivot", "shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
         count = self.scratch.keep(count, "held")
@@ -305,7 +305,7 @@ def _classes(docs: DataFrame, like: Likeness, scratch: Scratch) -> tuple[DataFra
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.unhex(F.md5("text")).alias("mark"), "text")
-    sketched = texts.mapInArrow(_sketched(like.words), "id long, mark binary, n long, same binary, registers binary")
+    sketched = texts.mapInArrow(tidied(_sketched(like.words)), "id long, mark binary, n long, same binary, registers binary")
     sketches = scratch.keep(sketched, "sketches")
     place = F.min(F.struct("id")).alias("least")  # in a struct, null is the smallest id
     each = sketches.where("n > 0").groupBy("same", "n").agg(place, F.min("mark").alias("mark"), F.first("registers").alias("registers"), F.count(F.lit(1)).alias("times"))

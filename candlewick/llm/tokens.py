@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
 from candlewick.llm import arrays as A
-from candlewick.llm.common import prepare, shards
+from candlewick.llm.common import prepare, shards, tidied
 from candlewick.llm.pieces import Lattice, Pieces, read_model
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -220,7 +220,7 @@ def encode(docs: DataFrame, encoder: Encoder, n: int = 1) -> DataFrame:
     """
     prepare(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_encoded(encoder, n), f"doc_id {id_type}, text string, {SCHEMA}")
+    return docs.select("doc_id", "text").mapInArrow(tidied(_encoded(encoder, n)), f"doc_id {id_type}, text string, {SCHEMA}")
 
 
 def _decoded(encoder: Encoder):
@@ -238,7 +238,7 @@ def decode(encoded: DataFrame, encoder: Encoder) -> DataFrame:
     """Adds ``decoded``, the text of ``ids``; null or empty ids give an empty text."""
     prepare(encoded.sparkSession)
     schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
-    return encoded.mapInArrow(_decoded(encoder), schema)
+    return encoded.mapInArrow(tidied(_decoded(encoder)), schema)
 
 
 def _alike(encoder: Encoder, ids: list[list[int] | None], swaps: list[list]) -> list[bool]:
@@ -268,4 +268,4 @@ def encode_checked(docs: DataFrame, encoder: Encoder, n: int = 1) -> DataFrame:
     prepare(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, text string, {SCHEMA}, decoded string, alike boolean"
-    return docs.select("doc_id", "text").mapInArrow(_checked(encoder, n), schema)
+    return docs.select("doc_id", "text").mapInArrow(tidied(_checked(encoder, n)), schema)
